@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["weblog"]
+MODULES = ["weblog", "ballots", "graphs"]
 
 
 def all_sql() -> dict[str, str]:

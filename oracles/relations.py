@@ -48,4 +48,25 @@ def with_(names, body):
     """Prefix ``body`` with the named CTEs."""
     if isinstance(names, str):
         names = [names]
-    return "WITH " + ",\n".join(CTE[n].strip() for n in names) + "\n" + body
+    head = "WITH " + ",\n".join(CTE[n].strip() for n in names)
+    b = body.lstrip()
+    # a body that starts with "name AS (" carries more CTEs of its own
+    sep = "\n" if b.upper().startswith(("SELECT", "(")) else ",\n"
+    return head + sep + b
+
+CTE["likes_v"] = """
+likes_v AS (SELECT c_custkey AS id, c_name AS name, CAST(18 + c_custkey % 60 AS INTEGER) AS age
+            FROM customer)"""
+
+CTE["likes_e"] = """
+likes_e AS (SELECT o_custkey AS src, o_orderkey % (SELECT count(*) FROM customer) AS dst,
+                   CAST(floor(o_totalprice / 50000) AS INTEGER) AS likes, o_orderkey AS t
+            FROM orders)"""
+
+CTE["und"] = """
+und AS (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM likes_e
+        WHERE src <> dst)"""
+
+CTE["tri"] = """
+tri AS (SELECT e1.u AS a, e1.v AS b, e2.v AS c FROM und e1
+        JOIN und e2 ON e1.v = e2.u JOIN und e3 ON e3.u = e1.u AND e3.v = e2.v)"""

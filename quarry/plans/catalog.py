@@ -6,7 +6,7 @@ import importlib
 
 from quarry.plans.registry import REGISTRY
 
-MODULES = ["weblog"]
+MODULES = ["weblog", "ballots", "graphs"]
 
 
 def all_queries():

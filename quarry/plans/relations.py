@@ -91,3 +91,32 @@ def xml_rows(t: Tables) -> DataFrame:
     cut = F.concat(F.lit('<row Id="'), k.cast("string"))
     return c.select(F.when(k % 41 == 0, cut).when(k % 37 == 0, no_rep)
                     .otherwise(full).alias("value"))
+
+
+# ------------------------------------------------------------------ graphs
+
+def likes_graph(t: Tables):
+    """Social graph: customers follow accounts through orders.
+
+    vertices (id, name, age := 18 + custkey mod 60); edges src = o_custkey,
+    dst = o_orderkey mod |customer|, likes = o_totalprice bucket (0..9).
+    """
+    from quarry.operators.graph import Graph
+    c = t.customer
+    v = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                 (F.lit(18) + F.col("c_custkey") % 60).cast("int").alias("age"))
+    n = c.select(F.count(F.lit(1))).scalar()
+    e = t.orders.select(F.col("o_custkey").alias("src"),
+                        (F.col("o_orderkey") % n).alias("dst"),
+                        F.floor(F.col("o_totalprice") / 50000).cast("int").alias("likes"))
+    return Graph(v, e)
+
+
+def edge_stream(t: Tables) -> DataFrame:
+    """(t, u, v): the likes edges in arrival order t = o_orderkey, loops and
+    repeats kept, ends sorted."""
+    n = t.customer.select(F.count(F.lit(1))).scalar()
+    o = t.orders
+    a, b = F.col("o_custkey"), F.col("o_orderkey") % n
+    return o.select(F.col("o_orderkey").alias("t"), F.least(a, b).alias("u"),
+                    F.greatest(a, b).alias("v"))
