@@ -70,3 +70,38 @@ und AS (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM likes
 CTE["tri"] = """
 tri AS (SELECT e1.u AS a, e1.v AS b, e2.v AS c FROM und e1
         JOIN und e2 ON e1.v = e2.u JOIN und e3 ON e3.u = e1.u AND e3.v = e2.v)"""
+
+CTE["hs"] = """
+hs AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(substr(text, p, 10)), 1, 7))::BIGINT AS x
+       FROM (SELECT doc_id, text, unnest(range(1, length(text) - 8)) AS p
+             FROM documents WHERE length(text) >= 10))"""
+
+CTE["sz"] = "sz AS (SELECT doc_id, count(*) AS n FROM hs GROUP BY doc_id)"
+
+CTE["shared"] = """
+shared AS (SELECT a.doc_id AS id1, b.doc_id AS id2, count(*) AS inter
+           FROM hs a JOIN hs b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2)"""
+
+CTE["exact"] = """
+exact AS (SELECT id1, id2, inter / (s1.n + s2.n - inter) AS jaccard
+          FROM shared JOIN sz s1 ON s1.doc_id = id1 JOIN sz s2 ON s2.doc_id = id2)"""
+
+
+def _minhash_cte():
+    from quarry.operators.similarity import minhash_params
+    cols = ",\n  ".join(f"min(({a} * x + {b}) % 2147483647) AS h{i}"
+                        for i, (a, b) in enumerate(minhash_params(100, 1)))
+    lst = ", ".join(f"h{i}" for i in range(100))
+    return (f"sigw AS (SELECT doc_id,\n  {cols}\n  FROM hs GROUP BY doc_id),\n"
+            f"sig AS (SELECT doc_id, list_value({lst}) AS sig FROM sigw)")
+
+
+CTE["sig"] = _minhash_cte()
+
+CTE["bk"] = """
+bk AS (SELECT doc_id, band, array_to_string(sig[band * 5 + 1 : band * 5 + 5], ',') AS bucket
+       FROM (SELECT doc_id, sig, unnest(range(0, 20)) AS band FROM sig))"""
+
+CTE["bm"] = """
+bm AS (SELECT a.doc_id AS id1, b.doc_id AS id2, a.band FROM bk a JOIN bk b
+       ON a.band = b.band AND a.bucket = b.bucket AND a.doc_id < b.doc_id)"""

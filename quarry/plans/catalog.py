@@ -6,7 +6,7 @@ import importlib
 
 from quarry.plans.registry import REGISTRY
 
-MODULES = ["weblog", "ballots", "graphs"]
+MODULES = ["weblog", "ballots", "graphs", "textsim"]
 
 
 def all_queries():

@@ -120,3 +120,36 @@ def edge_stream(t: Tables) -> DataFrame:
     a, b = F.col("o_custkey"), F.col("o_orderkey") % n
     return o.select(F.col("o_orderkey").alias("t"), F.least(a, b).alias("u"),
                     F.greatest(a, b).alias("v"))
+
+
+# ------------------------------------------------------------------ songs
+
+def song_tags(t: Tables) -> DataFrame:
+    """Long form (id, tag): a part's distinct suppliers act as its tags."""
+    return t.lineitem.select(F.col("l_partkey").alias("id"),
+                             F.col("l_suppkey").alias("tag")).distinct()
+
+
+def songs(t: Tables) -> DataFrame:
+    """(id, title, artist) from ``part``; names repeat, so entity checks matter."""
+    return t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
+                         F.col("p_brand").alias("artist"))
+
+
+def tag_lines(t: Tables) -> DataFrame:
+    """S8-style text: per part a line of space-separated tag ids, or "#"
+    (no tags) for every tenth part."""
+    tags = song_tags(t).groupBy("id").agg(
+        F.array_join(F.array_sort(F.collect_set("tag")), " ").alias("line"))
+    return tags.withColumn("line", F.when(F.col("id") % 10 == 0, F.lit("#"))
+                           .otherwise(F.col("line")))
+
+
+# ------------------------------------------------------------------ baskets
+
+def baskets(t: Tables) -> DataFrame:
+    """(basket, item): orders as baskets of part brands (item = brand number)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    p = t.part.select("p_partkey", F.substring("p_brand", 7, 5).cast("int").alias("item"))
+    return (li.join(p, li["l_partkey"] == p["p_partkey"])
+            .select(F.col("l_orderkey").alias("basket"), "item").distinct())

@@ -86,3 +86,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     location so that every executor sees it."""
     base = checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "quarry-tables", name)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition CPU-heavy row work (text scans) by ``key`` when the
+    input arrives in fewer partitions than the cluster has cores (small
+    files read as one split).  Large inputs already have enough splits
+    and are left alone, so no extra shuffle happens at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
