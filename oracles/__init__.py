@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["weblog", "ballots", "graphs", "textsim"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets"]
 
 
 def all_sql() -> dict[str, str]:

@@ -105,3 +105,23 @@ bk AS (SELECT doc_id, band, array_to_string(sig[band * 5 + 1 : band * 5 + 5], ',
 CTE["bm"] = """
 bm AS (SELECT a.doc_id AS id1, b.doc_id AS id2, a.band FROM bk a JOIN bk b
        ON a.band = b.band AND a.bucket = b.bucket AND a.doc_id < b.doc_id)"""
+
+CTE["fi"] = """
+b AS (SELECT DISTINCT l_orderkey AS bid, CAST(substr(p_brand, 7) AS INTEGER) AS item
+      FROM lineitem JOIN part ON l_partkey = p_partkey),
+ms AS (SELECT floor(0.005 * count(DISTINCT bid)) AS ms FROM b),
+f1 AS (SELECT item, count(*) AS s FROM b GROUP BY item HAVING count(*) >= (SELECT ms FROM ms)),
+bf AS (SELECT * FROM b WHERE item IN (SELECT item FROM f1)),
+f2 AS (SELECT a.item AS i1, c.item AS i2, count(*) AS s FROM bf a JOIN bf c
+       ON a.bid = c.bid AND a.item < c.item GROUP BY 1, 2 HAVING count(*) >= (SELECT ms FROM ms)),
+f3 AS (SELECT a.item AS i1, c.item AS i2, d.item AS i3, count(*) AS s FROM bf a
+       JOIN bf c ON a.bid = c.bid AND a.item < c.item JOIN bf d ON d.bid = a.bid AND c.item < d.item
+       GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT ms FROM ms)),
+f4 AS (SELECT a.item AS i1, c.item AS i2, d.item AS i3, e.item AS i4, count(*) AS s FROM bf a
+       JOIN bf c ON a.bid = c.bid AND a.item < c.item JOIN bf d ON d.bid = a.bid AND c.item < d.item
+       JOIN bf e ON e.bid = a.bid AND d.item < e.item
+       GROUP BY 1, 2, 3, 4 HAVING count(*) >= (SELECT ms FROM ms)),
+fi AS (SELECT 1 AS k, [item] AS items, s AS support FROM f1
+       UNION ALL SELECT 2, [i1, i2], s FROM f2
+       UNION ALL SELECT 3, [i1, i2, i3], s FROM f3
+       UNION ALL SELECT 4, [i1, i2, i3, i4], s FROM f4)"""

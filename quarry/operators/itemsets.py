@@ -10,6 +10,7 @@ and a reliable checkpoint per level.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,10 @@ from quarry.session import cut_lineage
 
 def min_support_count(n_baskets: int, fraction: float) -> int:
     """keep value > support - 1 with support = n·fraction, i.e.
-    value >= support when integral, else >= floor(support)."""
-    s = n_baskets * fraction
-    return int(s) if s == int(s) else int(math.floor(s))
+    value >= support when integral, else >= floor(support).  Exact
+    rational arithmetic, so 0.005·14800 is 74, not 73.99999."""
+    s = Fraction(n_baskets) * Fraction(str(fraction))
+    return math.floor(s)
 
 
 def item_support(baskets: DataFrame) -> DataFrame:
@@ -99,15 +101,17 @@ def apriori(baskets: DataFrame, min_count: int, max_k: int = 50) -> DataFrame:
     return out
 
 
+def _bit(mask, i):
+    return mask.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0
+
+
 def subsets_of_size(itemsets: DataFrame, n: int) -> DataFrame:
     """every n-subset of each itemset, by bitmask (itemsets are short)."""
     size = F.size("items")
     masks = F.filter(F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 1),
-                     lambda m: F.aggregate(F.sequence(F.lit(0), size - 1), F.lit(0),
-                                           lambda acc, i: acc + F.shiftright(m, i) % 2) == n)
+                     lambda m: F.bit_count(m) == n)
     ex = itemsets.select("items", F.explode(masks).alias("mask"))
-    return ex.select("items", F.filter("items", lambda x, i: F.shiftright(F.col("mask"), i) % 2 == 1)
-                     .alias("subset"))
+    return ex.select("items", F.filter("items", lambda x, i: _bit(F.col("mask"), i)).alias("subset"))
 
 
 def association_rules(itemsets: DataFrame, min_conf: float) -> DataFrame:
@@ -119,8 +123,8 @@ def association_rules(itemsets: DataFrame, min_conf: float) -> DataFrame:
     size = F.size("items")
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 2)
     ex = z.select("items", "sup_z", F.explode(masks).alias("mask"))
-    ante = F.filter("items", lambda x, i: F.shiftright(F.col("mask"), i) % 2 == 1)
-    cons = F.filter("items", lambda x, i: F.shiftright(F.col("mask"), i) % 2 == 0)
+    ante = F.filter("items", lambda x, i: _bit(F.col("mask"), i))
+    cons = F.filter("items", lambda x, i: ~_bit(F.col("mask"), i))
     rules = ex.select(ante.alias("antecedent"), cons.alias("consequent"), "sup_z")
     sx = itemsets.select(F.col("items").alias("antecedent"), F.col("support").alias("sup_x"))
     r = rules.join(sx, "antecedent")
