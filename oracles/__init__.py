@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml"]
 
 
 def all_sql() -> dict[str, str]:

@@ -125,3 +125,17 @@ fi AS (SELECT 1 AS k, [item] AS items, s AS support FROM f1
        UNION ALL SELECT 2, [i1, i2], s FROM f2
        UNION ALL SELECT 3, [i1, i2, i3], s FROM f3
        UNION ALL SELECT 4, [i1, i2, i3, i4], s FROM f4)"""
+
+CTE["housing"] = """
+housing AS (SELECT l_orderkey AS order_id, l_linenumber AS line_no,
+                   l_discount * 100 AS longitude, l_tax * 100 AS latitude,
+                   CAST(p_size AS DOUBLE) AS housing_median_age, l_quantity * 10 AS total_rooms,
+                   CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE l_quantity * 3 END AS total_bedrooms,
+                   l_quantity * 7 + p_size AS population, l_quantity * 2 AS households,
+                   p_retailprice / 100 AS median_income, l_extendedprice AS median_house_value,
+                   p_type AS ocean_proximity
+            FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+CTE["dflt"] = """
+dflt AS (SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars
+         FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""

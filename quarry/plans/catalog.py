@@ -6,7 +6,7 @@ import importlib
 
 from quarry.plans.registry import REGISTRY
 
-MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml"]
 
 
 def all_queries():

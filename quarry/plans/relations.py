@@ -153,3 +153,41 @@ def baskets(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", F.substring("p_brand", 7, 5).cast("int").alias("item"))
     return (li.join(p, li["l_partkey"] == p["p_partkey"])
             .select(F.col("l_orderkey").alias("basket"), "item").distinct())
+
+
+# ------------------------------------------------------------------ ML tables
+
+HOUSING_NUMERIC = ["longitude", "latitude", "housing_median_age", "total_rooms",
+                   "total_bedrooms", "population", "households", "median_income"]
+
+
+def housing(t: Tables) -> DataFrame:
+    """Housing-shaped table: lineitem ⋈ part numerics, category = p_type,
+    ``total_bedrooms`` missing on every 23rd order."""
+    li, p = t.lineitem, t.part
+    j = li.join(p, li["l_partkey"] == p["p_partkey"])
+    q = F.col("l_quantity")
+    return j.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+        (F.col("l_discount") * 100).alias("longitude"), (F.col("l_tax") * 100).alias("latitude"),
+        F.col("p_size").cast("double").alias("housing_median_age"),
+        (q * 10).alias("total_rooms"),
+        F.when(F.col("l_orderkey") % 23 == 0, F.lit(None).cast("double"))
+         .otherwise(q * 3).alias("total_bedrooms"),
+        (q * 7 + F.col("p_size")).alias("population"), (q * 2).alias("households"),
+        (F.col("p_retailprice") / 100).alias("median_income"),
+        F.col("l_extendedprice").alias("median_house_value"),
+        F.col("p_type").alias("ocean_proximity"))
+
+
+def credit_default(t: Tables) -> DataFrame:
+    """Binary target: ``labels.quality`` with length/word features of the
+    labelled documents."""
+    d = t.documents.select("doc_id", "text", "n_chars")
+    lab = t.labels.select("doc_id", F.col("quality").alias("label"))
+    words = F.size(F.split("text", r"\s+"))
+    return d.join(lab, "doc_id").select(
+        "doc_id", "label", F.col("n_chars").cast("double").alias("n_chars"),
+        words.cast("double").alias("n_words"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        (F.col("n_chars") / words).alias("chars_per_word"))
