@@ -191,3 +191,47 @@ def credit_default(t: Tables) -> DataFrame:
         words.cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
         (F.col("n_chars") / words).alias("chars_per_word"))
+
+
+# ------------------------------------------------------------------ QA
+
+def qa_rows(t: Tables, k: int = 10) -> DataFrame:
+    """Question rows: a ``benchmark`` passage contained in a document.
+
+    Containment is found without a cross join: each passage's first k
+    characters are equi-joined with the documents' k-character windows,
+    then confirmed with ``instr``.  k is lowered to the shortest passage
+    length when a passage is shorter, so no passage is missed.
+    (qid, doc_id, item_id, context, question, answer, answer_start)."""
+    from quarry.operators.similarity import char_shingles
+    d = t.documents.select("doc_id", "text")
+    b = t.benchmark.select("item_id", F.col("text").alias("answer"))
+    shortest = b.select(F.min(F.length("answer"))).first()[0] or k
+    kk = max(1, min(k, shortest))
+    keys = b.select("item_id", "answer", F.substring("answer", 1, kk).alias("shingle"))
+    cand = char_shingles(d, kk).join(keys, "shingle").select("doc_id", "item_id", "answer").distinct()
+    j = cand.join(d, "doc_id").withColumn("answer_start", F.instr("text", F.col("answer")) - 1)
+    j = j.where(F.col("answer_start") >= 0)
+    question = F.concat(F.lit("what does the text say about "),
+                        F.substring_index("answer", " ", 3), F.lit("?"))
+    return j.select(F.concat_ws("-", F.col("doc_id").cast("string"), F.col("item_id").cast("string"))
+                    .alias("qid"), "doc_id", "item_id", F.col("text").alias("context"),
+                    question.alias("question"), "answer", "answer_start")
+
+
+def qa_predictions(qa: DataFrame) -> DataFrame:
+    """Perturbed answers, one kind per question by (doc_id + item_id) mod 6:
+    exact, article/punctuation only, partial, disjoint, longer, none."""
+    v = (F.col("doc_id") + F.col("item_id")) % 6
+    text = (F.when(v == 0, F.col("answer"))
+            .when(v == 1, F.concat(F.lit("The "), F.col("answer"), F.lit("!!")))
+            .when(v == 2, F.substring_index("answer", " ", 5))
+            .when(v == 3, F.col("question"))
+            .when(v == 4, F.concat(F.col("answer"), F.lit(" and a few more words"))))
+    return qa.where(v != 5).select("qid", text.alias("prediction"))
+
+
+def qa_truths(qa: DataFrame) -> DataFrame:
+    """Accepted answers: the passage and its first three words."""
+    return qa.select("qid", "answer").union(
+        qa.select("qid", F.substring_index("answer", " ", 3).alias("answer")))
