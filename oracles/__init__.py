@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa", "streams"]
 
 
 def all_sql() -> dict[str, str]:

@@ -235,3 +235,15 @@ def qa_truths(qa: DataFrame) -> DataFrame:
     """Accepted answers: the passage and its first three words."""
     return qa.select("qid", "answer").union(
         qa.select("qid", F.substring_index("answer", " ", 3).alias("answer")))
+
+
+# ------------------------------------------------------------------ streams
+
+def kv_lines(t: Tables) -> DataFrame:
+    """"arrival,key,value" text from ``events``; every 101st value is
+    not a number."""
+    e = t.events
+    v = F.when(F.col("event_id") % 101 == 0, F.lit("x")).otherwise(
+        F.floor("value").cast("string"))
+    return e.select(F.concat_ws(",", F.col("event_id").cast("string"), F.col("event_type"), v)
+                    .alias("value"), F.col("event_id"))
