@@ -268,3 +268,8 @@ def set_intersect_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def set_union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """O10."""
     return a.union(b).distinct()
+
+
+def schema_of(df: DataFrame) -> list[tuple[str, str]]:
+    """(name, type) pairs of a frame's schema; nothing is read."""
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
