@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa", "streams", "io", "recommend"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa", "streams", "io", "recommend", "spectral"]
 
 
 def all_sql() -> dict[str, str]:

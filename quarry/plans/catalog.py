@@ -6,7 +6,7 @@ import importlib
 
 from quarry.plans.registry import REGISTRY
 
-MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa", "streams", "io", "recommend"]
+MODULES = ["weblog", "ballots", "graphs", "textsim", "songs", "itemsets", "ml", "qa", "streams", "io", "recommend", "spectral"]
 
 
 def all_queries():
