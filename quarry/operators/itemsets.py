@@ -79,21 +79,32 @@ def count_support(baskets: DataFrame, cand: DataFrame, k: int) -> DataFrame:
 def apriori(baskets: DataFrame, min_count: int, max_k: int = 50) -> DataFrame:
     """all frequent itemsets as (k, items sorted, support).
 
-    Stops at the first empty level.  Baskets are reduced to frequent items
-    once; each level is checkpointed to the shared checkpoint folder.
+    Level-wise with basket lists kept vertically: T(k) holds (basket,
+    items) for every frequent k-set a basket contains.  Level k+1 extends
+    each T(k) row by the basket's own larger items (a join on basket),
+    keeps only candidates that survive Apriori pruning (a semi join with
+    the small candidate set), counts them, and keeps the frequent ones.
+    Work follows the itemsets actually present in baskets, not baskets ×
+    candidates.  Stops at the first empty level; each level is
+    checkpointed to the shared checkpoint folder.
     """
     b = baskets.select("basket", "item").distinct()
     l1 = frequent_filter(item_support(b), min_count)
     l1 = cut_lineage(l1.select(F.array("item").alias("items"), "support"))
-    b = cut_lineage(b.join(l1.select(F.col("items")[0].alias("item")), "item", "left_semi"))
+    t1 = cut_lineage(b.join(l1.select(F.col("items")[0].alias("item")), "item", "left_semi"))
     levels = [l1.select(F.lit(1).alias("k"), "items", "support")]
-    prev = l1
+    prev, tk = l1, t1.select("basket", F.array("item").alias("items"))
     for k in range(2, max_k + 1):
         cand = candidate_k(prev, k)
-        lk = cut_lineage(frequent_filter(count_support(b, cand, k), min_count))
+        ext = (tk.join(t1, "basket").where(F.col("item") > F.element_at("items", -1))
+               .select("basket", F.concat("items", F.array("item")).alias("items")))
+        ext = ext.join(cand, "items", "left_semi")
+        counts = ext.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
+        lk = cut_lineage(frequent_filter(counts, min_count))
         if lk.limit(1).count() == 0:
             break
         levels.append(lk.select(F.lit(k).alias("k"), "items", "support"))
+        tk = cut_lineage(ext.join(lk.select("items"), "items", "left_semi"))
         prev = lk
     out = levels[0]
     for lv in levels[1:]:
