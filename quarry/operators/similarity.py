@@ -116,14 +116,14 @@ def set_arrays(sets: DataFrame, id_col: str = "doc_id", el: str = "x") -> DataFr
 
 
 def verify_jaccard(pairs: DataFrame, sets: DataFrame, id_col: str = "doc_id",
-                   el: str = "x") -> DataFrame:
+                   el: str = "x", arrays: DataFrame | None = None) -> DataFrame:
     """Exact |A∩B| for candidate pairs: each pair meets both element
     arrays once and intersects them in the JVM (hash based, O(|A|+|B|)),
     instead of expanding every pair into element rows.
 
     ``pairs`` has (id1, id2, n1, n2); returns (id1, id2, inter, jaccard).
     """
-    arr = set_arrays(sets, id_col, el)
+    arr = arrays if arrays is not None else set_arrays(sets, id_col, el)
     a1 = arr.select(F.col(id_col).alias("id1"), F.col("arr").alias("a1"))
     a2 = arr.select(F.col(id_col).alias("id2"), F.col("arr").alias("a2"))
     j = pairs.join(a1, "id1").join(a2, "id2")
@@ -133,10 +133,14 @@ def verify_jaccard(pairs: DataFrame, sets: DataFrame, id_col: str = "doc_id",
 
 
 def similar_pairs_exact(sets: DataFrame, t: float, id_col: str = "doc_id",
-                        el: str = "x", strict: bool = False) -> DataFrame:
-    """(id1, id2, jaccard) for all pairs with J >= t (or > t), exact."""
+                        el: str = "x", strict: bool = False,
+                        arrays: DataFrame | None = None) -> DataFrame:
+    """(id1, id2, jaccard) for all pairs with J >= t (or > t), exact.
+
+    ``arrays`` (id, arr) may supply each entity's elements when they can
+    be rebuilt row-locally (documents: from the text), saving a shuffle."""
     cand = prefix_candidates(sets, t, id_col, el)
-    v = verify_jaccard(cand, sets, id_col, el)
+    v = verify_jaccard(cand, sets, id_col, el, arrays)
     cond = F.col("jaccard") > t if strict else F.col("jaccard") >= t
     return v.where(cond).select("id1", "id2", "inter", "jaccard")
 
@@ -245,3 +249,61 @@ def near_duplicate_pairs(sets: DataFrame, t: float = 0.8, n: int = 100, bands: i
                 .join(sizes.select(F.col(id_col).alias("id2"), F.col("n").alias("n2")), "id2"))
     v = verify_jaccard(cand, sets, id_col, el)
     return v.where(F.col("jaccard") >= t).select("id1", "id2", "jaccard")
+
+
+# ------------------------------------------------------------ array form
+
+def doc_arrays(docs: DataFrame, k: int = 10, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """(id, arr, n): each document's distinct hashed shingles as one
+    sorted array, built row-locally (no explode, no shuffle)."""
+    arr = F.array_sort(_windows(F.col(text_col), k, shingle_hash))
+    return spread(docs, id_col).select(F.col(id_col), arr.alias("arr")).withColumn("n", F.size("arr"))
+
+
+def arrays_to_long(arrs: DataFrame, id_col: str = "doc_id", el: str = "x") -> DataFrame:
+    return arrs.select(id_col, F.explode("arr").alias(el))
+
+
+def prefix_candidates_arrays(arrs: DataFrame, t: float, id_col: str = "doc_id") -> DataFrame:
+    """Prefix-filter candidates when each entity's set is a sorted array.
+
+    The global order is the element value itself (a hash, so effectively
+    random); the prefix is ``slice(arr, 1, n - ceil(t·n) + 1)``, taken
+    row-locally without ranking windows or frequency counts."""
+    plen = F.col("n") - F.ceil(F.lit(t) * F.col("n")) + 1
+    pre = arrs.where(F.col("n") > 0).select(id_col, "n", F.explode(F.slice("arr", F.lit(1), plen)).alias("e"))
+    a = pre.select(F.col(id_col).alias("id1"), "e", F.col("n").alias("n1"))
+    b = pre.select(F.col(id_col).alias("id2"), "e", F.col("n").alias("n2"))
+    pairs = (a.join(b, "e").where(F.col("id1") < F.col("id2"))
+             .where((F.col("n2") >= F.lit(t) * F.col("n1")) & (F.col("n1") >= F.lit(t) * F.col("n2"))))
+    return pairs.select("id1", "id2", "n1", "n2").distinct()
+
+
+def verify_arrays(pairs: DataFrame, arrs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Exact overlap of candidate pairs against the entities' arrays."""
+    a1 = arrs.select(F.col(id_col).alias("id1"), F.col("arr").alias("a1"))
+    a2 = arrs.select(F.col(id_col).alias("id2"), F.col("arr").alias("a2"))
+    j = pairs.join(a1, "id1").join(a2, "id2")
+    inter = F.size(F.array_intersect("a1", "a2"))
+    out = j.select("id1", "id2", "n1", "n2", inter.alias("inter"))
+    return out.withColumn("jaccard", F.col("inter") / (F.col("n1") + F.col("n2") - F.col("inter")))
+
+
+def similar_docs_exact(arrs: DataFrame, t: float, id_col: str = "doc_id") -> DataFrame:
+    """(id1, id2, inter, jaccard) for every pair with J >= t, exact."""
+    v = verify_arrays(prefix_candidates_arrays(arrs, t, id_col), arrs, id_col)
+    return v.where(F.col("jaccard") >= t).select("id1", "id2", "inter", "jaccard")
+
+
+def near_duplicate_docs(arrs: DataFrame, t: float = 0.8, n: int = 100, bands: int = 20,
+                        rows: int = 5, seed: int = 1, id_col: str = "doc_id") -> DataFrame:
+    """T9 on the array form: MinHash (aggregate over the exploded
+    elements) -> LSH candidates -> exact Jaccard against the arrays."""
+    sigs = minhash_signature(arrays_to_long(arrs, id_col), n, seed, id_col, "x")
+    cand = lsh_candidate_pairs(sigs, bands, rows, id_col)
+    sizes = arrs.select(id_col, "n")
+    cand = (cand.join(sizes.select(F.col(id_col).alias("id1"), F.col("n").alias("n1")), "id1")
+                .join(sizes.select(F.col(id_col).alias("id2"), F.col("n").alias("n2")), "id2"))
+    v = verify_arrays(cand, arrs, id_col)
+    return v.where(F.col("jaccard") >= t).select("id1", "id2", "jaccard")
