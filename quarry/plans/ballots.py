@@ -10,7 +10,8 @@ from quarry.plans.registry import query
 from quarry.plans.relations import ballot_lookup, votes, xml_rows
 from quarry.sources.xmlattrs import scan_xml_attrs
 
-VOTES_INT = F.expr("try_cast(total_votes AS BIGINT)")
+def votes_int():
+    return F.col("total_votes").try_cast("bigint")
 
 
 @query("project_columns")
@@ -35,26 +36,26 @@ def q_sort_asc(t):
 @query("sum_by_key")
 def q_sum_by_key(t):
     """A2: votes per candidate."""
-    return R.sum_by_key(votes(t), "candidate_name", VOTES_INT, "votes")
+    return R.sum_by_key(votes(t), "candidate_name", votes_int(), "votes")
 
 
 @query("sort_desc")
 def q_sort_desc(t):
     """O1: candidates by votes, most first."""
-    return R.sum_by_key(votes(t), "candidate_name", VOTES_INT, "votes").orderBy(F.desc("votes"))
+    return R.sum_by_key(votes(t), "candidate_name", votes_int(), "votes").orderBy(F.desc("votes"))
 
 
 @query("sum_all")
 def q_sum_all(t):
     """A1: all votes."""
-    return R.sum_all(votes(t), VOTES_INT, "total_votes")
+    return R.sum_all(votes(t), votes_int(), "total_votes")
 
 
 @query("lookup_join")
 def q_lookup_join(t):
     """Per-candidate totals with the friendly name (int key cast to text)."""
     per = (votes(t).groupBy("candidate_name", "candidate_ballot_order")
-           .agg(F.sum(VOTES_INT).alias("votes"))
+           .agg(F.sum(votes_int()).alias("votes"))
            .withColumn("ballot_no", F.expr("try_cast(candidate_ballot_order AS INT)"))
            .drop("candidate_ballot_order"))
     out = R.lookup_join(per, ballot_lookup(t), "ballot_no", "candidate_ballot_order")
@@ -70,13 +71,13 @@ def numeric_precincts(t):
 def q_numeric_codes(t):
     """P5: rows whose precinct code is a number."""
     return numeric_precincts(t).select(F.col("code").alias("precinct_code"),
-                                       "precinct_name", VOTES_INT.alias("votes"))
+                                       "precinct_name", votes_int().alias("votes"))
 
 
 @query("max_row")
 def q_max_row(t):
     """O2: the physical precinct with most votes."""
-    per = R.sum_by_key(numeric_precincts(t), "precinct_name", VOTES_INT, "votes")
+    per = R.sum_by_key(numeric_precincts(t), "precinct_name", votes_int(), "votes")
     return R.max_row(per, "votes", "precinct_name")
 
 
