@@ -47,3 +47,12 @@ FROM (SELECT reputation, max(id) AS id FROM xml_ok GROUP BY reputation
 SQL["top_n_with_ties"] = with_("xml_ok", """
 SELECT reputation, id FROM xml_ok WHERE reputation IN
   (SELECT DISTINCT reputation FROM xml_ok ORDER BY reputation DESC LIMIT 10)""")
+
+SQL["scan_xml_attrs"] = """
+SELECT c_custkey AS id,
+       CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE CAST(floor(c_acctbal / 10) AS INTEGER) END AS reputation
+FROM customer WHERE c_custkey % 41 <> 0"""
+
+SQL["hash_sample_k"] = """
+SELECT l_orderkey, l_linenumber FROM lineitem
+ORDER BY md5('7:' || CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR)) LIMIT 500"""

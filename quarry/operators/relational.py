@@ -182,12 +182,12 @@ def frequency_rank_ids(df: DataFrame, token: str, freq: str,
 def hash_sample_k(df: DataFrame, k: int, seed: int, key_cols) -> DataFrame:
     """Repeatable uniform sample of k rows without replacement.
 
-    Rows are ranked by a seeded 64-bit hash; ``limit`` after ``orderBy``
-    is a per-partition top-k, so the sample never needs a full sort.
+    Rows are ranked by md5(seed:key...) (reproducible in SQL engines);
+    ``orderBy`` + ``limit`` is planned as TakeOrderedAndProject, a
+    per-partition top-k heap merged over k rows, never a full sort.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in _cols(key_cols)])
-    return (df.withColumn("_h", h).orderBy("_h", *_cols(key_cols)).limit(k)
-              .drop("_h"))
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in _cols(key_cols)]))
+    return df.withColumn("_h", h).orderBy("_h").limit(k).drop("_h")
 
 
 def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):

@@ -97,3 +97,24 @@ def q_top_ties(t):
     """O6 variant: every user within the ten best distinct reputations."""
     s = xml_scores(t).where(F.col("id").isNotNull() & F.col("reputation").isNotNull())
     return R.top_n_with_ties(s, "reputation", 10)
+
+
+@query("scan_xml_attrs")
+def q_scan_xml(t):
+    """Attribute rows parsed; cut-off rows have no id and are dropped."""
+    return xml_scores(t).where(F.col("id").isNotNull())
+
+
+@query("hash_sample_k")
+def q_hash_sample(t):
+    """500 line items sampled by a seeded hash, repeatable."""
+    return R.hash_sample_k(t.lineitem.select("l_orderkey", "l_linenumber"), 500, 7,
+                           ["l_orderkey", "l_linenumber"])
+
+
+@query("random_split")
+def q_random_split(t):
+    """O11 (rows-only): 80/20 random split sizes."""
+    a, b = R.random_split(t.orders.select("o_orderkey"), (0.8, 0.2), 42)
+    return a.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("train")).unionByName(
+        b.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("test")))
