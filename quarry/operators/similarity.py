@@ -84,28 +84,66 @@ def set_sizes(sets: DataFrame, id_col: str, el: str) -> DataFrame:
     return sets.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _ratio(t: float) -> tuple[int, int]:
+    """Threshold as an exact fraction p/q (from its decimal text)."""
+    from fractions import Fraction
+    f = Fraction(str(t)).limit_denominator(10**6)
+    return f.numerator, f.denominator
+
+
+def _ceil_div(a: Column, b: int) -> Column:
+    """ceil(a / b) for non-negative integer columns, exactly."""
+    s = (a + F.lit(b - 1)).cast("long")
+    return ((s - F.pmod(s, F.lit(b))) / F.lit(b)).cast("long")
+
+
+def jaccard_at_least(inter: Column, union: Column, t: float, strict: bool = False) -> Column:
+    """inter / union >= t (or > t) decided in integers: t = p/q."""
+    p, q = _ratio(t)
+    return inter * q > union * p if strict else inter * q >= union * p
+
+
 def prefix_candidates(sets: DataFrame, t: float, id_col: str = "doc_id",
                       el: str = "x") -> DataFrame:
     """Pairs (id1 < id2) that can reach Jaccard >= t.
 
-    Prefix filter (Chaudhuri et al. 2006; Bayardo et al. 2007): order
-    each set by global element frequency, rarest first; two sets with
-    J >= t share an element among the first |A| - ceil(t|A|) + 1 of each.
-    Frequent elements (a hot key) therefore almost never join, and a
-    length filter drops pairs whose sizes alone rule them out.
+    Prefix filter (Chaudhuri et al. 2006; Bayardo et al. 2007) with the
+    index/probe split and positional bound of PPJoin (Xiao et al. 2008):
+    elements are ordered by global frequency, rarest first; for a pair
+    with |y| <= |x| (ties by id), x probes with its first
+    |x| - ceil(t|x|) + 1 elements and y is indexed by its first
+    |y| - ceil(2t/(1+t)|y|) + 1; a matching element at ranks (rx, ry)
+    must leave room for the required overlap
+    ceil(t/(1+t)(|x|+|y|)).  Frequent elements (a hot key) therefore
+    almost never join.  The result is a superset of the true pairs
+    (exact after verification).
     """
+    p, q = _ratio(t)
     freq = sets.groupBy(el).agg(F.count(F.lit(1)).alias("_df"))
     ranked = sets.join(freq, el)
     w = Window.partitionBy(id_col).orderBy("_df", el)
     ranked = (ranked.withColumn("_r", F.row_number().over(w))
                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(id_col))))
-    plen = F.col("_n") - F.ceil(F.lit(t) * F.col("_n")) + 1
-    pre = ranked.where(F.col("_r") <= plen).select(id_col, el, "_n")
-    a = pre.select(F.col(id_col).alias("id1"), el, F.col("_n").alias("n1"))
-    b = pre.select(F.col(id_col).alias("id2"), el, F.col("_n").alias("n2"))
-    pairs = (a.join(b, el).where(F.col("id1") < F.col("id2"))
-             .where((F.col("n2") >= F.lit(t) * F.col("n1")) & (F.col("n1") >= F.lit(t) * F.col("n2"))))
-    return pairs.select("id1", "id2", "n1", "n2").distinct()
+    n = F.col("_n")
+    # exact integer bounds: t = p/q, so no floating ceil can shorten a prefix
+    probe_len = n - _ceil_div(F.lit(p) * n, q) + 1
+    index_len = n - _ceil_div(F.lit(2 * p) * n, p + q) + 1
+    pre = ranked.where(F.col("_r") <= probe_len).select(
+        id_col, el, "_n", "_r", (F.col("_r") <= index_len).alias("_idx"))
+    x = pre.select(F.col(id_col).alias("idx_x"), el, F.col("_n").alias("nx"), F.col("_r").alias("rx"))
+    y = pre.where("_idx").select(F.col(id_col).alias("idx_y"), el, F.col("_n").alias("ny"),
+                                 F.col("_r").alias("ry"))
+    alpha = _ceil_div(F.lit(p) * (F.col("nx") + F.col("ny")), p + q)
+    pairs = (x.join(y, el)
+             .where((F.col("ny") < F.col("nx")) |
+                    ((F.col("ny") == F.col("nx")) & (F.col("idx_y") < F.col("idx_x"))))
+             .where(F.col("ny") * q >= F.col("nx") * p)
+             .where(F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry")) + 1 >= alpha))
+    swap = F.col("idx_x") > F.col("idx_y")
+    return pairs.select(F.when(swap, F.col("idx_y")).otherwise(F.col("idx_x")).alias("id1"),
+                        F.when(swap, F.col("idx_x")).otherwise(F.col("idx_y")).alias("id2"),
+                        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("n1"),
+                        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("n2")).distinct()
 
 
 def set_arrays(sets: DataFrame, id_col: str = "doc_id", el: str = "x") -> DataFrame:
@@ -141,8 +179,8 @@ def similar_pairs_exact(sets: DataFrame, t: float, id_col: str = "doc_id",
     be rebuilt row-locally (documents: from the text), saving a shuffle."""
     cand = prefix_candidates(sets, t, id_col, el)
     v = verify_jaccard(cand, sets, id_col, el, arrays)
-    cond = F.col("jaccard") > t if strict else F.col("jaccard") >= t
-    return v.where(cond).select("id1", "id2", "inter", "jaccard")
+    union = F.col("n1") + F.col("n2") - F.col("inter")
+    return v.where(jaccard_at_least(F.col("inter"), union, t, strict)).select("id1", "id2", "inter", "jaccard")
 
 
 # ------------------------------------------------------------ MinHash / LSH
@@ -248,7 +286,8 @@ def near_duplicate_pairs(sets: DataFrame, t: float = 0.8, n: int = 100, bands: i
     cand = (cand.join(sizes.select(F.col(id_col).alias("id1"), F.col("n").alias("n1")), "id1")
                 .join(sizes.select(F.col(id_col).alias("id2"), F.col("n").alias("n2")), "id2"))
     v = verify_jaccard(cand, sets, id_col, el)
-    return v.where(F.col("jaccard") >= t).select("id1", "id2", "jaccard")
+    union = F.col("n1") + F.col("n2") - F.col("inter")
+    return v.where(jaccard_at_least(F.col("inter"), union, t)).select("id1", "id2", "jaccard")
 
 
 # ------------------------------------------------------------ array form
