@@ -154,6 +154,7 @@ def list_triangles(e: DataFrame) -> DataFrame:
     u_first = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     o = r.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("x"),
                  F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("y"))
+    o = cut_lineage(o)      # used three times below; derive it once
     o2 = o.select(F.col("x").alias("y"), F.col("y").alias("z"))
     paths = o.join(o2, "y")
     closed = paths.join(o.select(F.col("x"), F.col("y").alias("z")), ["x", "z"], "left_semi")
@@ -214,7 +215,7 @@ def triangle_estimate_improved(stream: DataFrame, p: float, seed: int = 7) -> Da
     first = (stream.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "t")
              .where(F.col("u") != F.col("v")).groupBy("u", "v").agg(F.min("t").alias("t")))
     cutoff = int(p * (1 << 32))
-    first = first.withColumn("s", hash_unit(seed, "t") < F.lit(cutoff))
+    first = cut_lineage(first.withColumn("s", hash_unit(seed, "t") < F.lit(cutoff)))
     tri = list_triangles(first.select("u", "v"))
 
     def edge(x, y, tag):
