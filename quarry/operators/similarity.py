@@ -120,10 +120,16 @@ def prefix_candidates(sets: DataFrame, t: float, id_col: str = "doc_id",
     """
     p, q = _ratio(t)
     freq = sets.groupBy(el).agg(F.count(F.lit(1)).alias("_df"))
-    ranked = sets.join(freq, el)
+    sizes = sets.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    # Elements held by one set only sort first (lowest frequency) and can
+    # never match, so only shared elements are ranked; their true rank is
+    # (number of unshared elements) + (rank among the shared ones).
+    shared = sets.join(freq.where(F.col("_df") >= 2), el)
     w = Window.partitionBy(id_col).orderBy("_df", el)
-    ranked = (ranked.withColumn("_r", F.row_number().over(w))
-                    .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(id_col))))
+    ranked = (shared.withColumn("_rs", F.row_number().over(w))
+                    .withColumn("_s", F.count(F.lit(1)).over(Window.partitionBy(id_col)))
+                    .join(sizes, id_col)
+                    .withColumn("_r", F.col("_n") - F.col("_s") + F.col("_rs")))
     n = F.col("_n")
     # exact integer bounds: t = p/q, so no floating ceil can shorten a prefix
     probe_len = n - _ceil_div(F.lit(p) * n, q) + 1
