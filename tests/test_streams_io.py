@@ -62,3 +62,19 @@ def test_nested_json_wrapped(spark, tmpdir_path):
         json.dump(doc, f)
     r = scan_nested_json(spark, p, wrapped=True).first()
     assert (r["qid"], r["answer"], list(r["label"])) == ("q1", "def", [4, 7])
+
+
+def test_processing_time_trigger_and_quota(spark, tmpdir_path):
+    """Continuous micro-batches every 2 seconds; W6: at most n keys per
+    batch handled by the per-batch action."""
+    lines = _lines(spark, 60)
+    K.write_lines(lines, f"{tmpdir_path}/src", 2, "event_id")
+    q = K.run_running_avg(spark, f"{tmpdir_path}/src/*", f"{tmpdir_path}/out", f"{tmpdir_path}/ck",
+                          trigger={"processingTime": "2 seconds"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    log = K.read_log(spark, f"{tmpdir_path}/out")
+    assert log.count() == 60
+    assert K.take_per_batch(log, 2).count() == 2
