@@ -39,9 +39,9 @@ SELECT ocean_proximity, round(avg(median_house_value), 6) AS avg_value FROM hous
 
 SQL["serialise_record"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS key,
-       to_json({'id': o_orderkey, 'text': o_orderpriority || ' ' || o_orderstatus, 'lang': 'en',
+       CAST(to_json({'id': o_orderkey, 'text': o_orderpriority || ' ' || o_orderstatus, 'lang': 'en',
                 'user': {'id': c_custkey, 'name': c_name, 'followersCount': c_nationkey},
-                'retweetCount': CAST(o_orderkey % 7 AS INTEGER)}) AS value
+                'retweetCount': CAST(o_orderkey % 7 AS INTEGER)}) AS VARCHAR) AS value
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 SQL["parse_json_record"] = """
