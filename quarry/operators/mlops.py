@@ -106,11 +106,12 @@ def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFr
     """Area under ROC by the rank formula with ties at half weight.
 
     Scores are first reduced to (score, positives, negatives), combined
-    map-side; the cumulative window then runs over distinct scores only.
+    map-side; the running count of negatives is a distributed prefix sum
+    over range partitions (no single-partition window).
     """
+    from quarry.operators.relational import global_cumsum_before
     g = scored.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                   F.count_if(F.col(label) != 1).alias("neg"))
-    w = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    g = global_cumsum_before(g, [F.col(score)], "neg", "neg_below")
     return g.agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
                   / (F.sum("pos") * F.sum("neg"))).alias("auc"))

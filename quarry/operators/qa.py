@@ -82,12 +82,12 @@ def span_alignment_errors(qa: DataFrame, ctx_tokens: DataFrame) -> DataFrame:
 def frequency_vocab(tok: DataFrame, col: str, specials=WORD_SPECIALS,
                     min_count: int = 1) -> DataFrame:
     """(token, id, freq): specials first, then by falling
-    frequency (ties by token).  The window runs over the distinct
-    vocabulary, which grows far slower than the corpus."""
+    frequency (ties by token).  Positions come from a distributed global
+    row number over the distinct vocabulary."""
+    from quarry.operators.relational import global_row_number
     c = tok.groupBy(col).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
-    w = Window.orderBy(F.desc("freq"), F.asc(col))
-    ranked = c.select(F.col(col).alias("token"),
-                      (F.row_number().over(w) - 1 + len(specials)).alias("id"), "freq")
+    c = global_row_number(c, [F.desc("freq"), F.asc(col)], "_rn")
+    ranked = c.select(F.col(col).alias("token"), (F.col("_rn") - 1 + len(specials)).alias("id"), "freq")
     sp = tok.sparkSession.createDataFrame([(s, i, 0) for i, s in enumerate(specials)],
                                           "token string, id int, freq bigint")
     return sp.unionByName(ranked.withColumn("id", F.col("id").cast("int")))
@@ -101,9 +101,9 @@ def threshold_vocab(tok: DataFrame, order_cols: list[str], threshold: int = 4) -
     w = Window.partitionBy("token").orderBy(*order_cols)
     nth = (tok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= threshold)
            .where(F.col("_rn") == threshold))
-    w2 = Window.orderBy(*order_cols)
-    words = nth.select("token", (F.row_number().over(w2) + len(CAPTION_SPECIALS) - 1)
-                       .cast("int").alias("id"))
+    from quarry.operators.relational import global_row_number
+    nth = global_row_number(nth.select("token", *order_cols), [F.col(c) for c in order_cols], "_rn")
+    words = nth.select("token", (F.col("_rn") + len(CAPTION_SPECIALS) - 1).cast("int").alias("id"))
     sp = tok.sparkSession.createDataFrame([(s, i) for i, s in enumerate(CAPTION_SPECIALS)],
                                           "token string, id int")
     return sp.unionByName(words)

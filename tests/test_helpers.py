@@ -18,3 +18,19 @@ def test_cooling():
         seen.append(round(t, 6))
     assert seen[0] == 1.9 and seen[-1] == 1.0 and min(seen) == 1.0
     assert abs(cooling(1.0, 0.9, mode="exponential") - 0.9) < 1e-12
+
+
+def test_global_row_number_and_cumsum(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.relational import global_cumsum_before, global_row_number
+    df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("v"))
+    rn = {r["k"]: r["rn"] for r in global_row_number(df, [F.col("k")], "rn").collect()}
+    assert rn == {k: k + 1 for k in range(1000)}
+    cs = {r["k"]: r["before"] for r in global_cumsum_before(df, [F.col("k")], "v", "before").collect()}
+    vals = {r["k"]: r["v"] for r in df.collect()}
+    run, want = 0, {}
+    for k in range(1000):
+        want[k] = run
+        run += vals[k]
+    assert cs == want
