@@ -196,6 +196,18 @@ def credit_default(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------ QA
 
 def qa_rows(t: Tables, k: int = 10) -> DataFrame:
+    """Memoised per query run: the relation is small (one row per question)
+    but finding it scans every document, and a QA plan uses it several
+    times, so it is materialised once with a reliable checkpoint."""
+    cached = getattr(t, "_qa_rows", None)
+    if cached is None:
+        from quarry.session import cut_lineage
+        cached = cut_lineage(_qa_rows(t, k))
+        t._qa_rows = cached
+    return cached
+
+
+def _qa_rows(t: Tables, k: int = 10) -> DataFrame:
     """Question rows: a ``benchmark`` passage contained in a document.
 
     Containment is found without a cross join: each passage's first k
