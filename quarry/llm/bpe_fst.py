@@ -81,7 +81,8 @@ class BpeTransducer:
         start = ((0, -1),)
         self.states = [start]
         self.number = {start: 0}
-        self.table: dict[int, tuple[int, int, bool]] = {}
+        # state << 8 | byte -> next state << 25 | token << 1 | all before is agreed
+        self.table: dict[int, int] = {}
 
     # ------------------------------------------------------------- merges
 
@@ -116,7 +117,7 @@ class BpeTransducer:
         known = self.pairs.get(key)
         if known is not None:
             return known
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > 400_000:
             self.pairs.clear()
         right, left = self._edges(first)[1], self._edges(second)[0]
         ranks, of = self.ranks, self.bytes_of
@@ -141,8 +142,8 @@ class BpeTransducer:
 
     # ------------------------------------------------------------- states
 
-    def _advance(self, state: int, c: int) -> tuple[int, int, bool]:
-        """(next state, token that ends here, whether all before is agreed)."""
+    def _advance(self, state: int, c: int) -> int:
+        """The step of a state and a byte, as the table holds it."""
         if len(self.table) >= self.max_transitions:
             held = self.states[state]
             self._reset()
@@ -161,7 +162,7 @@ class BpeTransducer:
         if chosen < 0:
             raise ValueError("the ranks hold no encoding for these bytes")
         places.append((0, chosen))
-        step = (self._intern(tuple(places)), chosen, len(places) == 1)
+        step = self._intern(tuple(places)) << 25 | chosen << 1 | (len(places) == 1)
         self.table[state << 8 | c] = step
         return step
 
@@ -180,9 +181,9 @@ class BpeTransducer:
             if step is None:
                 step = self._advance(state, c)
                 table = self.table
-            state, token, agreed = step
-            ends.append(token)
-            if agreed:
+            state = step >> 25
+            ends.append(step >> 1 & 0xFFFFFF)
+            if step & 1:
                 self._emit(ends, out)
                 ends = []
             elif len(ends) > 4 * self.longest:
@@ -223,35 +224,54 @@ class Utf8Machine:
         self.due, self.low, self.high, self.held = 0, 0x80, 0xBF, bytearray()
 
     def feed(self, data: bytes) -> str:
-        if not self.due and data.isascii():
-            return data.decode("ascii")
+        """The text that ``data`` completes.  Whole characters in its middle
+        are decoded at once; the machine steps through an unfinished one at
+        either end, and through all bytes when some are not UTF-8."""
+        first = 0
         out: list[str] = []
-        for c in data:
-            if self.due:
-                if self.low <= c <= self.high:
-                    self.held.append(c)
-                    self.due -= 1
-                    self.low, self.high = 0x80, 0xBF
-                    if not self.due:
-                        out.append(self._character())
-                    continue
-                out.append("�")
-                self._clear()
-            if c < 0x80:
-                out.append(chr(c))
-            elif 0xC2 <= c <= 0xF4:
-                self.due = 1 + (c >= 0xE0) + (c >= 0xF0)
-                self.low = {0xE0: 0xA0, 0xF0: 0x90}.get(c, 0x80)
-                self.high = {0xED: 0x9F, 0xF4: 0x8F}.get(c, 0xBF)
-                self.held.append(c)
-            else:
-                out.append("�")
+        while self.due and first < len(data):
+            self._step(data[first], out)
+            first += 1
+        last = len(data)
+        while last > first and len(data) - last < 4 and data[last - 1] & 0xC0 == 0x80:
+            last -= 1
+        if last > first and data[last - 1] >= 0xC0:
+            last -= 1
+        else:
+            last = len(data)
+        try:
+            out.append(data[first:last].decode("utf-8"))
+        except UnicodeDecodeError:
+            last = first
+        for c in data[last:]:
+            self._step(c, out)
         return "".join(out)
 
+    def _step(self, c: int, out: list[str]) -> None:
+        if self.due:
+            if self.low <= c <= self.high:
+                self.held.append(c)
+                self.due -= 1
+                self.low, self.high = 0x80, 0xBF
+                if not self.due:
+                    out.append(self._character())
+                return
+            out.append("\ufffd")
+            self._clear()
+        if c < 0x80:
+            out.append(chr(c))
+        elif 0xC2 <= c <= 0xF4:
+            self.due = 1 + (c >= 0xE0) + (c >= 0xF0)
+            self.low = {0xE0: 0xA0, 0xF0: 0x90}.get(c, 0x80)
+            self.high = {0xED: 0x9F, 0xF4: 0x8F}.get(c, 0xBF)
+            self.held.append(c)
+        else:
+            out.append("\ufffd")
+
     def finish(self) -> str:
         open_end = bool(self.due)
         self._clear()
-        return "�" if open_end else ""
+        return "\ufffd" if open_end else ""
 
     def _character(self) -> str:
         head, *tail = self.held
@@ -268,13 +288,14 @@ class Utf8Machine:
 
 class BpeCodec:
     """Pieces of a text by a pattern, each through the transducer; the ids
-    of pieces met before are kept, at most ``max_pieces`` of them."""
+    of pieces met lately are kept, at most ``max_pieces`` of them."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 300_000):
         self.machine = BpeTransducer(ranks)
         self.find = regex.compile(pattern).findall
         self.max_pieces = max_pieces
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -287,31 +308,33 @@ class BpeCodec:
         for piece in found:
             packed = known.get(piece)
             if packed is None:
-                packed = pack("<%dI" % len(ids := self.machine.encode(piece.encode())), *ids)
-                if len(known) >= self.max_pieces:
-                    known.clear()
+                packed = self.older.get(piece)
+                if packed is None:
+                    ids = self.machine.encode(piece.encode())
+                    packed = pack(f"<{len(ids)}I", *ids)
+                if 2 * len(known) >= self.max_pieces:
+                    self.older = known
+                    known = self.pieces = {}
                 known[piece] = packed
             out.append(packed)
         return b"".join(out)
 
+
+class BpeDecoder:
+    """Text of ids, ``step`` of them at a time."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes_of = {i: b for b, i in ranks.items()}
+
     def decode(self, packed: bytes, step: int = 1 << 16) -> str:
-        """Text of the ids, ``step`` ids at a time."""
         ids = np.frombuffer(packed, "<u4")
-        of, machine, out = self.machine.bytes_of, Utf8Machine(), []
+        of, machine, out = self.bytes_of.__getitem__, Utf8Machine(), []
         for i in range(0, len(ids), step):
-            for run in _runs(b"".join(map(of.__getitem__, ids[i:i + step].tolist()))):
-                out.append(machine.feed(run))
+            out.append(machine.feed(b"".join(map(of, ids[i:i + step].tolist()))))
         out.append(machine.finish())
         return "".join(out)
 
 
-def _runs(data: bytes) -> Iterator[bytes]:
-    """Runs of ASCII and of other bytes, so that the machine steps through
-    single bytes only where characters have several."""
-    for m in regex.finditer(rb"[\x00-\x7F]+|[\x80-\xFF]+", data):
-        yield m.group()
-
-
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
@@ -323,6 +346,11 @@ def codec(path: str, pattern: str) -> BpeCodec:
     return BpeCodec(load_ranks(path), pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> BpeDecoder:
+    return BpeDecoder(load_ranks(path))
+
+
 def encode_documents(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -341,12 +369,12 @@ def encode_documents(df: DataFrame, path: str, pattern: str) -> DataFrame:
         run, "doc_id long, n_tokens long, ids binary")
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, ids) with ``decoded``, the text of its ids."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def rows(batch_iter):
-        decode = codec(path, pattern).decode
+        decode = decoder(path).decode
         for batch in batch_iter:
             for doc_id, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 packed = ids.as_py() or b""
