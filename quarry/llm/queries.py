@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst
+from quarry.llm import bpe_fst, packing
 from quarry.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,12 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text through the BPE transducer and back."""
     path, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
     coded = bpe_fst.encode_documents(documents(spark, sf_dir), path, pattern)
-    both = bpe_fst.decode_documents(coded, path, pattern)
+    both = bpe_fst.decode_documents(coded, path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces placed into sequences of 4096 tokens."""
+    return packing.best_fit_packing(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
