@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst, packing
-from quarry.llm.common import documents
+from quarry.llm import bpe_fst, packing, rollups, rules, syncmers, training_order
+from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
@@ -39,3 +39,46 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces placed into sequences of 4096 tokens."""
     return packing.best_fit_packing(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    judged = rules.judge(documents(spark, sf_dir), labels(spark, sf_dir))
+    return judged.select("doc_id", *rules.MEASURES, "base_failed", "kept")
+
+
+ORACLES["op6_quality_rules"] = rules.oracle_sql("SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged")
+
+
+@query
+def op9_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness."""
+    f = syncmers.fingerprints(documents(spark, sf_dir))
+    return f.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        syncmers.as_string(F.col("anchors")).alias("fingerprint"), syncmers.as_string(F.col("edited_anchors")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        syncmers.likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"))
+
+
+@query
+def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three deliveries: all documents; later copies deleted
+    and texts without their repeated lines counted anew; that batch again."""
+    docs = documents(spark, sf_dir)
+    tokenizers = {"word_bpe_49k": public_tokenizers.path(WORD_BPE), "white_space": None}
+    rollup = rollups.TokenRollup(spark, new_folder(spark, "rollup"))
+    rollup.commit(1, inserts=rollups.count_tokens(docs, tokenizers))
+    gone, shorter = rollups.cleaned(docs)
+    for _ in range(2):
+        rollup.commit(2, revised=rollups.count_tokens(shorter, tokenizers), deletes=gone)
+    return rollup.totals()
+
+
+@query
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of the corpus in its slot, read back from the shards."""
+    records = training_order.materialise(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), key=20240607)
+    return records.select("slot", "shard", "place", "doc_id", "piece", F.col("n_tokens").cast("long").alias("n_tokens"),
+                          F.octet_length("ids").alias("record_bytes"), F.crc32("ids").alias("record_crc32"))
