@@ -36,6 +36,8 @@ def test_words_give_the_ids_of_the_text(library):
     texts = ["", "Hello  World", "a\x1cb c", "é é  x　y\x85z", "it's <|endoftext|> 12345 don't", "ΣΑΣ σ", "́ a", "x" * 5000]
     few = WordIds(PATH, max_words=3)
     got = few.encode(texts)
+    latin = [chr(a) + chr(b) for a in range(1, 256) for b in (97, 65, 39, 233, 49, 33, a)] + ["İ Ŀ ǆ ﬁ", "can't'LL'S x's'", "o'clock<|startoftext|>", "ÀÉß", "q" * 300]
+    assert [np.frombuffer(g, "<u4").tolist() for g in WordIds(PATH).encode(latin)] == [library.encode(t, add_special_tokens=False).ids for t in latin]
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
