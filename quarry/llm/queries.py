@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst, packing, rollups, rules, syncmers, training_order
+from quarry.llm import bpe_fst, packing, rollups, rules, syncmers, training_order, weak_quality
 from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -82,3 +82,9 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = training_order.materialise(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), key=20240607)
     return records.select("slot", "shard", "place", "doc_id", "piece", F.col("n_tokens").cast("long").alias("n_tokens"),
                           F.octet_length("ids").alias("record_bytes"), F.crc32("ids").alias("record_crc32"))
+
+
+@query
+def op1_weak_label_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior, score and verdict of every document."""
+    return weak_quality.classify(documents(spark, sf_dir))
