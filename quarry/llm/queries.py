@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst, packing, rollups, rules, syncmers, toxicity, training_order, weak_quality
+from quarry.llm import bpe_fst, hyperminhash, packing, rollups, rules, syncmers, toxicity, training_order, weak_quality
 from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -94,3 +94,12 @@ def op1_weak_label_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt outside fold 0."""
     return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return hyperminhash.components(documents(spark, sf_dir))
+
+
+ORACLES["op7_hyperminhash_dedup"] = hyperminhash.ORACLE
