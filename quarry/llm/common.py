@@ -67,3 +67,12 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 def label_fold(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 5: fold 0 is held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over: it does
+    so when the driver's garbage collector finds that nothing refers to them."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
