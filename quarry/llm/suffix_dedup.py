@@ -242,25 +242,55 @@ def _resolve_task(batches):
 
 # ------------------------------------------------------------------- operator
 
+REMOVED = "doc_id long, n_bytes long, removed array<long>, kept binary"
+
+
+def _cut(text: pa.StringScalar, found: list, whole_characters: bool) -> tuple[int, list[int], bytes]:
+    """(bytes of the text, removed runs flat, what is kept)."""
+    data = _bytes(text)
+    kept, at, flat = [], 0, []
+    for first, last in merged(found):
+        if whole_characters:
+            first, last = _inside(data, first, last)
+        if first < last:
+            kept.append(data[at:first])
+            at = last
+            flat += [first, last]
+    return len(data), flat, b"".join([*kept, data[at:]])
+
+
 def _removal_task(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def rows():
         for batch in batches:
             for doc_id, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                data = _bytes(text)
-                spans = merged(found.as_py() or [])
-                kept, at, flat = [], 0, []
-                for first, last in spans:
-                    kept.append(data[at:first])
-                    at = last
-                    flat += [first, last]
-                kept.append(data[at:])
-                yield doc_id, len(data), flat, b"".join(kept)
+                yield doc_id, *_cut(text, found.as_py() or [], False)
 
     yield from batches_out(schema, rows(), lambda r: len(r[3]) + 8 * len(r[2]))
 
 
+def _cleaning_task(batches):
+    """The same batches with the texts cut and without the found runs."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
+            at = part.schema.get_field_index("text")
+            runs = part.column(part.schema.get_field_index("_found"))
+            texts = [text.as_py() if not found.is_valid else _cut(text, found.as_py(), True)[2].decode()
+                     for text, found in zip(part.column(at), runs, strict=True)]
+            yield part.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_found"])
+
+
+def _inside(data: bytes, first: int, last: int) -> tuple[int, int]:
+    """The run without the characters that it covers in part only."""
+    while first < last and data[first] & 0xC0 == 0x80:
+        first += 1
+    while first < last < len(data) and data[last] & 0xC0 == 0x80:
+        last -= 1
+    return first, last
+
+
 def merged(found: list) -> list[tuple[int, int]]:
     """Maximal byte runs [first, last) of windows given as cells' runs."""
     runs = sorted((c["start"] + first, c["start"] + first + n - 1 + LENGTH) for c in found for first, n in zip(c["runs"][::2], c["runs"][1::2], strict=True))
@@ -276,6 +306,18 @@ def merged(found: list) -> list[tuple[int, int]]:
 def remove_repeats(df: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed (first and end of each removed run, flat)
     and kept (the bytes that remain, joined) of every document."""
+    found = _with_runs(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return found.select("doc_id", "text", "_found").mapInArrow(_removal_task, REMOVED)
+
+
+def clean_texts(df: DataFrame) -> DataFrame:
+    """``df`` with repeated strings taken out of its texts.  A run leaves
+    the characters that it would cut, so a text stays UTF-8."""
+    return _with_runs(df).mapInArrow(_cleaning_task, df.schema)
+
+
+def _with_runs(df: DataFrame) -> DataFrame:
+    """``df`` with _found: the runs of repeated windows by cell, or null."""
     spark = df.sparkSession
     read = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     found = stored(read.mapInArrow(_cell_task, CELL), "cells")
@@ -301,5 +343,6 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     whole = spans.where(F.col("n") > 1).select("anchor", "span", F.array(F.lit(0), F.col("n_starts")).alias("runs"))
     settled = whole.unionByName(resolved)
     parts = repeated.join(settled, ["anchor", "span"]).groupBy(F.col("doc_id").alias("its_id"), "text_hash").agg(F.collect_list(F.struct("start", "runs")).alias("found"))
-    joined = read.join(parts, (read["text_hash"] == parts["text_hash"]) & F.col("doc_id").eqNullSafe(F.col("its_id")), "left")
-    return joined.select("doc_id", "text", "found").mapInArrow(_removal_task, "doc_id long, n_bytes long, removed array<long>, kept binary")
+    parts = parts.select(F.col("its_id").alias("_its_id"), F.col("text_hash").alias("_its_hash"), F.col("found").alias("_found"))
+    same = (F.xxhash64(df["text"]) == F.col("_its_hash")) & df["doc_id"].eqNullSafe(F.col("_its_id"))
+    return df.join(parts, same, "left").drop("_its_id", "_its_hash")
