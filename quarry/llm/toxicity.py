@@ -26,6 +26,7 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -46,11 +47,18 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçñóíúîôûùœ
 CLASSES = 64
 
 
-def code(text: str) -> list[int]:
-    return [_CODE.get(c) or (59 + ord(c) % 4 if c.isalpha() else 63) for c in text]
+def _class(c: str) -> int:
+    return ALPHABET.find(c) + 1 or (59 + ord(c) % 4 if c.isalpha() else 63)
 
 
-_CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}
+#: Classes of the first code points; those behind are taken for letters.
+_TABLE = np.array([_class(chr(i)) if not 0xD800 <= i < 0xE000 else 63 for i in range(0x3000)], np.int64)
+
+
+def code(text: str) -> np.ndarray:
+    """The class of every character."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 59 + points % 4)
 
 
 @lru_cache(maxsize=64)
@@ -63,7 +71,7 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def triple_weights(text: str) -> dict[int, float]:
     """The kernel's features of a string: triple -> summed weight."""
-    c = np.array(code(text), np.int64)
+    c = code(text)
     i, j, k, weight = _triples(len(c))
     out: dict[int, float] = {}
     for t, w in zip(((c[i] * CLASSES + c[j]) * CLASSES + c[k]).tolist(), weight.tolist(), strict=True):
@@ -113,12 +121,12 @@ class Landmarks:
         by_length: dict[int, list] = {}
         for n, w in self._windows(words):
             if len(w) >= 3:
-                by_length.setdefault(len(w), []).append((n, code(w)))
+                by_length.setdefault(len(w), []).append((n, w))
         for length, found in by_length.items():
             i, j, k, weight = _triples(length)
             for at in range(0, len(found), 2048):
                 part = found[at:at + 2048]
-                c = np.array([x for _, x in part], np.int64)
+                c = code("".join(x for _, x in part)).reshape(len(part), length)
                 place = self.place[(c[:, i] * CLASSES + c[:, j]) * CLASSES + c[:, k]]
                 row, col = np.nonzero(place)
                 if not len(row):
@@ -130,8 +138,8 @@ class Landmarks:
                 np.maximum.at(out, owners, sums)
         return np.minimum(out, 1) ** POWER
 
-    def look_up(self, words: list[str]) -> np.ndarray:
-        """The number of each word in ``values`` and ``ends``."""
+    def learn(self, words) -> None:
+        """Work out the values of those ``words`` that are not known."""
         if len(self.known) > self.max_words:
             self._clear()
         known = self.known
@@ -143,19 +151,24 @@ class Landmarks:
             self.values[first:first + len(new)] = self.kernel_values(new)
             self.ends[first:first + len(new)] = [w[-1] in ".!?" for w in new]
             known.update(zip(new, range(first, first + len(new)), strict=True))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def sentences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Features of every sentence, and of every different word."""
-        words, breaks = [], [0]
-        for line in text.split("\n"):
-            words += line.split()
-            breaks.append(len(words))
+        return next(self.all_sentences([text]))
+
+    def all_sentences(self, texts):
+        """``sentences`` of many texts, whose new words are worked out together."""
+        texts = iter(texts)
+        while read := [_read(t) for t in itertools.islice(texts, 128)]:
+            self.learn(itertools.chain.from_iterable(itertools.chain(r[0], r[2]) for r in read))
+            for words, breaks, extra, where in read:
+                yield self._sentences(words, breaks, extra, where)
+
+    def _sentences(self, words, breaks, extra, where):
         n = len(words)
         if not n:
             return np.zeros((0, self.m), np.float32), np.zeros((0, self.m), np.float32)
-        extra, where = spelt_out(words)
-        ids = self.look_up(words + extra)
+        ids = np.fromiter(map(self.known.__getitem__, itertools.chain(words, extra)), np.int64, n + len(extra))
         values, ends = self.values[ids], self.ends[ids[:n]]
         starts = np.unique(np.concatenate([[b for b in breaks if b < n], np.flatnonzero(ends[:-1]) + 1]))
         found = np.maximum.reduceat(values[:n], starts, axis=0)
@@ -165,10 +178,21 @@ class Landmarks:
         return found, self.values[np.unique(ids)]
 
 
+def _read(text: str) -> tuple[list[str], list[int], list[str], list[int]]:
+    """Words, where lines begin, spelt-out words and where they begin."""
+    words, breaks = [], [0]
+    for line in text.split("\n"):
+        words += line.split()
+        breaks.append(len(words))
+    return words, breaks, *spelt_out(words)
+
+
 def spelt_out(words: list[str]) -> tuple[list[str], list[int]]:
     """Runs of three or more words of one or two characters, joined, in
     windows of a word's width; and where each begins."""
     joined, where = [], []
+    if not words:
+        return joined, where
     short = np.fromiter(map(len, words), np.int64, len(words)) <= 2
     if short.sum() < 3:
         return joined, where
@@ -234,8 +258,6 @@ LEVELS = (-0.7, -0.3, 0.1)
 
 def summary(sentences: np.ndarray, words: np.ndarray) -> np.ndarray:
     """What a text's score is made of, from its sentences' and words' margins."""
-    if not len(sentences):
-        return np.zeros(2 + 2 * len(LEVELS)) - np.eye(2 + 2 * len(LEVELS))[0]
     counts = [(words > x).sum() for x in LEVELS]
     return np.array([np.clip(sentences.max(), -2, 2), np.log1p(len(words)) / 5, *np.log1p(counts), *(10 * np.sqrt(np.array(counts) / len(words)))])
 
@@ -260,15 +282,14 @@ class Model:
     def __init__(self, strings, direction, bias, weights=None):
         self.strings, self.direction, self.bias, self.weights = strings, direction, bias, weights
 
-    def summary(self, landmarks: Landmarks, text: str) -> np.ndarray:
-        sentences, words = landmarks.sentences(text)
-        return summary(sentences @ self.direction + self.bias, words @ self.direction + self.bias)
+    def summaries(self, landmarks: Landmarks, texts):
+        for sentences, words in landmarks.all_sentences(texts):
+            yield summary(sentences @ self.direction + self.bias, words @ self.direction + self.bias) if len(sentences) else None
 
-    def score(self, landmarks: Landmarks, text: str) -> float:
-        if not text or text.isspace():
-            return 0.0
-        z = self.summary(landmarks, text) @ self.weights[:-1] + self.weights[-1]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def scores(self, landmarks: Landmarks, texts):
+        """Blank texts score 0."""
+        for x in self.summaries(landmarks, texts):
+            yield 0.0 if x is None else float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
 def fit_sentences(bags: list[tuple[int, np.ndarray]], landmarks: Landmarks) -> Model:
@@ -341,6 +362,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     return model
 
 
+def _texts(batch: pa.RecordBatch):
+    return (text.as_py() or "" for text in batch.column(1))
+
+
 def _bag_task(strings: list[str]):
     """Sentence features of each text.  Of very many sentences, training
     takes the twelve closest to any landmark and an even choice of the others."""
@@ -350,8 +375,7 @@ def _bag_task(strings: list[str]):
 
         def rows():
             for batch in batches:
-                for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    found, _ = landmarks.sentences(text.as_py() or "")
+                for toxic, (found, _) in zip(batch.column(0).to_pylist(), landmarks.all_sentences(_texts(batch)), strict=True):
                     if len(found):
                         order = np.argsort(-found.max(1), kind="stable")
                         yield toxic, found[np.unique(np.r_[order[:12], order[12::max(1, len(order) // 12)]])].tobytes()
@@ -368,8 +392,9 @@ def _summary_task(model: Model):
 
         def rows():
             for batch in batches:
-                for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield toxic, model.summary(landmarks, text.as_py() or "").tolist()
+                for toxic, found in zip(batch.column(0).to_pylist(), model.summaries(landmarks, _texts(batch)), strict=True):
+                    if found is not None:
+                        yield toxic, found.tolist()
 
         yield from batches_out(schema, rows(), lambda r: 80)
 
@@ -390,8 +415,7 @@ def score(df: DataFrame, model: Model | None) -> DataFrame:
 
         def rows():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield doc_id, m.score(landmarks, text.as_py() or "")
+                yield from zip(batch.column(0).to_pylist(), m.scores(landmarks, _texts(batch)), strict=True)
 
         yield from batches_out(schema, rows(), lambda r: 16)
 
