@@ -47,6 +47,22 @@ def word_kind(word: str) -> int:
     return 2 if any(c in SIGNS for c in word) else 0
 
 
+def described(word: str) -> tuple[int, str, bool]:
+    """Kind, shape and whether it is shouted: two capitals or more and no
+    small letter.  A shape has letters and digits by class, runs as one,
+    and signs as themselves."""
+    core, tail = (word[:-1], word[-1]) if word[-1] in ".,!?" else (word, "")
+    if core.isalpha():
+        if core.islower():
+            return 0, "a" + tail, False
+        if core.isupper():
+            return 0, "A" + tail, len(core) > 1
+        if core[:1].isupper() and core[1:].islower():
+            return 0, "Aa" + tail, False
+    shape = "".join("a" if c.islower() else "A" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    return word_kind(word), re.sub(r"(.)\1+", r"\1", shape), word.isupper() and sum(map(str.isalpha, word)) > 1
+
+
 def _between(x: float, good: float, bad: float) -> int:
     """+1 up to ``good``, -1 from ``bad`` on, 0 between."""
     return 1 if x <= good else -1 if x >= bad else 0
@@ -140,10 +156,7 @@ class Reader:
         if n == len(self.kind):
             self.kind, self.shape, self.shouted = (np.concatenate([a, np.zeros_like(a)]) for a in (self.kind, self.shape, self.shouted))
         self.known[word] = n
-        self.kind[n] = word_kind(word)
-        self.shouted[n] = word.isupper() and sum(map(str.isalpha, word)) > 1
-        # letters and digits by class, runs as one, signs as themselves
-        shape = re.sub(r"(.)\1+", r"\1", "".join("a" if c.islower() else "A" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64]))
+        self.kind[n], shape, self.shouted[n] = described(word)
         self.shape[n] = crc32(shape.encode("utf-8", "replace"))
         return n
 
