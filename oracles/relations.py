@@ -24,7 +24,7 @@ clf AS (
          CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour,
          CAST(minute(ts) AS INTEGER) AS minute, CAST(second(ts) AS INTEGER) AS second,
          event_id
-  FROM events WHERE event_id % 97 <> 0)"""
+  FROM events WHERE event_id % 97 <> 0 AND event_id % 103 <> 0)"""
 
 CTE["votes"] = """
 votes AS (

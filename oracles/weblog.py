@@ -13,12 +13,20 @@ SELECT host, endpoint, year, month, day, hour, minute, second FROM clf""")
 
 SQL["parse_split"] = """
 SELECT count(*) AS total_lines,
-       count(*) FILTER (WHERE event_id % 97 <> 0) AS accepted,
-       count(*) FILTER (WHERE event_id % 97 = 0) AS rejected
+       count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 103 <> 0) AS accepted,
+       count(*) FILTER (WHERE event_id % 97 = 0 OR event_id % 103 = 0) AS rejected
 FROM events"""
 
 SQL["rejected_lines"] = """
-SELECT 'broken line ' || CAST(event_id AS VARCHAR) AS raw FROM events WHERE event_id % 97 = 0"""
+SELECT CASE WHEN event_id % 97 = 0 THEN 'broken line ' || CAST(event_id AS VARCHAR)
+       ELSE 'u' || user_id || ' - - [garbage] "' || CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END
+            || ' /' || event_type || '/' || CAST(user_id % 20 AS VARCHAR)
+            || CASE WHEN event_id % 89 = 0 THEN '' ELSE ' HTTP/1.0' END || '" '
+            || CASE WHEN event_id % 20 = 0 THEN '404' WHEN event_id % 50 = 1 THEN '500'
+                    WHEN event_id % 50 IN (3, 7) THEN '302' WHEN event_id % 10 = 9 THEN '304' ELSE '200' END
+            || ' ' || CASE WHEN event_id % 13 = 0 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END
+            || CASE WHEN event_id % 101 = 0 THEN ' "http://a.example/" "agent 1.0"' ELSE '' END END AS raw
+FROM events WHERE event_id % 97 = 0 OR event_id % 103 = 0"""
 
 SQL["size_stats"] = with_("clf", """
 SELECT CAST(sum(content_size) // count(content_size) AS BIGINT) AS avg_size,

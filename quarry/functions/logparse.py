@@ -1,7 +1,7 @@
 """Common Log Format parsing as column expressions.
 
-Everything here is a JVM expression: ``regexp_extract`` per group,
-``try_to_timestamp`` for the time, no Python per row.
+Everything here is a JVM expression: one ``regexp_replace`` and a split
+for the groups, ``try_to_timestamp`` for the time, no Python per row.
 """
 
 from __future__ import annotations
@@ -9,15 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The Common Log Format line layout.  Nine groups: host,
-# client id, user id, time, method, endpoint, protocol (may be empty),
-# status code, content size ("-" means 0).
-CLF_PATTERN = (r'^(\S+) (\S+) (\S+) \[([^\]]+)\] '
-               r'"(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)\s*$')
+# The Common Log Format pattern.  Nine groups: host, client
+# id, user id, time with zone, method, endpoint, protocol (may be empty),
+# status code, content size ("-" means 0).  Fields after the size are allowed.
+CLF_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] '
+               r'"(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)')
 CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 
-_GROUPS = ["host", "client_id", "user_id", "time_text", "method",
-           "endpoint", "protocol", "status_text", "size_text"]
+# The groups as one text, a line each.  No group but the time can hold a
+# line feed, so the time comes last; a match never begins with one.
+_FIELDS = ["host", "client_id", "user_id", "method", "endpoint", "protocol", "status_text", "size_text", "time_text"]
+_REWRITTEN = "\n" + "\n".join(f"${g}" for g in (1, 2, 3, 5, 6, 7, 8, 9, 4))
 
 
 def clf_time_parts(time_text: Column) -> Column:
@@ -29,14 +31,16 @@ def clf_time_parts(time_text: Column) -> Column:
 def parse_clf(lines: DataFrame, col: str = "value") -> DataFrame:
     """One row per input line: ``raw``, ``ok`` and the parsed fields.
 
-    ``regexp_extract`` gives '' (not null) on no match, so ``ok`` is the
-    match test itself; the parsed fields are only meaningful where ok.
+    The pattern runs once per line: it rewrites a matching line into its
+    groups, one per line, and leaves others alone.  The parsed fields are
+    only meaningful where ``ok``.
     """
     raw = F.col(col)
-    fields = [F.regexp_extract(raw, CLF_PATTERN, i + 1).alias(name)
-              for i, name in enumerate(_GROUPS)]
-    df = lines.select(raw.alias("raw"), raw.rlike(CLF_PATTERN).alias("ok"),
-                      *fields)
+    once = lines.select(raw.alias("raw"), F.regexp_replace(raw, "(?s)" + CLF_PATTERN + ".*$", _REWRITTEN).alias("_groups"))
+    ok = F.startswith("_groups", F.lit("\n")) & ~F.startswith("raw", F.lit("\n"))
+    split = once.select("raw", ok.alias("ok"), F.split("_groups", "\n", len(_FIELDS) + 1).alias("_groups"))
+    df = split.select("raw", "ok", *[F.when(F.col("ok"), F.get("_groups", F.lit(i + 1))).otherwise(F.lit("")).alias(name)
+                                     for i, name in enumerate(_FIELDS)])
     ts = clf_time_parts(F.col("time_text"))
     return (df
             .withColumn("response_code", F.expr("try_cast(status_text AS INT)"))

@@ -22,6 +22,8 @@ STATUS_RULES = "id%20=0 -> 404; id%50=1 -> 500; id%50 in (3,7) -> 302; id%10=9 -
 BROKEN_EVERY = 97
 DASH_SIZE_EVERY = 13
 NO_PROTOCOL_EVERY = 89
+BAD_TIME_EVERY = 103        # a time that is none: the line does not parse
+TRAILING_EVERY = 101        # referrer and agent after the size: it does
 
 
 def _status(eid):
@@ -46,8 +48,10 @@ def clf_lines(t: Tables) -> DataFrame:
     request = F.concat_ws(" ", method, endpoint, protocol)
     size = (F.when(eid % DASH_SIZE_EVERY == 0, F.lit("-"))
             .otherwise(F.floor(F.col("value") * 100).cast("string")))
-    line = F.concat(host, F.lit(" - - ["), when, F.lit(" "), zone, F.lit('] "'),
-                    request, F.lit('" '), _status(eid).cast("string"), F.lit(" "), size)
+    time = F.when(eid % BAD_TIME_EVERY == 0, F.lit("garbage")).otherwise(F.concat_ws(" ", when, zone))
+    trailing = F.when(eid % TRAILING_EVERY == 0, F.lit(' "http://a.example/" "agent 1.0"')).otherwise(F.lit(""))
+    line = F.concat(host, F.lit(" - - ["), time, F.lit('] "'), request, F.lit('" '),
+                    _status(eid).cast("string"), F.lit(" "), size, trailing)
     broken = F.concat(F.lit("broken line "), eid.cast("string"))
     return e.select(F.when(eid % BROKEN_EVERY == 0, broken).otherwise(line).alias("value"))
 
