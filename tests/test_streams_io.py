@@ -78,3 +78,35 @@ def test_processing_time_trigger_and_quota(spark, tmpdir_path):
     log = K.read_log(spark, f"{tmpdir_path}/out")
     assert log.count() == 60
     assert K.take_per_batch(log, 2).count() == 2
+
+
+def test_upsert_survives_replay(spark, tmpdir_path):
+    def batch(*rows):
+        return spark.createDataFrame(rows, "key string, arrival long, v int")
+
+    def state():
+        return {r["key"]: r["v"] for r in tab.read(spark).collect()}
+    tab = K.VersionedTable(f"{tmpdir_path}/t", "key", "arrival")
+    assert tab.upsert(batch(("a", 1, 1), ("b", 1, 2)), 0)
+    one = batch(("b", 2, 20), ("c", 2, 3))
+    # a first attempt that died before its commit
+    one.write.parquet(tab.path(1))
+    os.remove(f"{tab.path(1)}/_SUCCESS")
+    assert tab.versions(spark) == [0] and state() == {"a": 1, "b": 2}
+    assert tab.upsert(one, 1) and state() == {"a": 1, "b": 20, "c": 3}
+    assert not tab.upsert(one, 1) and state() == {"a": 1, "b": 20, "c": 3}
+    try:
+        tab.upsert(one, 0 - 1)
+        raise AssertionError("an older batch was taken")
+    except ValueError:
+        pass
+    # a committed version that cannot be read is an error, not an empty table
+    for name in os.listdir(tab.path(1)):
+        if name.endswith(".parquet"):
+            with open(f"{tab.path(1)}/{name}", "wb") as f:
+                f.write(b"not parquet")
+    try:
+        tab.upsert(batch(("z", 3, 1)), 2)
+        raise AssertionError("a damaged table was taken for an empty one")
+    except Exception as ex:  # noqa: BLE001
+        assert not isinstance(ex, AssertionError)
