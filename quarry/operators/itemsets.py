@@ -9,6 +9,7 @@ and a reliable checkpoint per level.
 
 from __future__ import annotations
 
+import itertools
 import math
 from fractions import Fraction
 
@@ -38,15 +39,16 @@ def frequent_filter(counts: DataFrame, min_count: int) -> DataFrame:
 
 
 def candidate_k(prev: DataFrame, k: int) -> DataFrame:
-    """k-candidates from frequent (k-1)-sets (``items`` sorted arrays).
+    """k-candidates (k of 3 or more) from frequent (k-1)-sets
+    (``items`` sorted arrays); pairs come from ``pair_candidates``.
 
     Join on the first k-2 items, append the larger last item, then keep a
     candidate only if every (k-1)-subset is frequent (subset pruning by
     an equi-join on the subset array, counted per candidate).
     """
+    if k < 3:
+        raise ValueError("pairs come from pair_candidates")
     p = prev.select("items")
-    if k == 2:
-        return _pairs_from_singletons(p)
     left = p.select(F.slice("items", 1, k - 2).alias("pre"), F.element_at("items", -1).alias("a"))
     right = p.select(F.slice("items", 1, k - 2).alias("pre"), F.element_at("items", -1).alias("b"))
     cand = left.join(right, "pre").where(F.col("a") < F.col("b")).select(
@@ -59,12 +61,14 @@ def candidate_k(prev: DataFrame, k: int) -> DataFrame:
              .select("items")
 
 
-def _pairs_from_singletons(p: DataFrame) -> DataFrame:
-    # F3 for k = 2: pairs of frequent items; the item domain is the set of
-    # frequent singletons, bounded by the number of distinct items.
-    a = p.select(F.col("items")[0].alias("i"))
-    b = p.select(F.col("items")[0].alias("j"))
-    return a.join(b, F.col("i") < F.col("j")).select(F.array("i", "j").alias("items"))
+def pair_candidates(baskets: DataFrame, frequent: DataFrame) -> DataFrame:
+    """F3 for k = 2: (basket, items) for every pair of ``frequent`` items
+    (column ``item``) that a basket holds.  A pair that no basket holds has
+    no support, so the product of all frequent items is never formed; the
+    join on the basket is an equi-join, which AQE splits at a hot basket."""
+    b = baskets.select("basket", "item").distinct().join(frequent.select("item"), "item", "left_semi")
+    other = b.select("basket", F.col("item").alias("larger"))
+    return b.join(other, "basket").where(F.col("item") < F.col("larger")).select("basket", F.array("item", "larger").alias("items"))
 
 
 def count_support(baskets: DataFrame, cand: DataFrame, k: int) -> DataFrame:
@@ -76,7 +80,7 @@ def count_support(baskets: DataFrame, cand: DataFrame, k: int) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("support")))
 
 
-def apriori(baskets: DataFrame, min_count: int, max_k: int = 50) -> DataFrame:
+def apriori(baskets: DataFrame, min_count: int) -> DataFrame:
     """all frequent itemsets as (k, items sorted, support).
 
     Level-wise with basket lists kept vertically: T(k) holds (basket,
@@ -94,11 +98,11 @@ def apriori(baskets: DataFrame, min_count: int, max_k: int = 50) -> DataFrame:
     t1 = cut_lineage(b.join(l1.select(F.col("items")[0].alias("item")), "item", "left_semi"))
     levels = [l1.select(F.lit(1).alias("k"), "items", "support")]
     prev, tk = l1, t1.select("basket", F.array("item").alias("items"))
-    for k in range(2, max_k + 1):
-        cand = candidate_k(prev, k)
+    for k in itertools.count(2):
         ext = (tk.join(t1, "basket").where(F.col("item") > F.element_at("items", -1))
                .select("basket", F.concat("items", F.array("item")).alias("items")))
-        ext = ext.join(cand, "items", "left_semi")
+        if k > 2:       # a pair of frequent items needs no pruning
+            ext = ext.join(candidate_k(prev, k), "items", "left_semi")
         counts = ext.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
         lk = cut_lineage(frequent_filter(counts, min_count))
         if lk.limit(1).count() == 0:
@@ -112,36 +116,42 @@ def apriori(baskets: DataFrame, min_count: int, max_k: int = 50) -> DataFrame:
     return out
 
 
-def _bit(mask, i):
-    return mask.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0
-
-
 def subsets_of_size(itemsets: DataFrame, n: int) -> DataFrame:
-    """every n-subset of each itemset, by bitmask (itemsets are short)."""
-    size = F.size("items")
-    masks = F.filter(F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 1),
-                     lambda m: F.bit_count(m) == n)
-    ex = itemsets.select("items", F.explode(masks).alias("mask"))
-    return ex.select("items", F.filter("items", lambda x, i: _bit(F.col("mask"), i)).alias("subset"))
+    """every n-subset of each itemset: one place after the other, each
+    behind the one before."""
+    rows = itemsets.select("items", F.array().cast(itemsets.schema["items"].dataType).alias("subset"), F.lit(0).alias("last"))
+    for left in range(n - 1, -1, -1):
+        room = F.size("items") - left
+        places = F.when(F.col("last") < room, F.sequence(F.col("last") + 1, room)).otherwise(F.array().cast("array<int>"))
+        rows = rows.select("items", "subset", F.explode(places).alias("last"))
+        rows = rows.select("items", F.concat("subset", F.array(F.element_at("items", F.col("last")))).alias("subset"), "last")
+    return rows.select("items", "subset")
 
 
 def association_rules(itemsets: DataFrame, min_conf: float) -> DataFrame:
     """X -> Y for every frequent Z = X ∪ Y (X, Y non-empty, disjoint),
     confidence sup(Z)/sup(X) > min_conf (strict).  All consequents kept;
     only frequent unions are used (every subset of a frequent set is
-    frequent, so sup(X) is always known)."""
-    z = itemsets.where(F.col("k") >= 2).select("items", F.col("support").alias("sup_z"))
-    size = F.size("items")
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 2)
-    ex = z.select("items", "sup_z", F.explode(masks).alias("mask"))
-    ante = F.filter("items", lambda x, i: _bit(F.col("mask"), i))
-    cons = F.filter("items", lambda x, i: ~_bit(F.col("mask"), i))
-    rules = ex.select(ante.alias("antecedent"), cons.alias("consequent"), "sup_z")
-    sx = itemsets.select(F.col("items").alias("antecedent"), F.col("support").alias("sup_x"))
-    r = rules.join(sx, "antecedent")
-    return (r.withColumn("confidence", F.col("sup_z") / F.col("sup_x"))
-             .where(F.col("confidence") > min_conf)
-             .select("antecedent", "consequent", F.col("sup_z").alias("support"), "confidence"))
+    frequent, so sup(X) is always known).
+
+    Antecedents shrink by one item per round.  Taking an item from X can
+    only raise sup(X), so what follows from a rule that fails fails too, and
+    a round starts from the rules that hold: work follows the result."""
+    z = itemsets.where(F.col("k") >= 2).select(F.col("items").alias("z"), F.col("support").alias("sup_z"))
+    sx = itemsets.select(F.col("items").alias("x"), F.col("support").alias("sup_x"))
+    held = z.withColumn("x", F.col("z"))
+    found = []
+    while True:
+        shorter = held.where(F.size("x") > 1).select("z", "sup_z", F.explode(F.transform("x", lambda e: F.array_remove("x", e))).alias("x")).distinct()
+        held = cut_lineage(shorter.join(sx, "x").withColumn("confidence", F.col("sup_z") / F.col("sup_x"))
+                           .where(F.col("confidence") > min_conf).select("z", "sup_z", "x", "confidence"))
+        found.append(held)
+        if held.limit(1).count() == 0:
+            break
+    rules = found[0]
+    for more in found[1:]:
+        rules = rules.unionByName(more)
+    return rules.select(F.col("x").alias("antecedent"), F.array_except("z", "x").alias("consequent"), F.col("sup_z").alias("support"), "confidence")
 
 
 def fp_growth(baskets: DataFrame, min_count: int, n_baskets: int):

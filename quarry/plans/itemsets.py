@@ -39,8 +39,8 @@ def q_frequent_filter(t):
 def q_candidate_k(t):
     """candidate 3-itemsets from the frequent pairs (pruned)."""
     b, _, ms = _setup(t)
-    l2 = I.frequent_filter(I.count_support(b, I.candidate_k(
-        I.frequent_filter(I.item_support(b), ms).select(F.array("item").alias("items")), 2), 2), ms)
+    pairs = I.pair_candidates(b, I.frequent_filter(I.item_support(b), ms))
+    l2 = I.frequent_filter(pairs.groupBy("items").agg(F.count(F.lit(1)).alias("support")), ms)
     c3 = I.candidate_k(l2, 3)
     return c3.select(F.array_join("items", " ").alias("items"))
 

@@ -66,3 +66,28 @@ def test_best_span(spark):
     df = spark.createDataFrame(rows, "doc_id long, pos int, ls double, le double")
     r = Q.best_span(df, "doc_id").first()
     assert (r["start_tok"], r["end_tok"]) == (1, 2)
+
+
+def test_long_itemsets(spark):
+    items = list(range(31))
+    df = spark.createDataFrame([(31, items, 2)], "k int, items array<int>, support long")
+    subsets = I.subsets_of_size(df, 2)
+    assert subsets.count() == 31 * 30 // 2 and subsets.distinct().count() == 465
+    assert I.subsets_of_size(df, 31).count() == 1 and I.subsets_of_size(df, 32).count() == 0
+    # of a long set, only antecedents whose support is known give rules
+    known = [(31, items, 2), (30, items[:-1], 3), (30, items[1:], 3), (29, items[1:-1], 4)]
+    rules = I.association_rules(spark.createDataFrame(known, df.schema), 0.4).collect()
+    got = {(len(r["antecedent"]), tuple(r["consequent"]), round(r["confidence"], 3)) for r in rules}
+    assert got == {(30, (30,), 0.667), (30, (0,), 0.667), (29, (0, 30), 0.5), (29, (0,), 0.75), (29, (30,), 0.75)}
+
+
+def test_apriori_goes_to_the_empty_level(spark):
+    rows = [(b, i) for b in range(2) for i in range(7)]
+    got = I.apriori(spark.createDataFrame(rows, "basket long, item int"), 2)
+    assert got.count() == 2 ** 7 - 1 and got.agg(F.max("k")).first()[0] == 7
+
+
+def test_no_product_of_items(spark):
+    b = baskets(spark)
+    plan = I.pair_candidates(b, I.frequent_filter(I.item_support(b), 2))._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
