@@ -109,7 +109,7 @@ def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFr
     map-side; the running count of negatives is a distributed prefix sum
     over range partitions (no single-partition window).
     """
-    from quarry.operators.relational import global_cumsum_before
+    from quarry.operators.ordering import global_cumsum_before
     g = scored.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                   F.count_if(F.col(label) != 1).alias("neg"))
     g = global_cumsum_before(g, [F.col(score)], "neg", "neg_below")

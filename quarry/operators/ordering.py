@@ -24,28 +24,48 @@ from quarry.session import scratch_path
 
 def running_before(df: DataFrame, order: list, weight: str | None, name: str) -> DataFrame:
     """``df`` with ``name``: the sum of ``weight`` (None: the number of
-    rows) over all rows before this one in ``order``, which must be total.
-    Nulls weigh nothing; weights are integers."""
+    rows) over all rows before this one in ``order``."""
+    return running_sums(df, order, {name: weight})
+
+
+def running_sums(df: DataFrame, order: list, sums: dict[str, str | None]) -> DataFrame:
+    """``df`` with a column for each of ``sums`` (name -> integer column, or
+    None for 1): its sum over all rows before this one in ``order``, which
+    must be total.  Nulls weigh nothing."""
     spark = df.sparkSession
-    step = F.lit(1) if weight is None else F.coalesce(F.col(weight), F.lit(0))
-    source = df.withColumn("_w", step.cast("long"))
-    schema = T.StructType([*source.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_before", T.LongType())])
+    names = list(sums)
+    source = df.withColumns({f"_w{i}": (F.lit(1) if sums[n] is None else F.coalesce(F.col(sums[n]), F.lit(0))).cast("long") for i, n in enumerate(names)})
+    extra = [T.StructField("_part", T.IntegerType()), *[T.StructField(f"_b{i}", T.LongType()) for i in range(len(names))]]
+    schema = T.StructType([*source.schema.fields, *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total = TaskContext.get().partitionId(), 0
+        part, totals = TaskContext.get().partitionId(), [0] * len(names)
         for batch in batches:
-            w = batch.column(batch.schema.get_field_index("_w")).to_numpy(zero_copy_only=False)
-            before = total + w.cumsum() - w
-            total += int(w.sum())
-            columns = [*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(before, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_part", "_before"])
+            before = []
+            for i in range(len(names)):
+                w = batch.column(batch.schema.get_field_index(f"_w{i}")).to_numpy(zero_copy_only=False)
+                before.append(pa.array(totals[i] + w.cumsum() - w, pa.int64()))
+                totals[i] += int(w.sum())
+            columns = [*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), *before]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_part", *[f"_b{i}" for i in range(len(names))]])
 
     path = os.path.join(scratch_path(spark, "running"), uuid.uuid4().hex)
     source.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema).write.parquet(path)
     numbered = spark.read.schema(schema).parquet(path)
-    totals = {r["_part"]: r["n"] for r in numbered.groupBy("_part").agg(F.sum("_w").alias("n")).collect()}
-    parts = sorted(totals)
-    starts = [0, *itertools.accumulate(totals[p] for p in parts)][:len(parts)]
-    offsets = spark.createDataFrame(list(zip(parts, starts, strict=True)), "_part int, _start long")
+    totals = sorted(numbered.groupBy("_part").agg(*[F.sum(f"_w{i}").alias(f"_t{i}") for i in range(len(names))]).collect())
+    starts = [[0, *itertools.accumulate(r[f"_t{i}"] for r in totals)] for i in range(len(names))]
+    rows = [(r["_part"], *[s[k] for s in starts]) for k, r in enumerate(totals)]
+    offsets = spark.createDataFrame(rows, ", ".join(["_part int", *[f"_s{i} long" for i in range(len(names))]]))
     joined = numbered.join(F.broadcast(offsets), "_part")      # one row per partition
-    return joined.withColumn(name, F.col("_start") + F.col("_before")).drop("_part", "_start", "_before", "_w")
+    found = joined.withColumns({n: F.col(f"_s{i}") + F.col(f"_b{i}") for i, n in enumerate(names)})
+    return found.drop("_part", *[f"_{c}{i}" for c in "wbs" for i in range(len(names))])
+
+
+def global_row_number(df: DataFrame, order: list, name: str = "rn") -> DataFrame:
+    """Exact 1-based position of every row in a total ``order``."""
+    return running_sums(df, order, {name: None}).withColumn(name, F.col(name) + 1)
+
+
+def global_cumsum_before(df: DataFrame, order: list, value: str, name: str) -> DataFrame:
+    """Sum of ``value`` over all rows strictly before each row in ``order``."""
+    return running_sums(df, order, {name: value})

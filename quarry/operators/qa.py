@@ -84,7 +84,7 @@ def frequency_vocab(tok: DataFrame, col: str, specials=WORD_SPECIALS,
     """(token, id, freq): specials first, then by falling
     frequency (ties by token).  Positions come from a distributed global
     row number over the distinct vocabulary."""
-    from quarry.operators.relational import global_row_number
+    from quarry.operators.ordering import global_row_number
     c = tok.groupBy(col).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
     c = global_row_number(c, [F.desc("freq"), F.asc(col)], "_rn")
     ranked = c.select(F.col(col).alias("token"), (F.col("_rn") - 1 + len(specials)).alias("id"), "freq")
@@ -101,7 +101,7 @@ def threshold_vocab(tok: DataFrame, order_cols: list[str], threshold: int = 4) -
     w = Window.partitionBy("token").orderBy(*order_cols)
     nth = (tok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= threshold)
            .where(F.col("_rn") == threshold))
-    from quarry.operators.relational import global_row_number
+    from quarry.operators.ordering import global_row_number
     nth = global_row_number(nth.select("token", *order_cols), [F.col(c) for c in order_cols], "_rn")
     words = nth.select("token", (F.col("_rn") + len(CAPTION_SPECIALS) - 1).cast("int").alias("id"))
     sp = tok.sparkSession.createDataFrame([(s, i) for i, s in enumerate(CAPTION_SPECIALS)],

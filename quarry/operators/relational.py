@@ -78,11 +78,10 @@ def group_avg(df: DataFrame, key: str, value: str,
 
 
 def group_avg_sql(df: DataFrame, key: str, value: str,
-                  name: str = "avg_value", view: str = "_quarry_avg") -> DataFrame:
-    """A11 (SQL-text form on a temp view)."""
-    df.createOrReplaceTempView(view)
+                  name: str = "avg_value") -> DataFrame:
+    """A11 (SQL-text form); the frame is a parameter of the statement."""
     return df.sparkSession.sql(
-        f"SELECT {key}, avg({value}) AS {name} FROM {view} GROUP BY {key}")
+        f"SELECT {key}, avg({value}) AS {name} FROM {{source}} GROUP BY {key}", source=df)
 
 
 def group_count_desc(df: DataFrame, key: str) -> DataFrame:
@@ -101,14 +100,6 @@ def max_key(df: DataFrame, col: str, name: str = "next_id") -> DataFrame:
     return df.agg((F.coalesce(F.max(col), F.lit(-1)) + 1).alias(name))
 
 
-def assign_ids(df: DataFrame, start: Column, order: Sequence[str],
-               name: str = "id") -> DataFrame:
-    """A15 bulk form: contiguous ids after ``start`` in a given (total)
-    order, numbered by the distributed ``global_row_number``."""
-    return global_row_number(df, [F.col(c) for c in order], "_rn") \
-        .withColumn(name, start + F.col("_rn")).drop("_rn")
-
-
 def global_stats(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """A10: arbitrary one-row aggregates."""
     return df.agg(*[e.alias(n) for n, e in exprs.items()])
@@ -160,22 +151,6 @@ def top_n_with_ties(df: DataFrame, score_col: str, n: int = 10) -> DataFrame:
     return df.join(cut, score_col, "left_semi")
 
 
-def adjacent_diff(df: DataFrame, value: str, order_desc: bool = True) -> DataFrame:
-    """Sort, absolute step to the next value, position of the largest
-    step + 1.  Operates on a bounded vector (eigenvalues)."""
-    o = F.desc(value) if order_desc else F.asc(value)
-    w = Window.orderBy(o)
-    return (df.withColumn("pos", F.row_number().over(w))
-              .withColumn("step", F.abs(F.col(value) - F.lead(value).over(w))))
-
-
-def frequency_rank_ids(df: DataFrame, token: str, freq: str,
-                       offset: int = 0) -> DataFrame:
-    """id = position by descending frequency (ties by token) + offset."""
-    r = global_row_number(df, [F.desc(freq), F.asc(token)], "_rn")
-    return r.withColumn("id", F.col("_rn") - 1 + offset).drop("_rn")
-
-
 def hash_sample_k(df: DataFrame, k: int, seed: int, key_cols) -> DataFrame:
     """Repeatable uniform sample of k rows without replacement.
 
@@ -270,39 +245,3 @@ def set_union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def schema_of(df: DataFrame) -> list[tuple[str, str]]:
     """(name, type) pairs of a frame's schema; nothing is read."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
-def _range_parts(df: DataFrame, order: list) -> DataFrame:
-    """Range-partition by ``order`` and tag rows with their partition id;
-    partition i holds keys before partition i + 1 (materialised once so
-    that the id is stable for both uses below)."""
-    from quarry.session import cut_lineage
-    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
-
-
-def global_row_number(df: DataFrame, order: list, name: str = "rn") -> DataFrame:
-    """Exact 1-based position of every row in a total ``order`` without a
-    single-partition window: range partitions are numbered locally and
-    shifted by the row counts of all earlier partitions (a table with one
-    row per partition).  ``order`` must be a total order (add a key)."""
-    r = _range_parts(df, order)
-    offs = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = offs.select("_pid", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_pid").orderBy(*order)
-    return (r.join(offs, "_pid").withColumn(name, F.col("_off") + F.row_number().over(w))
-             .drop("_pid", "_off"))
-
-
-def global_cumsum_before(df: DataFrame, order: list, value: str, name: str) -> DataFrame:
-    """Sum of ``value`` over all rows strictly before each row in ``order``
-    (distributed like ``global_row_number``)."""
-    r = _range_parts(df, order)
-    offs = r.groupBy("_pid").agg(F.sum(value).alias("_s"))
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = offs.select("_pid", F.coalesce(F.sum("_s").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (r.join(offs, "_pid")
-             .withColumn(name, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
-             .drop("_pid", "_off"))

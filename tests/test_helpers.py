@@ -23,7 +23,7 @@ def test_cooling():
 def test_global_row_number_and_cumsum(spark):
     from pyspark.sql import functions as F
 
-    from quarry.operators.relational import global_cumsum_before, global_row_number
+    from quarry.operators.ordering import global_cumsum_before, global_row_number
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("v"))
     rn = {r["k"]: r["rn"] for r in global_row_number(df, [F.col("k")], "rn").collect()}
     assert rn == {k: k + 1 for k in range(1000)}
