@@ -50,6 +50,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.model._resize_cache(0)         # words are kept here
         self.max_words = max_words
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}

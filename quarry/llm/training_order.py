@@ -1,32 +1,35 @@
 """Training-order materialisation.
 
 Documents become sequences of at most ``length`` token ids (the end id
-closes each document).  Sequences are numbered densely in the order of
-(doc_id, piece); a keyed Feistel network permutes the numbers of the next
-larger power of four, and cycle-walking repeats it until the result is
-below the number of sequences, which makes it a permutation of exactly
-those.  The result is a sequence's global slot.  Slot ranges are
+closes each document) and are written once; each has its place in its
+part of that table, and the sizes of the parts make the places dense
+numbers without moving a row.  A keyed Feistel network permutes the
+numbers of the next larger power of four, and cycle-walking repeats it
+until the result is below the number of sequences, which makes it a
+permutation of exactly those.  The result is a sequence's global slot.  Slot ranges are
 partitions: each writes shards of ``stride`` consecutive slots, one folder
 and one file per shard, every record padded to the same number of bytes.
 So the record of a slot is found by division, a reader starts or resumes
 at any slot, and reads are sequential.
 
 Null and empty texts are sequences of the end id alone.  Repeated rows and
-null doc_ids (first in the order) are sequences of their own, extra
-columns are ignored, and an empty table writes no shards.
+null doc_ids are sequences of their own, extra columns are ignored, and an
+empty table writes no shards.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import batches_out, new_folder, stored
 from quarry.llm.tokens import encoded
-from quarry.operators.ordering import running_before
 
 ROUNDS = 6
 PAD_ID = 0
@@ -87,26 +90,31 @@ def indexes(slot: np.ndarray, n: int, key: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ sequences
 
+SEQUENCE = "part int, local long, doc_id long, piece int, n_tokens int, ids binary"
+
+
 def cut_sequences(df: DataFrame, path: str, length: int = 1024, end_id: int = 1) -> DataFrame:
-    """row (a document row's number), doc_id, piece, n_tokens and ids
-    (little-endian unsigned 16-bit) of every sequence."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("ids", pa.binary())])
+    """Every sequence: its part and place there, doc_id, piece, n_tokens
+    and ids (little-endian unsigned 16-bit)."""
+    schema = pa.schema([("part", pa.int32()), ("local", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("ids", pa.binary())])
 
     def rows(batches):
-        for (row, doc_id), packed in encoded(batches, path):
+        part, local = TaskContext.get().partitionId(), 0
+        end = int(end_id).to_bytes(2, "little")
+        for (doc_id,), packed in encoded(batches, path):
             wide = np.frombuffer(packed, "<u4")
             if len(wide) and wide.max() > 0xFFFF:
                 raise ValueError("ids above 65535 do not fit a record")
-            ids = np.append(wide.astype("<u2"), np.array([end_id], "<u2"))
-            for i, start in enumerate(range(0, len(ids), length)):
-                piece = ids[start:start + length]
-                yield row, doc_id, i, len(piece), piece.tobytes()
+            ids = wide.astype("<u2").tobytes() + end
+            for i, start in enumerate(range(0, len(ids), 2 * length)):
+                piece = ids[start:start + 2 * length]
+                yield part, local, doc_id, i, len(piece) // 2, piece
+                local += 1
 
     def run(batches):
-        yield from batches_out(schema, rows(batches), lambda r: len(r[4]))
+        yield from batches_out(schema, rows(batches), lambda r: len(r[5]))
 
-    numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return numbered.mapInArrow(run, "row long, doc_id long, piece int, n_tokens int, ids binary")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SEQUENCE)
 
 
 def _slot_column(n: int, key: int):
@@ -122,29 +130,26 @@ def write_shards(sequences: DataFrame, key: int, length: int, stride: int) -> st
     order; returns the folder."""
     spark = sequences.sparkSession
     kept = stored(sequences, "sequences")
-    n = kept.count()
     out = new_folder(spark, "shards")
+    sizes = sorted((r["part"], r["count"]) for r in kept.groupBy("part").count().collect())
+    n = sum(c for _, c in sizes)
     if not n:
         spark.createDataFrame([], SHARD).write.parquet(out)
         return out
-    per_document = kept.groupBy("row", "doc_id").agg(F.count(F.lit(1)).alias("n_pieces"))
-    first = running_before(per_document, [F.col("doc_id").asc_nulls_first(), F.col("row")], "n_pieces", "first")
-    placed = kept.join(first.select("row", "first"), "row").withColumn("index", F.col("first") + F.col("piece"))
-    placed = placed.withColumn("slot", _slot_column(n, key)("index")).withColumn("shard", F.floor(F.col("slot") / stride).cast("long"))
+    starts = itertools.accumulate((c for _, c in sizes), initial=0)
+    offsets = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts, strict=False)], "part int, first long")
+    placed = kept.join(F.broadcast(offsets), "part")          # one row per part
+    placed = placed.withColumn("slot", _slot_column(n, key)(F.col("first") + F.col("local")))
+    placed = placed.withColumn("shard", F.floor(F.col("slot") / stride).cast("long"))
     n_shards = -(-n // stride)
     parts = min(n_shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    part = F.floor(F.col("shard") * parts / n_shards).cast("int")
-    padded = F.concat("ids", _padding(F.col("n_tokens"), length))
-    dealt = placed.select("slot", "doc_id", "piece", "n_tokens", "ids", "shard").repartitionById(parts, part)
-    ordered = dealt.sortWithinPartitions("shard", "slot").withColumn("ids", padded)
-    ordered.write.partitionBy("shard").parquet(out)
+    range_of = F.floor(F.col("shard") * parts / n_shards).cast("int")
+    dealt = placed.select("slot", "doc_id", "piece", "n_tokens", "ids", "shard").repartitionById(parts, range_of)
+    padded = F.expr(f"rpad(ids, {2 * length}, X'{PAD_ID.to_bytes(2, 'little').hex()}')")
+    dealt.sortWithinPartitions("shard", "slot").withColumn("ids", padded).write.partitionBy("shard").parquet(out)
     return out
 
 
-def _padding(n_tokens: Column, length: int) -> Column:
-    return F.unhex(F.repeat(F.lit(PAD_ID.to_bytes(2, "little").hex()), F.lit(length) - n_tokens))
-
-
 def read_shards(spark: SparkSession, folder: str, first: int = 0, count: int | None = None, stride: int = 4096) -> DataFrame:
     """Records of ``count`` slots from ``first`` on, of those shards only
     that hold them, with their shard and their place in it."""
