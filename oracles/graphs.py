@@ -22,8 +22,8 @@ WHERE e.likes > 5""")
 
 SQL["subgraph_semi"] = with_([V, E], """
 SELECT src, dst, likes FROM likes_e
-WHERE src IN (SELECT id FROM likes_v WHERE age >= 74)
-  AND dst IN (SELECT id FROM likes_v WHERE age >= 74)""")
+WHERE src IN (SELECT id FROM likes_v WHERE age >= 30)
+  AND dst IN (SELECT id FROM likes_v WHERE age >= 30)""")
 
 SQL["in_degree"] = with_(E, "SELECT dst AS id, count(*) AS in_deg FROM likes_e GROUP BY dst")
 SQL["out_degree"] = with_(E, "SELECT src AS id, count(*) AS out_deg FROM likes_e GROUP BY src")
@@ -70,7 +70,7 @@ FROM likes_e e JOIN likes_v s ON e.src = s.id JOIN likes_v d ON e.dst = d.id GRO
 
 SQL["connected_components"] = "WITH RECURSIVE " + ",\n".join(
     [CTE[V].strip(), CTE[E].strip()]) + """,
-sv AS (SELECT id FROM likes_v WHERE age >= 74),
+sv AS (SELECT id FROM likes_v WHERE age >= 30),
 se AS (SELECT src, dst FROM likes_e WHERE src IN (SELECT id FROM sv)
        AND dst IN (SELECT id FROM sv) AND src <> dst),
 sym AS (SELECT src AS a, dst AS b FROM se UNION SELECT dst, src FROM se),

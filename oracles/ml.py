@@ -43,13 +43,17 @@ SQL["pearson_matrix"] = with_(H, "\nUNION ALL\n".join(
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM housing" for a in _C for b in _C))
 
 SQL["distribution_by_target"] = with_("dflt", """
-SELECT label, count(*) AS n, round(avg(n_chars), 6) AS mean, round(stddev_samp(n_chars), 6) AS stddev,
-       min(n_chars) AS min, max(n_chars) AS max FROM dflt GROUP BY label""")
+w AS (SELECT label, dflt.n_chars AS n_chars, CAST(len(regexp_split_to_array(text, '\\s+')) AS DOUBLE) AS n_words,
+             CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines FROM dflt JOIN documents USING (doc_id)),
+long AS (SELECT label, 'n_chars' AS feature, n_chars AS x FROM w UNION ALL SELECT label, 'n_words', n_words FROM w
+         UNION ALL SELECT label, 'n_lines', n_lines FROM w UNION ALL SELECT label, 'chars_per_word', n_chars / n_words FROM w)
+SELECT label, feature, count(*) AS n, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev, min(x) AS min,
+       quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.75) AS p75, max(x) AS max
+FROM long GROUP BY label, feature""")
 
 SQL["histogram_by_target"] = with_("dflt", """
-SELECT label, CAST(CASE WHEN n_chars < 0 THEN 0 WHEN n_chars >= 40000 THEN 21
-                   ELSE floor(n_chars / 2000) + 1 END AS BIGINT) AS bucket, count(*) AS n
-FROM dflt GROUP BY 1, 2""")
+SELECT label, CAST(least(floor((n_chars - lo) * 20 / (hi - lo)) + 1, 20) AS BIGINT) AS bucket, count(*) AS n
+FROM dflt, (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM dflt) GROUP BY 1, 2""")
 
 SQL["standard_scale"] = with_(H, """
 SELECT order_id, line_no,

@@ -72,7 +72,7 @@ tri AS (SELECT e1.u AS a, e1.v AS b, e2.v AS c FROM und e1
         JOIN und e2 ON e1.v = e2.u JOIN und e3 ON e3.u = e1.u AND e3.v = e2.v)"""
 
 CTE["hs"] = """
-hs AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(substr(text, p, 10)), 1, 7))::BIGINT AS x
+hs AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(substr(text, p, 10)), 1, 15))::BIGINT AS x
        FROM (SELECT doc_id, text, unnest(range(1, length(text) - 8)) AS p
              FROM documents WHERE length(text) >= 10))"""
 
@@ -89,7 +89,7 @@ exact AS (SELECT id1, id2, inter / (s1.n + s2.n - inter) AS jaccard
 
 def _minhash_cte():
     from quarry.operators.similarity import minhash_params
-    cols = ",\n  ".join(f"min(({a} * x + {b}) % 2147483647) AS h{i}"
+    cols = ",\n  ".join(f"min(({a} * (x % 2147483647) + {b}) % 2147483647) AS h{i}"
                         for i, (a, b) in enumerate(minhash_params(100, 1)))
     lst = ", ".join(f"h{i}" for i in range(100))
     return (f"sigw AS (SELECT doc_id,\n  {cols}\n  FROM hs GROUP BY doc_id),\n"

@@ -47,17 +47,20 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def distribution_by_target(df: DataFrame, target: str, col: str) -> DataFrame:
-    """Per target value, count and moments of a feature."""
+    """Per target value, count, moments and quartiles of a feature."""
+    quartiles = [F.percentile(col, q).alias(f"p{int(100 * q)}") for q in (0.25, 0.5, 0.75)]
     return df.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(col), 6).alias("mean"),
                                   F.round(F.stddev(col), 6).alias("stddev"),
-                                  F.min(col).alias("min"), F.max(col).alias("max"))
+                                  F.min(col).alias("min"), *quartiles, F.max(col).alias("max"))
 
 
-def histogram_by_target(df: DataFrame, target: str, col: str, lo: float, hi: float,
-                        n: int) -> DataFrame:
-    """Equal-width histogram per target value (``width_bucket``)."""
-    b = F.expr(f"width_bucket({col}, {lo}, {hi}, {n})")
-    return df.groupBy(target, b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+def histogram_by_target(df: DataFrame, target: str, col: str, n: int) -> DataFrame:
+    """Equal-width histogram per target value, ``n`` buckets from the
+    least to the largest value of the feature (the largest in the last)."""
+    ends = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    place = F.floor((F.col(col) - F.col("lo")) * n / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)))
+    b = F.least(F.coalesce(place, F.lit(0)) + 1, F.lit(n)).cast("long")
+    return df.join(F.broadcast(ends)).groupBy(target, b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))     # one row
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",

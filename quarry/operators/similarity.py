@@ -1,19 +1,20 @@
 """Near-duplicate search on sets.
 
-Data stays in long form ``(id, element)``; no dense membership matrix,
-no cartesian product.  Candidate pairs come from equi-joins on rare
-"prefix" elements (exact Jaccard) or on LSH band keys (MinHash); each
-pair's exact overlap is then counted by a join on the element.
+Sets are long form ``(id, element)`` or one row per entity with a sorted
+array; no dense membership matrix, no cartesian product.  Equal sets are
+compared through one representative.  Candidate pairs come from equi-joins
+on rare "prefix" elements (exact Jaccard) or on LSH band keys (MinHash);
+each pair's exact overlap is then taken from the two arrays.
 """
 
 from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import spread
+from quarry.session import cut_lineage, spread
 
 MERSENNE_31 = (1 << 31) - 1
 
@@ -56,26 +57,26 @@ def _windows(text: Column, k: int, fn=None) -> Column:
 
 
 def char_shingles(docs: DataFrame, k: int = 10, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """Distinct k-character windows per document, last window included.
 
     Documents shorter than k have none.  ``id_col`` is a key of ``docs``,
     so de-duplicating inside each document's array is enough (no shuffle).
     """
-    docs = spread(docs, id_col)
+    docs = spread(docs, id_col, partitions)
     return docs.select(id_col, F.explode(_windows(F.col(text_col), k)).alias("shingle"))
 
 
 def shingle_hash(shingle: Column) -> Column:
-    """Stable 28-bit id: first 7 hex digits of md5 (same in DuckDB)."""
-    return F.conv(F.substring(F.md5(shingle), 1, 7), 16, 10).cast("long")
+    """Stable 60-bit id: first 15 hex digits of md5 (same in DuckDB)."""
+    return F.conv(F.substring(F.md5(shingle), 1, 15), 16, 10).cast("long")
 
 
 def hashed_shingles(docs: DataFrame, k: int = 10, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """(doc_id, x): distinct hashed shingles, hashed before the explode."""
     arr = _windows(F.col(text_col), k, shingle_hash)
-    return spread(docs, id_col).select(id_col, F.explode(F.array_distinct(arr)).alias("x"))
+    return spread(docs, id_col, partitions).select(id_col, F.explode(F.array_distinct(arr)).alias("x"))
 
 
 # ------------------------------------------------------------ exact Jaccard
@@ -87,7 +88,7 @@ def set_sizes(sets: DataFrame, id_col: str, el: str) -> DataFrame:
 def _ratio(t: float) -> tuple[int, int]:
     """Threshold as an exact fraction p/q (from its decimal text)."""
     from fractions import Fraction
-    f = Fraction(str(t)).limit_denominator(10**6)
+    f = Fraction(str(t))
     return f.numerator, f.denominator
 
 
@@ -103,90 +104,107 @@ def jaccard_at_least(inter: Column, union: Column, t: float, strict: bool = Fals
     return inter * q > union * p if strict else inter * q >= union * p
 
 
-def prefix_candidates(sets: DataFrame, t: float, id_col: str = "doc_id",
-                      el: str = "x") -> DataFrame:
-    """Pairs (id1 < id2) that can reach Jaccard >= t.
-
-    Prefix filter (Chaudhuri et al. 2006; Bayardo et al. 2007) with the
-    index/probe split and positional bound of PPJoin (Xiao et al. 2008):
-    elements are ordered by global frequency, rarest first; for a pair
-    with |y| <= |x| (ties by id), x probes with its first
-    |x| - ceil(t|x|) + 1 elements and y is indexed by its first
-    |y| - ceil(2t/(1+t)|y|) + 1; a matching element at ranks (rx, ry)
-    must leave room for the required overlap
-    ceil(t/(1+t)(|x|+|y|)).  Frequent elements (a hot key) therefore
-    almost never join.  The result is a superset of the true pairs
-    (exact after verification).
-    """
-    p, q = _ratio(t)
-    freq = sets.groupBy(el).agg(F.count(F.lit(1)).alias("_df"))
-    sizes = sets.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    # Elements held by one set only sort first (lowest frequency) and can
-    # never match, so only shared elements are ranked; their true rank is
-    # (number of unshared elements) + (rank among the shared ones).
-    shared = sets.join(freq.where(F.col("_df") >= 2), el)
-    w = Window.partitionBy(id_col).orderBy("_df", el)
-    ranked = (shared.withColumn("_rs", F.row_number().over(w))
-                    .withColumn("_s", F.count(F.lit(1)).over(Window.partitionBy(id_col)))
-                    .join(sizes, id_col)
-                    .withColumn("_r", F.col("_n") - F.col("_s") + F.col("_rs")))
-    n = F.col("_n")
-    # exact integer bounds: t = p/q, so no floating ceil can shorten a prefix
-    probe_len = n - _ceil_div(F.lit(p) * n, q) + 1
-    index_len = n - _ceil_div(F.lit(2 * p) * n, p + q) + 1
-    pre = ranked.where(F.col("_r") <= probe_len).select(
-        id_col, el, "_n", "_r", (F.col("_r") <= index_len).alias("_idx"))
-    x = pre.select(F.col(id_col).alias("idx_x"), el, F.col("_n").alias("nx"), F.col("_r").alias("rx"))
-    y = pre.where("_idx").select(F.col(id_col).alias("idx_y"), el, F.col("_n").alias("ny"),
-                                 F.col("_r").alias("ry"))
-    alpha = _ceil_div(F.lit(p) * (F.col("nx") + F.col("ny")), p + q)
-    pairs = (x.join(y, el)
-             .where((F.col("ny") < F.col("nx")) |
-                    ((F.col("ny") == F.col("nx")) & (F.col("idx_y") < F.col("idx_x"))))
-             .where(F.col("ny") * q >= F.col("nx") * p)
-             .where(F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry")) + 1 >= alpha))
-    swap = F.col("idx_x") > F.col("idx_y")
-    return pairs.select(F.when(swap, F.col("idx_y")).otherwise(F.col("idx_x")).alias("id1"),
-                        F.when(swap, F.col("idx_x")).otherwise(F.col("idx_y")).alias("id2"),
-                        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("n1"),
-                        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("n2")).distinct()
+def similar_pairs_exact(sets: DataFrame, t: float, id_col: str = "doc_id",
+                        el: str = "x", strict: bool = False) -> DataFrame:
+    """(id1, id2, inter, jaccard) for all pairs with J >= t (or > t), exact;
+    ``sets`` in long form."""
+    arrays = sets.groupBy(id_col).agg(F.array_sort(F.collect_set(el)).alias("arr"))
+    return similar_sets(cut_lineage(arrays.withColumn("n", F.size("arr"))), t, id_col, strict)
 
 
-def set_arrays(sets: DataFrame, id_col: str = "doc_id", el: str = "x") -> DataFrame:
-    """(id, arr): each entity's elements as one sorted array.  An entity's
-    set is bounded by the entity itself (a document's shingles by its
-    length), so this is not an unbounded group."""
-    return sets.groupBy(id_col).agg(F.array_sort(F.collect_list(el)).alias("arr"))
+# ------------------------------------------------------------ sets as arrays
 
+def document_sets(docs: DataFrame, k: int = 10, hashed=lambda w: F.xxhash64(w), id_col: str = "doc_id",
+                  text_col: str = "text", partitions: int | None = None) -> DataFrame:
+    """(id, arr, n): each document's distinct shingles as one sorted array
+    of 60- or 64-bit ids, built row by row and written once."""
+    arr = F.array_sort(F.array_distinct(_windows(F.col(text_col), k, hashed)))
+    return cut_lineage(spread(docs, id_col, partitions).select(id_col, arr.alias("arr")).withColumn("n", F.size("arr")))
 
-def verify_jaccard(pairs: DataFrame, sets: DataFrame, id_col: str = "doc_id",
-                   el: str = "x", arrays: DataFrame | None = None) -> DataFrame:
-    """Exact |A∩B| for candidate pairs: each pair meets both element
-    arrays once and intersects them in the JVM (hash based, O(|A|+|B|)),
-    instead of expanding every pair into element rows.
 
-    ``pairs`` has (id1, id2, n1, n2); returns (id1, id2, inter, jaccard).
-    """
-    arr = arrays if arrays is not None else set_arrays(sets, id_col, el)
-    a1 = arr.select(F.col(id_col).alias("id1"), F.col("arr").alias("a1"))
-    a2 = arr.select(F.col(id_col).alias("id2"), F.col("arr").alias("a2"))
-    j = pairs.join(a1, "id1").join(a2, "id2")
-    inter = F.size(F.array_intersect("a1", "a2"))
-    out = j.select("id1", "id2", "n1", "n2", inter.alias("inter"))
-    return out.withColumn("jaccard", F.col("inter") / (F.col("n1") + F.col("n2") - F.col("inter")))
+def classes(arrs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, rep): entities with equal sets share a representative, the
+    least id.  Sets are told apart by their size and 128 hash bits."""
+    keyed = arrs.where(F.col("n") > 0).select(id_col, "n", F.xxhash64("arr").alias("h1"), F.xxhash64(F.lit(1), F.col("arr")).alias("h2"))
+    least = keyed.groupBy("n", "h1", "h2").agg(F.min(id_col).alias("rep"))
+    return keyed.join(least, ["n", "h1", "h2"]).select(id_col, "rep")
 
 
-def similar_pairs_exact(sets: DataFrame, t: float, id_col: str = "doc_id",
-                        el: str = "x", strict: bool = False,
-                        arrays: DataFrame | None = None) -> DataFrame:
-    """(id1, id2, jaccard) for all pairs with J >= t (or > t), exact.
-
-    ``arrays`` (id, arr) may supply each entity's elements when they can
-    be rebuilt row-locally (documents: from the text), saving a shuffle."""
-    cand = prefix_candidates(sets, t, id_col, el)
-    v = verify_jaccard(cand, sets, id_col, el, arrays)
+def expanded(pairs: DataFrame, members: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Pairs of representatives (id1, id2, ...) as pairs of their members."""
+    a = members.select(F.col("rep").alias("id1"), F.col(id_col).alias("m1"))
+    b = members.select(F.col("rep").alias("id2"), F.col(id_col).alias("m2"))
+    rest = [c for c in pairs.columns if c not in ("id1", "id2")]
+    return pairs.join(a, "id1").join(b, "id2").select(F.least("m1", "m2").alias("id1"), F.greatest("m1", "m2").alias("id2"), *rest)
+
+
+def copies(members: DataFrame, arrs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id1, id2, inter, jaccard) of the pairs inside each class."""
+    a = members.select("rep", F.col(id_col).alias("id1"))
+    b = members.select("rep", F.col(id_col).alias("id2"))
+    same = a.join(b, "rep").where(F.col("id1") < F.col("id2"))
+    return same.join(arrs.select(F.col(id_col).alias("rep"), F.col("n").alias("inter")), "rep").select("id1", "id2", "inter", F.lit(1.0).alias("jaccard"))
+
+
+def common_elements(arrs: DataFrame, k: int = 2_000) -> list[int]:
+    """About the ``k`` most frequent elements, most frequent first.  They
+    only decide what comes last in the order of elements, so that hot ones
+    stay out of prefixes; results do not depend on them."""
+    found = arrs.select(F.explode("arr").alias("x")).agg(F.call_function("approx_top_k", F.col("x"), F.lit(k), F.lit(5 * k)).alias("t")).first()["t"]
+    return [r["item"] for r in found or [] if r["count"] > 1]
+
+
+def in_order(arrs: DataFrame, last: list[int]) -> DataFrame:
+    """``arrs`` with the elements of ``last`` at the end, rarest of them first."""
+    if not last:
+        return arrs
+    tail = F.array(*[F.lit(x) for x in reversed(last)])
+    return arrs.withColumn("arr", F.concat(F.array_except("arr", tail), F.array_intersect(tail, F.col("arr"))))
+
+
+def prefix_pairs(arrs: DataFrame, t: float, id_col: str = "doc_id") -> DataFrame:
+    """(id1, id2, n1, n2) of sets that can reach Jaccard t: index and probe
+    prefixes of ordered arrays, with the length and positional bounds of
+    PPJoin (Xiao et al. 2008).  Two shared prefix elements of a pair give
+    it twice; the last step makes it one."""
+    p, q = _ratio(t)
+    n = F.col("n")
+    probe = n - _ceil_div(F.lit(p) * n, q) + 1
+    index = n - _ceil_div(F.lit(2 * p) * n, p + q) + 1
+    pre = arrs.where(n > 0).select(id_col, "n", index.alias("_index"), F.posexplode(F.slice("arr", F.lit(1), probe.cast("int"))).alias("_pos", "e"))
+    x = pre.select(F.col(id_col).alias("ix"), "e", F.col("n").alias("nx"), (F.col("_pos") + 1).alias("rx"))
+    y = pre.where(F.col("_pos") < F.col("_index")).select(F.col(id_col).alias("iy"), "e", F.col("n").alias("ny"), (F.col("_pos") + 1).alias("ry"))
+    need = _ceil_div(F.lit(p) * (F.col("nx") + F.col("ny")), p + q)
+    pairs = (x.join(y, "e")
+             .where((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("iy") < F.col("ix"))))
+             .where(F.col("ny") * q >= F.col("nx") * p)
+             .where(F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry")) + 1 >= need))
+    swap = F.col("ix") > F.col("iy")
+    return pairs.select(F.least("ix", "iy").alias("id1"), F.greatest("ix", "iy").alias("id2"),
+                        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("n1"),
+                        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("n2")).distinct()
+
+
+def verified(pairs: DataFrame, arrs: DataFrame, t: float, id_col: str = "doc_id", strict: bool = False) -> DataFrame:
+    """(id1, id2, inter, jaccard) of the pairs (id1, id2, n1, n2) that reach
+    t: each meets both arrays once and intersects them in the JVM."""
+    a1 = arrs.select(F.col(id_col).alias("id1"), F.col("arr").alias("a1"))
+    a2 = arrs.select(F.col(id_col).alias("id2"), F.col("arr").alias("a2"))
+    out = pairs.join(a1, "id1").join(a2, "id2").select("id1", "id2", "n1", "n2", F.size(F.array_intersect("a1", "a2")).alias("inter"))
     union = F.col("n1") + F.col("n2") - F.col("inter")
-    return v.where(jaccard_at_least(F.col("inter"), union, t, strict)).select("id1", "id2", "inter", "jaccard")
+    return out.where(jaccard_at_least(F.col("inter"), union, t, strict)).select("id1", "id2", "inter", (F.col("inter") / union).alias("jaccard"))
+
+
+def similar_sets(arrs: DataFrame, t: float, id_col: str = "doc_id", strict: bool = False) -> DataFrame:
+    """(id1, id2, inter, jaccard) for all pairs with J >= t (or > t), exact.
+    Equal sets are compared through one representative; ``arrs`` (id, arr,
+    n) is read several times and should be written already."""
+    members = cut_lineage(classes(arrs, id_col))
+    reps = arrs.join(members.where(F.col(id_col) == F.col("rep")).select(id_col), id_col, "left_semi")
+    ordered = in_order(reps, common_elements(reps))
+    different = verified(prefix_pairs(ordered, t, id_col), reps, t, id_col, strict)
+    found = expanded(different, members, id_col)
+    return found if strict and t >= 1 else found.unionByName(copies(members, arrs, id_col))
 
 
 # ------------------------------------------------------------ MinHash / LSH
@@ -204,8 +222,9 @@ def minhash_params(n: int = 100, seed: int = 1, prime: int = MERSENNE_31):
 
 
 def affine_hash(x: Column, a: int, b: int, c: int = MERSENNE_31) -> Column:
-    """(a·x + b) mod c on bigints (x < 2^28, a < 2^31: no overflow)."""
-    return F.pmod(F.lit(a) * x + F.lit(b), F.lit(c))
+    """(a·x + b) mod c on bigints; x is reduced first, so that with
+    a, c < 2^31 nothing overflows."""
+    return F.pmod(F.lit(a) * F.pmod(x, F.lit(c)) + F.lit(b), F.lit(c))
 
 
 def minhash_signature(sets: DataFrame, n: int = 100, seed: int = 1,
@@ -282,73 +301,17 @@ def lsh_band_agreement(sigs: DataFrame, bands: int = 20, rows: int = 5,
     return m.groupBy("id1", "id2").agg((F.count(F.lit(1)) / F.lit(bands)).alias("band_share"))
 
 
-def near_duplicate_pairs(sets: DataFrame, t: float = 0.8, n: int = 100, bands: int = 20,
-                         rows: int = 5, seed: int = 1, id_col: str = "doc_id",
-                         el: str = "x") -> DataFrame:
-    """Shingles -> MinHash -> LSH candidates -> exact Jaccard >= t."""
-    sigs = minhash_signature(sets, n, seed, id_col, el)
-    cand = lsh_candidate_pairs(sigs, bands, rows, id_col)
-    sizes = set_sizes(sets, id_col, el)
-    cand = (cand.join(sizes.select(F.col(id_col).alias("id1"), F.col("n").alias("n1")), "id1")
-                .join(sizes.select(F.col(id_col).alias("id2"), F.col("n").alias("n2")), "id2"))
-    v = verify_jaccard(cand, sets, id_col, el)
-    union = F.col("n1") + F.col("n2") - F.col("inter")
-    return v.where(jaccard_at_least(F.col("inter"), union, t)).select("id1", "id2", "jaccard")
-
-
-# ------------------------------------------------------------ array form
-
-def doc_arrays(docs: DataFrame, k: int = 10, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """(id, arr, n): each document's distinct hashed shingles as one
-    sorted array, built row-locally (no explode, no shuffle)."""
-    arr = F.array_sort(_windows(F.col(text_col), k, shingle_hash))
-    return spread(docs, id_col).select(F.col(id_col), arr.alias("arr")).withColumn("n", F.size("arr"))
-
-
-def arrays_to_long(arrs: DataFrame, id_col: str = "doc_id", el: str = "x") -> DataFrame:
-    return arrs.select(id_col, F.explode("arr").alias(el))
-
-
-def prefix_candidates_arrays(arrs: DataFrame, t: float, id_col: str = "doc_id") -> DataFrame:
-    """Prefix-filter candidates when each entity's set is a sorted array.
-
-    The global order is the element value itself (a hash, so effectively
-    random); the prefix is ``slice(arr, 1, n - ceil(t·n) + 1)``, taken
-    row-locally without ranking windows or frequency counts."""
-    plen = F.col("n") - F.ceil(F.lit(t) * F.col("n")) + 1
-    pre = arrs.where(F.col("n") > 0).select(id_col, "n", F.explode(F.slice("arr", F.lit(1), plen)).alias("e"))
-    a = pre.select(F.col(id_col).alias("id1"), "e", F.col("n").alias("n1"))
-    b = pre.select(F.col(id_col).alias("id2"), "e", F.col("n").alias("n2"))
-    pairs = (a.join(b, "e").where(F.col("id1") < F.col("id2"))
-             .where((F.col("n2") >= F.lit(t) * F.col("n1")) & (F.col("n1") >= F.lit(t) * F.col("n2"))))
-    return pairs.select("id1", "id2", "n1", "n2").distinct()
-
-
-def verify_arrays(pairs: DataFrame, arrs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Exact overlap of candidate pairs against the entities' arrays."""
-    a1 = arrs.select(F.col(id_col).alias("id1"), F.col("arr").alias("a1"))
-    a2 = arrs.select(F.col(id_col).alias("id2"), F.col("arr").alias("a2"))
-    j = pairs.join(a1, "id1").join(a2, "id2")
-    inter = F.size(F.array_intersect("a1", "a2"))
-    out = j.select("id1", "id2", "n1", "n2", inter.alias("inter"))
-    return out.withColumn("jaccard", F.col("inter") / (F.col("n1") + F.col("n2") - F.col("inter")))
-
-
-def similar_docs_exact(arrs: DataFrame, t: float, id_col: str = "doc_id") -> DataFrame:
-    """(id1, id2, inter, jaccard) for every pair with J >= t, exact."""
-    v = verify_arrays(prefix_candidates_arrays(arrs, t, id_col), arrs, id_col)
-    return v.where(F.col("jaccard") >= t).select("id1", "id2", "inter", "jaccard")
-
-
-def near_duplicate_docs(arrs: DataFrame, t: float = 0.8, n: int = 100, bands: int = 20,
-                        rows: int = 5, seed: int = 1, id_col: str = "doc_id") -> DataFrame:
-    """T9 on the array form: MinHash (aggregate over the exploded
-    elements) -> LSH candidates -> exact Jaccard against the arrays."""
-    sigs = minhash_signature(arrays_to_long(arrs, id_col), n, seed, id_col, "x")
+def near_duplicate_pairs(arrs: DataFrame, t: float = 0.8, n: int = 100, bands: int = 20,
+                         rows: int = 5, seed: int = 1, id_col: str = "doc_id") -> DataFrame:
+    """Sets -> MinHash -> LSH candidates -> exact Jaccard >= t.  Equal
+    sets have equal signatures, so representatives are signed and compared,
+    and a bucket holds no copies."""
+    members = cut_lineage(classes(arrs, id_col))
+    reps = arrs.join(members.where(F.col(id_col) == F.col("rep")).select(id_col), id_col, "left_semi")
+    sigs = cut_lineage(minhash_signature(reps.select(id_col, F.explode("arr").alias("x")), n, seed, id_col))
+    sizes = reps.select(id_col, "n")
     cand = lsh_candidate_pairs(sigs, bands, rows, id_col)
-    sizes = arrs.select(id_col, "n")
     cand = (cand.join(sizes.select(F.col(id_col).alias("id1"), F.col("n").alias("n1")), "id1")
                 .join(sizes.select(F.col(id_col).alias("id2"), F.col("n").alias("n2")), "id2"))
-    v = verify_arrays(cand, arrs, id_col)
-    return v.where(F.col("jaccard") >= t).select("id1", "id2", "jaccard")
+    found = expanded(verified(cand, reps, t, id_col), members, id_col)
+    return found.unionByName(copies(members, arrs, id_col)).select("id1", "id2", "jaccard")

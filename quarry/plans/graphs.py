@@ -11,7 +11,7 @@ from quarry.plans.relations import edge_stream, likes_graph
 
 ESTIMATE_M = 4000      # reservoir size of the base estimator (memory budget)
 ESTIMATE_P = 0.5       # keep rate of the improved estimator
-CC_MIN_AGE = 74        # cut that leaves many components
+MIN_AGE = 30
 
 
 @query("build_graph")
@@ -41,8 +41,8 @@ def q_edge_filter(t):
 
 @query("subgraph_semi")
 def q_subgraph(t):
-    """Edges whose both ends are aged 74+."""
-    return G.subgraph(likes_graph(t), F.col("age") >= CC_MIN_AGE).edges
+    """Edges whose both ends are aged 30 or more."""
+    return G.subgraph(likes_graph(t), F.col("age") >= MIN_AGE).edges
 
 
 @query("in_degree")
@@ -130,8 +130,8 @@ def q_aggregate_messages(t):
 
 @query("connected_components")
 def q_connected_components(t):
-    """Components of the 74+ subgraph, labelled by least id."""
-    sub = G.subgraph(likes_graph(t), F.col("age") >= CC_MIN_AGE)
+    """Components of the subgraph of ages from 30, labelled by least id."""
+    sub = G.subgraph(likes_graph(t), F.col("age") >= MIN_AGE)
     return G.connected_components(sub)
 
 

@@ -13,6 +13,7 @@ from quarry.plans.relations import HOUSING_NUMERIC, credit_default, housing
 
 KEY = ["order_id", "line_no"]
 DESCRIBED = ["housing_median_age", "total_rooms", "total_bedrooms", "median_house_value"]
+FEATURES = ["n_chars", "n_words", "n_lines", "chars_per_word"]
 CORR = ["total_rooms", "population", "median_income", "median_house_value"]
 
 
@@ -79,14 +80,19 @@ def q_pearson(t):
 
 @query("distribution_by_target")
 def q_distribution(t):
-    """Feature moments per target value."""
-    return M.distribution_by_target(credit_default(t), "label", "n_chars")
+    """Moments and quartiles of every feature per target value."""
+    d = credit_default(t)
+    parts = [M.distribution_by_target(d, "label", c).withColumn("feature", F.lit(c)) for c in FEATURES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("histogram_by_target")
 def q_histogram(t):
-    """n_chars histogram per target value, 20 buckets over [0, 40000)."""
-    return M.histogram_by_target(credit_default(t), "label", "n_chars", 0.0, 40000.0, 20)
+    """n_chars histogram per target value, 20 buckets over its range."""
+    return M.histogram_by_target(credit_default(t), "label", "n_chars", 20)
 
 
 @query("assemble_features")

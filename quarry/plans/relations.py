@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import text_partitions
 from quarry.tables import Tables
 
 # ------------------------------------------------------------------ web log
@@ -161,6 +162,7 @@ def baskets(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------ ML tables
 
+# The housing table's numeric columns, in its order.
 HOUSING_NUMERIC = ["longitude", "latitude", "housing_median_age", "total_rooms",
                    "total_bedrooms", "population", "households", "median_income"]
 
@@ -215,17 +217,24 @@ def _qa_rows(t: Tables, k: int = 10) -> DataFrame:
     """Question rows: a ``benchmark`` passage contained in a document.
 
     Containment is found without a cross join: each passage's first k
-    characters are equi-joined with the documents' k-character windows,
-    then confirmed with ``instr``.  k is lowered to the shortest passage
-    length when a passage is shorter, so no passage is missed.
+    characters (all of them, if it has fewer) are equi-joined with the
+    documents' windows of that length, then confirmed with ``instr``.
+    Windows are made for the lengths that keys have, k of them at most.
+    An empty passage asks nothing and is left out.
     (qid, doc_id, item_id, context, question, answer, answer_start)."""
     from quarry.operators.similarity import char_shingles
     d = t.documents.select("doc_id", "text")
     b = t.benchmark.select("item_id", F.col("text").alias("answer"))
-    shortest = b.select(F.min(F.length("answer"))).first()[0] or k
-    kk = max(1, min(k, shortest))
-    keys = b.select("item_id", "answer", F.substring("answer", 1, kk).alias("shingle"))
-    cand = char_shingles(d, kk).join(keys, "shingle").select("doc_id", "item_id", "answer").distinct()
+    keys = b.where(F.length("answer") > 0).select("item_id", "answer", F.substring("answer", 1, k).alias("shingle"))
+    lengths = sorted(r[0] for r in keys.select(F.length("shingle")).distinct().collect())
+    found = [char_shingles(d, n, partitions=text_partitions(t.spark)).join(keys, "shingle").select("doc_id", "item_id", "answer")
+             for n in lengths]
+    if not found:
+        found = [d.join(keys, d["text"] == keys["shingle"]).select("doc_id", "item_id", "answer")]
+    cand = found[0]
+    for more in found[1:]:
+        cand = cand.union(more)
+    cand = cand.distinct()
     j = cand.join(d, "doc_id").withColumn("answer_start", F.instr("text", F.col("answer")) - 1)
     j = j.where(F.col("answer_start") >= 0)
     question = F.concat(F.lit("what does the text say about "),

@@ -55,7 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, reading it from the session.
 
     Order: the SparkContext's own setting, then ``spark.checkpoint.dir``.
-    A scratch folder is created only when neither is set (tests).
+    A scratch folder is created only when neither is set and all tasks run
+    on this machine (tests); on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,9 +69,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
         log.warning("spark.checkpoint.dir unset; using local scratch %s "
-                    "(tests only)", conf_dir)
+                    "(one machine only)", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -88,12 +91,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "quarry-tables", name)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition CPU-heavy row work (text scans) by ``key`` when the
-    input arrives in fewer partitions than the cluster has cores (small
-    files read as one split).  Large inputs already have enough splits
-    and are left alone, so no extra shuffle happens at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
+TEXT_PARTITIONS = "spark.quarry.textPartitions"
+
+
+def text_partitions(spark: SparkSession) -> int | None:
+    """How many partitions heavy text work is dealt to before it begins;
+    unset (the default), texts stay as ``spark.sql.files.maxPartitionBytes``
+    splits them.  Worth a shuffle only where a small table is one file."""
+    value = spark.conf.get(TEXT_PARTITIONS, None)
+    return int(value) if value else None
+
+
+def spread(df: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """``df`` dealt by ``key`` to ``partitions``, or as it is (None)."""
+    return df if partitions is None else df.repartition(partitions, key)
