@@ -42,7 +42,7 @@ def W(*parts):
 
 CTX = "ctx AS (SELECT DISTINCT doc_id, context FROM qa)"
 CT = toks("ct", "ctx", "doc_id", "context")
-CTL = toks("ctl", "ctx", "doc_id", "context", True)
+CTL = toks("ctl", "documents", "doc_id", "text", True)
 QT = toks("qt", "qa", "qid", "question", True)
 CORPUS = "corpus AS (SELECT token FROM ctl UNION ALL SELECT token FROM qt)"
 
@@ -51,10 +51,9 @@ SELECT CAST(doc_id AS VARCHAR) AS title, qid, question, answer, CAST(answer_star
        CAST(answer_start AS BIGINT) AS label_start,
        CAST(answer_start + length(answer) AS BIGINT) AS label_end FROM qa"""
 
-SQL["lowercase_text"] = W(QA) + """
-SELECT qid, md5(lower(context)) AS context_md5, lower(question) AS question, lower(answer) AS answer FROM qa"""
+SQL["lowercase_text"] = "SELECT doc_id, lower(text) AS text FROM documents"
 
-SQL["tokenise"] = W(QA, CTX, CT) + 'SELECT doc_id, pos, token, start, "end" FROM ct'
+SQL["tokenise"] = W(toks("ct", "documents", "doc_id", "text")) + 'SELECT doc_id, pos, token, start, "end" FROM ct'
 
 SPAN = """
 span AS (SELECT q.qid, s.pos AS start_tok, e.pos AS end_tok FROM qa q
@@ -72,10 +71,15 @@ err AS (SELECT s.qid, s.start_tok IS NULL AS start_missing, s.end_tok IS NULL AS
                  AS tokens_differ
         FROM span s JOIN qa q ON q.qid = s.qid LEFT JOIN inside i ON i.qid = s.qid)"""
 
-SQL["span_alignment_errors"] = W(QA, CTX, CT, SPAN, ERR) + \
+MIS = [QA.replace("qa AS", "qa0 AS", 1), """
+qa AS (SELECT qid, doc_id, item_id, context, question,
+              CASE WHEN (doc_id + item_id) % 5 = 1 THEN left(answer, length(answer) - 1) ELSE answer END AS answer,
+              answer_start + CASE WHEN (doc_id + item_id) % 5 = 0 THEN 1 ELSE 0 END AS answer_start FROM qa0)"""]
+
+SQL["span_alignment_errors"] = W(*MIS, CTX, CT, SPAN, ERR) + \
     "SELECT * FROM err WHERE start_missing OR end_missing OR tokens_differ"
 
-SQL["drop_rows_by_id"] = W(QA, CTX, CT, SPAN, ERR) + """
+SQL["drop_rows_by_id"] = W(*MIS, CTX, CT, SPAN, ERR) + """
 SELECT qid FROM qa WHERE qid NOT IN
   (SELECT qid FROM err WHERE start_missing OR end_missing OR tokens_differ)"""
 
@@ -228,3 +232,7 @@ SELECT round(avg((l.lse_s - s1.ls) + (l.lse_e - s2.le)), 6) AS mean_loss
 FROM span sp JOIN qa q ON q.qid = sp.qid JOIN lse l ON l.doc_id = q.doc_id
 JOIN scs s1 ON s1.doc_id = q.doc_id AND s1.pos = sp.start_tok
 JOIN scs s2 ON s2.doc_id = q.doc_id AND s2.pos = sp.end_tok"""
+
+
+SQL["vectors_found"] = W(QA, CTX, CTL, QT, CORPUS, VOCAB) + """
+SELECT count(*) AS words, count(e.vec_id) AS found FROM vocab v LEFT JOIN embeddings e ON e.vec_id = v.id"""

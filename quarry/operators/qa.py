@@ -1,20 +1,25 @@
 """Question-answering and caption data preparation and scoring
 (N1-N14, P13, P17-P21, P30, J11, A20, O8, O9).
 
-Texts are tokenised by one regex in the JVM; token offsets come from a
-running sum over (gap, token) lengths in a window partitioned by text,
-so nothing is quadratic in text length and no Python runs per row.
+Texts are tokenised by one regex, in the JVM where the tokens stay an
+array, in Arrow batches where they become rows with their offsets: a text
+is read once from left to right and its tokens never leave its task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # token = a run of letters/digits/underscore, or any single
-# other non-blank mark; the pair form also captures the blank run before it.
+# other mark that is not ASCII white space; the same with the class spelt out.
 TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
-TOKEN_PAIR = r"(\s*)([\p{L}\p{N}_]+|[^\s\p{L}\p{N}_])"
+TOKEN_CODE_POINTS = r"[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]"
 # ASCII punctuation removed by the answer normaliser and the
 # articles it drops.
 PUNCT = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"""
@@ -28,18 +33,35 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-def token_rows(df: DataFrame, id_col: str, text_col: str, lower: bool = False) -> DataFrame:
-    """P18 long form: (id, pos, token, start, end) with 0-based char offsets."""
-    text = F.col(text_col)
-    gaps = F.regexp_extract_all(text, F.lit(TOKEN_PAIR), F.lit(1))
-    toks = F.regexp_extract_all(text, F.lit(TOKEN_PAIR), F.lit(2))
-    pairs = F.zip_with(gaps, toks, lambda g, t: F.struct(g.alias("g"), t.alias("t")))
-    ex = df.select(id_col, F.posexplode(pairs).alias("pos", "gt"))
-    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.length("gt.g") + F.length("gt.t")).over(w)
-    tok = F.lower("gt.t") if lower else F.col("gt.t")
-    return ex.select(id_col, "pos", tok.alias("token"),
-                     (end - F.length("gt.t")).alias("start"), end.alias("end"))
+def token_rows(df: DataFrame, keep, text_col: str, lower: bool = False) -> DataFrame:
+    """P18 long form: the ``keep`` columns, pos, token, start and end
+    (0-based character offsets), text by text; nothing is shuffled."""
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    read = df.select(*keep, F.col(text_col).alias("_text"))
+    fields = [f for f in read.schema.fields if f.name != "_text"]
+    schema = T.StructType([*fields, T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType()),
+                           T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = regex.compile(TOKEN_CODE_POINTS).finditer
+        for batch in batches:
+            for first in range(0, batch.num_rows, 64):
+                part = batch.slice(first, 64)
+                owner, pos, token, start, end = [], [], [], [], []
+                for row, text in enumerate(part.column(part.num_columns - 1)):
+                    for n, m in enumerate(find(text.as_py() or "")):
+                        owner.append(row)
+                        pos.append(n)
+                        token.append(m.group())
+                        start.append(m.start())
+                        end.append(m.end())
+                kept = [c.take(pa.array(owner, pa.int64())) for c in part.columns[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array(pos, pa.int32()), pa.array(token, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                    names=[*part.schema.names[:-1], "pos", "token", "start", "end"])
+
+    found = read.mapInArrow(run, schema)
+    return found.withColumn("token", F.lower("token")) if lower else found
 
 
 def normalise_answer(s: Column) -> Column:
@@ -65,12 +87,9 @@ def answer_token_span(qa: DataFrame, ctx_tokens: DataFrame) -> DataFrame:
 def span_alignment_errors(qa: DataFrame, ctx_tokens: DataFrame) -> DataFrame:
     """Flags per question: start missing, end missing, tokens differ
     (the answer's own tokens vs the context tokens of the span)."""
-    span = answer_token_span(qa, ctx_tokens).join(qa.select("qid", "doc_id", "answer"), "qid")
-    inside = (span.where(F.col("start_tok").isNotNull() & F.col("end_tok").isNotNull())
-              .join(ctx_tokens.select("doc_id", "pos", "token"), "doc_id")
-              .where(F.col("pos").between(F.col("start_tok"), F.col("end_tok")))
-              .groupBy("qid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-                  F.struct("pos", "token"))), lambda x: x["token"]), " ").alias("ctx_span")))
+    span = answer_token_span(qa, ctx_tokens).join(qa.select("qid", "context", "answer"), "qid")
+    places = F.col("end_tok") - F.col("start_tok") + 1
+    inside = span.where(places > 0).select("qid", F.array_join(F.slice(tokens(F.col("context")), F.col("start_tok") + 1, places), " ").alias("ctx_span"))
     f = span.join(inside, "qid", "left").select(
         "qid", F.col("start_tok").isNull().alias("start_missing"),
         F.col("end_tok").isNull().alias("end_missing"),
