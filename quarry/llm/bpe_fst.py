@@ -299,25 +299,17 @@ class BpeCodec:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, found = self.pieces, self.find(text)
-        try:
-            return b"".join(map(known.__getitem__, found))
-        except KeyError:
-            pass
-        out = []
-        for piece in found:
-            packed = known.get(piece)
-            if packed is None:
-                packed = self.older.get(piece)
-                if packed is None:
-                    ids = self.machine.encode(piece.encode())
-                    packed = pack(f"<{len(ids)}I", *ids)
-                if 2 * len(known) >= self.max_pieces:
-                    self.older = known
-                    known = self.pieces = {}
-                known[piece] = packed
-            out.append(packed)
-        return b"".join(out)
+        found = self.find(text)
+        if 2 * len(self.pieces) >= self.max_pieces:
+            self.older, self.pieces = self.pieces, {}
+        known = self.pieces
+        for piece in [p for p in found if p not in known]:
+            known[piece] = self.older.get(piece) or self._encoded(piece)
+        return b"".join(map(known.__getitem__, found))
+
+    def _encoded(self, piece: str) -> bytes:
+        ids = self.machine.encode(piece.encode())
+        return pack(f"<{len(ids)}I", *ids)
 
 
 class BpeDecoder:
@@ -384,3 +376,22 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         yield from batches_out(schema, rows(batch_iter), lambda r: len(r[2]) + len(r[3]))
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
+def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``encode_documents`` and ``decode_documents`` in one pass: doc_id,
+    n_tokens, ids and decoded."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
+
+    def rows(batch_iter):
+        encode, decode = codec(path, pattern).encode, decoder(path).decode
+        for batch in batch_iter:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                packed = encode(text.as_py() or "")
+                yield doc_id, len(packed) // 4, packed, decode(packed)
+
+    def run(batch_iter: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_out(schema, rows(batch_iter), lambda r: len(r[2]) + len(r[3]))
+
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids binary, decoded string")

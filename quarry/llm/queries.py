@@ -29,8 +29,7 @@ def query(fn):
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text through the BPE transducer and back."""
     path, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
-    coded = bpe_fst.encode_documents(documents(spark, sf_dir), path, pattern)
-    both = bpe_fst.decode_documents(coded, path)
+    both = bpe_fst.round_trip(documents(spark, sf_dir), path, pattern)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

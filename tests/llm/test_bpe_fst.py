@@ -6,7 +6,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 
-from quarry.llm.bpe_fst import BpeCodec, BpeDecoder, Utf8Machine, decode_documents, encode_documents, load_ranks
+from quarry.llm.bpe_fst import BpeCodec, BpeDecoder, Utf8Machine, decode_documents, encode_documents, load_ranks, round_trip
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 BPE_TEXT = BpeDecoder(load_ranks(PATH))
@@ -64,6 +64,8 @@ def test_documents(spark, library):
     assert sorted((r.doc_id or 0, r.decoded) for r in got) == sorted((a or 0, t or "") for a, t, _ in rows)
     assert all(ids(r.ids) == library.encode_ordinary(r.decoded) and r.n_tokens == len(r.ids) // 4 for r in got)
     assert encode_documents(df.limit(0), PATH, P.PATTERN).collect() == []
+    both = round_trip(df, PATH, P.PATTERN).collect()
+    assert sorted(map(str, both)) == sorted(map(str, got)) and round_trip(df.limit(0), PATH, P.PATTERN).collect() == []
 
 
 def test_query(spark, library):
