@@ -58,7 +58,7 @@ _TABLE = np.array([_class(chr(i)) if not 0xD800 <= i < 0xE000 else 63 for i in r
 def code(text: str) -> np.ndarray:
     """The class of every character."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 59 + points % 4)
+    return np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 59 + points % 4).astype(np.int32)
 
 
 @lru_cache(maxsize=64)
@@ -88,7 +88,7 @@ class Landmarks:
     """Kernel values of words with the landmarks, each landmark scaled to 1
     with itself.  Values of words met before are kept, ``max_words`` at most."""
 
-    def __init__(self, strings: list[str], max_words: int = 200_000):
+    def __init__(self, strings: list[str], max_words: int = 300_000):
         self.strings, self.max_words = strings, max_words
         self.m = len(strings)
         self.place = np.zeros(CLASSES ** 3, np.int32)
@@ -127,7 +127,7 @@ class Landmarks:
             for at in range(0, len(found), 2048):
                 part = found[at:at + 2048]
                 c = code("".join(x for _, x in part)).reshape(len(part), length)
-                place = self.place[(c[:, i] * CLASSES + c[:, j]) * CLASSES + c[:, k]]
+                place = self.place[(c[:, i] * CLASSES + c[:, j]) * CLASSES + c[:, k]]      # 0: no landmark has the triple
                 row, col = np.nonzero(place)
                 if not len(row):
                     continue
