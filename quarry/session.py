@@ -91,6 +91,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "quarry-tables", name)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package when the driver found it by
+    ``sys.path`` alone: its folder goes on their PYTHONPATH.  Executors on
+    other machines need it installed or sent along (--py-files), as usual."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 TEXT_PARTITIONS = "spark.quarry.textPartitions"
 
 

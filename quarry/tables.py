@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.session import share_package
+
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
 
@@ -16,6 +18,7 @@ class Tables:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        share_package(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
