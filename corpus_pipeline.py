@@ -10,12 +10,15 @@ any other, and texts that are null count as empty.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import hyperminhash, packing, rules, suffix_dedup, weak_quality
 from quarry.llm.common import documents, labels, release, stored
+from quarry.session import share_package
 
 
 def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
@@ -52,12 +55,21 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(name: str, fn):
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return fn(spark, docs, sf_dir)
+
+    return name, run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("quality classifier", quality_classifier),
-    ("minhash near-dedup", minhash_near_dedup),
-    ("suffix-array dedup", suffix_array_dedup),
-    ("best-fit packing", best_fit_packing),
+    _stage("quality rules", quality_rules),
+    _stage("quality classifier", quality_classifier),
+    _stage("minhash near-dedup", minhash_near_dedup),
+    _stage("suffix-array dedup", suffix_array_dedup),
+    _stage("best-fit packing", best_fit_packing),
 ]
 
 

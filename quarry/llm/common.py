@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.session import scratch_path, share_package
 
 #: Bytes of payload after which a Python task hands a batch back to Spark.
 BATCH_BYTES = 8 << 20
@@ -20,6 +20,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
