@@ -51,7 +51,7 @@ class BpeTransducer:
     """``encode(piece)`` for one piece of bytes; the tables grow as they are
     needed and are thrown away when they hold ``max_transitions``."""
 
-    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_transitions: int = 700_000):
         self.ranks = ranks
         self.max_transitions = max_transitions
         self.bytes_of = {i: b for b, i in ranks.items()}
@@ -117,7 +117,7 @@ class BpeTransducer:
         known = self.pairs.get(key)
         if known is not None:
             return known
-        if len(self.pairs) > 400_000:
+        if len(self.pairs) > 500_000:
             self.pairs.clear()
         right, left = self._edges(first)[1], self._edges(second)[0]
         ranks, of = self.ranks, self.bytes_of
@@ -290,7 +290,7 @@ class BpeCodec:
     """Pieces of a text by a pattern, each through the transducer; the ids
     of pieces met lately are kept, at most ``max_pieces`` of them."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 900_000):
         self.machine = BpeTransducer(ranks)
         self.find = regex.compile(pattern).findall
         self.max_pieces = max_pieces
