@@ -88,7 +88,7 @@ class Landmarks:
     """Kernel values of words with the landmarks, each landmark scaled to 1
     with itself.  Values of words met before are kept, ``max_words`` at most."""
 
-    def __init__(self, strings: list[str], max_words: int = 300_000):
+    def __init__(self, strings: list[str], max_words: int = 900_000):
         self.strings, self.max_words = strings, max_words
         self.m = len(strings)
         self.place = np.zeros(CLASSES ** 3, np.int32)
@@ -102,12 +102,20 @@ class Landmarks:
                     rows.append(np.zeros(self.m, np.float32))
                 rows[self.place[t]][n] = x / own
         self.rows = np.array(rows)
+        self.plain_ends = not (np.flatnonzero(self.place) % CLASSES == CLASSES - 1).any()
         self._clear()
 
     def _clear(self):
+        # word -> 2 x (row of its core) + (it ends a sentence); core -> row
         self.known: dict[str, int] = {}
+        self.cores: dict[str, int] = {}
         self.values = np.zeros((1024, self.m), np.float32)
-        self.ends = np.zeros(1024, bool)
+
+    def _core(self, word: str) -> str:
+        """Small letters; punctuation at the end goes when no landmark has
+        a triple that ends in any, as it then changes no value."""
+        word = word.lower()
+        return word.rstrip(".,;:!?") if self.plain_ends else word
 
     def _windows(self, words: list[str]):
         for n, w in enumerate(words):
@@ -142,15 +150,17 @@ class Landmarks:
         """Work out the values of those ``words`` that are not known."""
         if len(self.known) > self.max_words:
             self._clear()
-        known = self.known
-        new = list(dict.fromkeys(w for w in words if w not in known))
-        if new:
-            first = len(known)
-            while first + len(new) > len(self.values):
-                self.values, self.ends = np.concatenate([self.values, np.zeros_like(self.values)]), np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.values[first:first + len(new)] = self.kernel_values(new)
-            self.ends[first:first + len(new)] = [w[-1] in ".!?" for w in new]
-            known.update(zip(new, range(first, first + len(new)), strict=True))
+        known, cores = self.known, self.cores
+        new = {w: self._core(w) for w in words if w not in known}
+        fresh = list(dict.fromkeys(c for c in new.values() if c not in cores))
+        if fresh:
+            first = len(cores)
+            while first + len(fresh) > len(self.values):
+                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+            self.values[first:first + len(fresh)] = self.kernel_values(fresh)
+            cores.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+        for w, core in new.items():
+            known[w] = 2 * cores[core] + (w[-1] in ".!?")
 
     def sentences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Features of every sentence, and of every different word."""
@@ -169,7 +179,9 @@ class Landmarks:
         if not n:
             return np.zeros((0, self.m), np.float32), np.zeros((0, self.m), np.float32)
         ids = np.fromiter(map(self.known.__getitem__, itertools.chain(words, extra)), np.int64, n + len(extra))
-        values, ends = self.values[ids], self.ends[ids[:n]]
+        ends = ids[:n] & 1 == 1
+        ids >>= 1
+        values = self.values[ids]
         starts = np.unique(np.concatenate([[b for b in breaks if b < n], np.flatnonzero(ends[:-1]) + 1]))
         found = np.maximum.reduceat(values[:n], starts, axis=0)
         if extra:

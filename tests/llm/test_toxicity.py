@@ -27,6 +27,9 @@ def test_kernel():
     for w, row in zip(words[:6], got, strict=False):
         want = [min(1, brute_kernel(w.lower(), s) / brute_kernel(s, s)) ** tx.POWER for s in ("idiot", "trash")]
         assert row == pytest.approx(want, rel=1e-4)
+    marks.learn(["Idiot!!", "idiot", "x"])
+    assert marks.plain_ends and len(marks.cores) == 2 and not tx.Landmarks(["ab!"]).plain_ends
+    assert marks.values[marks.known["Idiot!!"] >> 1] == pytest.approx(got[1]) and marks.known["Idiot!!"] & 1
     assert got[1][0] == pytest.approx(1) and got[3][0] > 0.1 > got[5][0] and got[7][0] == pytest.approx(1) and not got[6].any()
 
 
