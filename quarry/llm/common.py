@@ -33,11 +33,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: its rows are
     derived once, and a lost executor costs a reread and nothing more."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

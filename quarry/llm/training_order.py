@@ -129,7 +129,7 @@ def write_shards(sequences: DataFrame, key: int, length: int, stride: int) -> st
     """Write ``sequences`` (as ``cut_sequences`` gives) in their training
     order; returns the folder."""
     spark = sequences.sparkSession
-    kept = stored(sequences, "sequences")
+    kept = stored(sequences, "sequences", "zstd")
     out = new_folder(spark, "shards")
     sizes = sorted((r["part"], r["count"]) for r in kept.groupBy("part").count().collect())
     n = sum(c for _, c in sizes)
@@ -146,7 +146,7 @@ def write_shards(sequences: DataFrame, key: int, length: int, stride: int) -> st
     range_of = F.floor(F.col("shard") * parts / n_shards).cast("int")
     dealt = placed.select("slot", "doc_id", "piece", "n_tokens", "ids", "shard").repartitionById(parts, range_of)
     padded = F.expr(f"rpad(ids, {2 * length}, X'{PAD_ID.to_bytes(2, 'little').hex()}')")
-    dealt.sortWithinPartitions("shard", "slot").withColumn("ids", padded).write.partitionBy("shard").parquet(out)
+    dealt.sortWithinPartitions("shard", "slot").withColumn("ids", padded).write.partitionBy("shard").parquet(out, compression="zstd")
     return out
 
 
