@@ -43,7 +43,7 @@ def byte_letters() -> dict[int, int]:
 
 
 class WordIds:
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 1_300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
