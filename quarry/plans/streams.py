@@ -13,12 +13,16 @@ from quarry.plans.relations import kv_lines
 from quarry.session import scratch_path
 from quarry.streaming import keyed as K
 
-N_FILES = 4
+N_CHUNKS = 4
 
 
-def _stage(t, n_files=N_FILES):
+def _replay(t):
+    """The events in four chunks; each is written, then the stream takes it
+    up from its checkpoint and drains it: four micro-batches."""
     base = scratch_path(t.spark, f"kv-{uuid.uuid4().hex}")
-    K.write_lines(kv_lines(t), f"{base}/src", n_files, "event_id")
+    for i, chunk in enumerate(K.chunks(kv_lines(t), N_CHUNKS, "event_id")):
+        K.write_chunk(chunk, f"{base}/src/c{i:05d}")
+        K.run_running_avg(t.spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt").awaitTermination()
     return base
 
 
@@ -42,32 +46,32 @@ def q_running_batch(t):
 @query("stateful_running_avg")
 def q_stateful(t):
     """One output per input row from keyed state, 4 micro-batches."""
-    base = _stage(t)
-    K.run_running_avg(t.spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    base = _replay(t)
     return _out(K.read_log(t.spark, f"{base}/out"))
 
 
 @query("upsert_by_key")
 def q_upsert(t):
     """K4: the last-write-wins table after all batches."""
-    base = _stage(t)
-    K.run_running_avg(t.spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    base = _replay(t)
     tab = K.VersionedTable(f"{base}/out/latest", "key", "arrival").read(t.spark)
     return tab.select("key", F.round("avg", 6).alias("avg"), F.col("n").cast("long").alias("n"))
 
 
 @query("checkpointed_recovery")
 def q_recovery(t):
-    """Run on the first half of the files, stop, add the rest, restart
-    from the same checkpoint; totals equal one uninterrupted run."""
+    """Run on the first half of the events, undo the last commit of the
+    sink as a driver that died there would leave it, add the rest and
+    restart from the same checkpoint: the batch whose version is missing is
+    applied again, and totals equal one uninterrupted run."""
     spark = t.spark
     base = scratch_path(spark, f"kv-{uuid.uuid4().hex}")
-    lines = kv_lines(t)
-    cut = lines.select(F.percentile_approx("event_id", 0.5)).first()[0]
-    K.write_lines(lines.where(F.col("event_id") <= cut), f"{base}/src", 2, "event_id", "a")
-    src = f"{base}/src/*"
-    K.run_running_avg(spark, src, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    K.write_lines(lines.where(F.col("event_id") > cut), f"{base}/src", 2, "event_id", "b")
-    K.run_running_avg(spark, src, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    tab = K.VersionedTable(f"{base}/out/latest", "key", "arrival").read(spark)
+    first, second = K.chunks(kv_lines(t), 2, "event_id")
+    src, out, ckpt = f"{base}/src/*", f"{base}/out", f"{base}/ckpt"
+    K.write_chunk(first, f"{base}/src/a")
+    K.run_running_avg(spark, src, out, ckpt).awaitTermination()
+    K.forget_last_batch(spark, f"{out}/latest", ckpt)
+    K.write_chunk(second, f"{base}/src/b")
+    K.run_running_avg(spark, src, out, ckpt).awaitTermination()
+    tab = K.VersionedTable(f"{out}/latest", "key", "arrival").read(spark)
     return tab.select("key", F.round("avg", 6).alias("avg"), F.col("n").cast("long").alias("n"))

@@ -15,10 +15,11 @@ def _lines(spark, n=200):
 
 def test_stream_equals_batch_and_restart(spark, tmpdir_path):
     lines = _lines(spark)
-    K.write_lines(lines.where("event_id < 100"), f"{tmpdir_path}/src", 2, "event_id", "a")
+    K.write_chunk(lines.where("event_id < 100"), f"{tmpdir_path}/src/a")
     q = K.run_running_avg(spark, f"{tmpdir_path}/src/*", f"{tmpdir_path}/out", f"{tmpdir_path}/ck")
     q.awaitTermination()
-    K.write_lines(lines.where("event_id >= 100"), f"{tmpdir_path}/src", 2, "event_id", "b")
+    K.forget_last_batch(spark, f"{tmpdir_path}/out/latest", f"{tmpdir_path}/ck")
+    K.write_chunk(lines.where("event_id >= 100"), f"{tmpdir_path}/src/b")
     K.run_running_avg(spark, f"{tmpdir_path}/src/*", f"{tmpdir_path}/out", f"{tmpdir_path}/ck").awaitTermination()
     stream = {(r["key"], r["arrival"]): round(r["avg"], 9) for r in K.read_log(spark, f"{tmpdir_path}/out").collect()}
     batch = K.running_avg_batch(K.split_key_value(lines).where("ok"))
@@ -68,7 +69,8 @@ def test_processing_time_trigger_and_quota(spark, tmpdir_path):
     """Continuous micro-batches every 2 seconds; W6: at most n keys per
     batch handled by the per-batch action."""
     lines = _lines(spark, 60)
-    K.write_lines(lines, f"{tmpdir_path}/src", 2, "event_id")
+    for i, chunk in enumerate(K.chunks(lines, 2, "event_id")):
+        K.write_chunk(chunk, f"{tmpdir_path}/src/c{i}")
     q = K.run_running_avg(spark, f"{tmpdir_path}/src/*", f"{tmpdir_path}/out", f"{tmpdir_path}/ck",
                           trigger={"processingTime": "2 seconds"})
     try:
