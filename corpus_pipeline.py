@@ -21,6 +21,10 @@ from quarry.llm.common import documents, labels, release, stored
 from quarry.session import share_package
 
 
+PASSAGE_WORDS = 51
+PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1       # so many words have no fewer, with a byte between two
+
+
 def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id the verdict keeps."""
     ids = verdict.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
@@ -45,8 +49,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the passages that stand elsewhere, too."""
-    cleaned = suffix_dedup.clean_texts(docs)
+    """Every document, without the passages of over 50 words that stand
+    elsewhere, too (or of 400 bytes, if their words are long)."""
+    cleaned = suffix_dedup.clean_texts(docs, PASSAGE_BYTES, PASSAGE_WORDS)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -105,21 +105,24 @@ def _bytes(text: pa.StringScalar) -> bytes:
     return text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
-def _cell_task(batches):
-    names = ["doc_id", "text_hash", "start", "n_starts", "lead", "anchor", "span"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    held, weight = [], 0
-    for batch in batches:
-        for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            found = cells(np.frombuffer(_bytes(text), np.uint8))
-            if found is not None:
-                held.append((doc_id, text_hash, found))
-                weight += len(found[0])
-            if weight > 100_000:
-                yield _cell_batch(held, names, types)
-                held, weight = [], 0
-    if held:
-        yield _cell_batch(held, names, types)
+def _cell_task(length: int):
+    def run(batches):
+        names = ["doc_id", "text_hash", "start", "n_starts", "lead", "anchor", "span"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        held, weight = [], 0
+        for batch in batches:
+            for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found = cells(np.frombuffer(_bytes(text), np.uint8), length, length // 2)
+                if found is not None:
+                    held.append((doc_id, text_hash, found))
+                    weight += len(found[0])
+                if weight > 100_000:
+                    yield _cell_batch(held, names, types)
+                    held, weight = [], 0
+        if held:
+            yield _cell_batch(held, names, types)
+
+    return run
 
 
 def _cell_batch(held, names, types):
@@ -194,50 +197,56 @@ def resolve(groups: list[Group], length: int = LENGTH):
         yield from zip(g.keys, g.repeated(mine, length), strict=True)
 
 
-def _span_task(batches):
+def _span_task(length: int):
     """Bytes of the wanted spans of each text."""
-    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("chunks", pa.int64()), ("lead", pa.int32()), ("n_starts", pa.int32()), ("bytes", pa.binary())])
+    def run(batches):
+        schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("chunks", pa.int64()), ("lead", pa.int32()), ("n_starts", pa.int32()), ("bytes", pa.binary())])
 
-    def rows():
-        for batch in batches:
-            for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                data = _bytes(text)
-                for w in wanted.as_py():
-                    yield w["anchor"], w["span"], w["chunks"], w["lead"], w["n_starts"], data[w["start"]:w["start"] + w["n_starts"] - 1 + LENGTH]
+        def rows():
+            for batch in batches:
+                for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
+                    data = _bytes(text)
+                    for w in wanted.as_py():
+                        yield w["anchor"], w["span"], w["chunks"], w["lead"], w["n_starts"], data[w["start"]:w["start"] + w["n_starts"] - 1 + length]
 
-    yield from batches_out(schema, rows(), lambda r: len(r[5]))
+        yield from batches_out(schema, rows(), lambda r: len(r[5]))
 
+    return run
 
-def _resolve_task(batches):
-    """Rows sorted by (anchor, i, j): one group after the other."""
-    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("runs", pa.list_(pa.int32()))])
-
-    def groups():
-        now, members = None, {}
-        for batch in batches:
-            for anchor, i, j, span, lead, n_starts, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (anchor, i, j) != now:
-                    if len(members) > 1:
-                        yield Group(list(members.values()))
-                    now, members = (anchor, i, j), {}
-                members[span] = ((anchor, span), lead, n_starts, data)
-        if len(members) > 1:
-            yield Group(list(members.values()))
 
-    def rows():
-        held, weight = [], 0
-        for g in groups():
-            held.append(g)
-            weight += g.symbols.size
-            if weight >= SYMBOLS:
-                for (anchor, span), runs in resolve(held):
+def _resolve_task(length: int):
+    """Rows sorted by (anchor, i, j): one group after the other."""
+    def run(batches):
+        schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("runs", pa.list_(pa.int32()))])
+
+        def groups():
+            now, members = None, {}
+            for batch in batches:
+                for anchor, i, j, span, lead, n_starts, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if (anchor, i, j) != now:
+                        if len(members) > 1:
+                            yield Group(list(members.values()))
+                        now, members = (anchor, i, j), {}
+                    members[span] = ((anchor, span), lead, n_starts, data)
+            if len(members) > 1:
+                yield Group(list(members.values()))
+
+        def rows():
+            held, weight = [], 0
+            for g in groups():
+                held.append(g)
+                weight += g.symbols.size
+                if weight >= SYMBOLS:
+                    for (anchor, span), runs in resolve(held, length):
+                        yield anchor, span, runs
+                    held, weight = [], 0
+            if held:
+                for (anchor, span), runs in resolve(held, length):
                     yield anchor, span, runs
-                held, weight = [], 0
-        if held:
-            for (anchor, span), runs in resolve(held):
-                yield anchor, span, runs
 
-    yield from batches_out(schema, (r for r in rows() if r[2]), lambda r: 8 * len(r[2]))
+        yield from batches_out(schema, (r for r in rows() if r[2]), lambda r: 8 * len(r[2]))
+
+    return run
 
 
 # ------------------------------------------------------------------- operator
@@ -245,11 +254,14 @@ def _resolve_task(batches):
 REMOVED = "doc_id long, n_bytes long, removed array<long>, kept binary"
 
 
-def _cut(text: pa.StringScalar, found: list, whole_characters: bool) -> tuple[int, list[int], bytes]:
-    """(bytes of the text, removed runs flat, what is kept)."""
+def _cut(text: pa.StringScalar, found: list, whole_characters: bool, length: int, words: int = 0) -> tuple[int, list[int], bytes]:
+    """(bytes of the text, removed runs flat, what is kept).  A run of fewer
+    than ``LENGTH`` bytes and fewer than ``words`` words stays."""
     data = _bytes(text)
     kept, at, flat = [], 0, []
-    for first, last in merged(found):
+    for first, last in merged(found, length):
+        if last - first < LENGTH and len(data[first:last].split()) < words:
+            continue
         if whole_characters:
             first, last = _inside(data, first, last)
         if first < last:
@@ -265,21 +277,24 @@ def _removal_task(batches):
     def rows():
         for batch in batches:
             for doc_id, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                yield doc_id, *_cut(text, found.as_py() or [], False)
+                yield doc_id, *_cut(text, found.as_py() or [], False, LENGTH)
 
     yield from batches_out(schema, rows(), lambda r: len(r[3]) + 8 * len(r[2]))
 
 
-def _cleaning_task(batches):
+def _cleaning_task(length: int, words: int):
     """The same batches with the texts cut and without the found runs."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 512):
-            part = batch.slice(start, 512)
-            at = part.schema.get_field_index("text")
-            runs = part.column(part.schema.get_field_index("_found"))
-            texts = [text.as_py() if not found.is_valid else _cut(text, found.as_py(), True)[2].decode()
-                     for text, found in zip(part.column(at), runs, strict=True)]
-            yield part.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_found"])
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                at = part.schema.get_field_index("text")
+                runs = part.column(part.schema.get_field_index("_found"))
+                texts = [text.as_py() if not found.is_valid else _cut(text, found.as_py(), True, length, words)[2].decode()
+                         for text, found in zip(part.column(at), runs, strict=True)]
+                yield part.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_found"])
+
+    return run
 
 
 def _inside(data: bytes, first: int, last: int) -> tuple[int, int]:
@@ -291,9 +306,9 @@ def _inside(data: bytes, first: int, last: int) -> tuple[int, int]:
     return first, last
 
 
-def merged(found: list) -> list[tuple[int, int]]:
+def merged(found: list, length: int = LENGTH) -> list[tuple[int, int]]:
     """Maximal byte runs [first, last) of windows given as cells' runs."""
-    runs = sorted((c["start"] + first, c["start"] + first + n - 1 + LENGTH) for c in found for first, n in zip(c["runs"][::2], c["runs"][1::2], strict=True))
+    runs = sorted((c["start"] + first, c["start"] + first + n - 1 + length) for c in found for first, n in zip(c["runs"][::2], c["runs"][1::2], strict=True))
     out: list[list[int]] = []
     for first, last in runs:
         if out and first <= out[-1][1]:
@@ -306,21 +321,23 @@ def merged(found: list) -> list[tuple[int, int]]:
 def remove_repeats(df: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed (first and end of each removed run, flat)
     and kept (the bytes that remain, joined) of every document."""
-    found = _with_runs(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = _with_runs(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), LENGTH)
     return found.select("doc_id", "text", "_found").mapInArrow(_removal_task, REMOVED)
 
 
-def clean_texts(df: DataFrame) -> DataFrame:
-    """``df`` with repeated strings taken out of its texts.  A run leaves
-    the characters that it would cut, so a text stays UTF-8."""
-    return _with_runs(df).mapInArrow(_cleaning_task, df.schema)
+def clean_texts(df: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """``df`` with strings of ``length`` bytes that stand elsewhere, too,
+    taken out of its texts.  Of runs shorter than ``LENGTH`` bytes only
+    those of ``words`` words or more are taken.  A run leaves the
+    characters that it would cut, so a text stays UTF-8."""
+    return _with_runs(df, length).mapInArrow(_cleaning_task(length, words), df.schema)
 
 
-def _with_runs(df: DataFrame) -> DataFrame:
+def _with_runs(df: DataFrame, length: int) -> DataFrame:
     """``df`` with _found: the runs of repeated windows by cell, or null."""
     spark = df.sparkSession
     read = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    found = stored(read.mapInArrow(_cell_task, CELL), "cells")
+    found = stored(read.mapInArrow(_cell_task(length), CELL), "cells")
     shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("anchor")
     repeated = stored(found.join(shared, "anchor"), "repeated-cells")
     release(spark)
@@ -332,12 +349,12 @@ def _with_runs(df: DataFrame) -> DataFrame:
         "anchor", "span", "lead", "n_starts", F.ceil(F.col("kinds") / CHUNK).alias("chunks"), "at.doc_id", "at.text_hash", "at.start")
     wanted = mixed.groupBy(F.col("doc_id").alias("its_id"), "text_hash").agg(F.collect_list(F.struct("anchor", "span", "chunks", "lead", "n_starts", "start")).alias("wanted"))
     texts = read.join(wanted, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("its_id"))).select("text", "wanted")
-    contents = texts.mapInArrow(_span_task, "anchor long, span long, chunks long, lead int, n_starts int, bytes binary")
+    contents = texts.mapInArrow(_span_task(length), "anchor long, span long, chunks long, lead int, n_starts int, bytes binary")
     mine = F.pmod(F.xxhash64("span"), F.col("chunks"))
     dealt = contents.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.select("anchor", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "span", "lead", "n_starts", "bytes")
     dealt = dealt.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", "span")
-    resolved = stored(dealt.mapInArrow(_resolve_task, "anchor long, span long, runs array<int>"), "resolved")
+    resolved = stored(dealt.mapInArrow(_resolve_task(length), "anchor long, span long, runs array<int>"), "resolved")
     release(spark)
 
     whole = spans.where(F.col("n") > 1).select("anchor", "span", F.array(F.lit(0), F.col("n_starts")).alias("runs"))

@@ -104,3 +104,17 @@ def test_odd_rows(spark, tmp_path):
 def test_run(spark):
     import __spark_entry__ as e
     assert e.queries()["pipeline"](spark, "/root/testdata/sf0.001").count() > 0 and cp.ORACLE_SQL is None
+
+
+def test_suffix_stage_takes_passages_of_51_words(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+    passage, short, tiny = words("p", 51), words("s", 30), " ".join("ab"[i * i % 7 % 2] for i in range(51))
+    assert len(passage) < 400 and len(short) > 101 and len(tiny) == 101
+    rows = [(10 * k + i, f"{words(f'x{k}{i}y', 20)} {p} {words(f'z{k}{i}y', 20)}", "en", "s", 0) for k, p in enumerate((passage, short, tiny)) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = texts(dict(cp.STAGES)["suffix-array dedup"](spark, docs, D))
+    for i in range(2):
+        assert passage[3:-3] not in got[i] and len(got[i].split()) >= 39
+        assert short in got[10 + i]
+        assert tiny not in got[20 + i]
