@@ -59,7 +59,7 @@ def described(word: str) -> tuple[int, str, bool]:
             return 0, "A" + tail, len(core) > 1
         if core[:1].isupper() and core[1:].islower():
             return 0, "Aa" + tail, False
-    shape = "".join("a" if c.islower() else "A" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    shape = "".join("a" if c.islower() else "A" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return word_kind(word), re.sub(r"(.)\1+", r"\1", shape), word.isupper() and sum(map(str.isalpha, word)) > 1
 
 

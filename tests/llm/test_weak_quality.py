@@ -59,3 +59,8 @@ def test_query_agrees_with_the_given_labels(spark):
     good = [got[r.doc_id] for r in labels if r.quality == 1]
     bad = [got[r.doc_id] for r in labels if r.quality == 0]
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.1
+
+
+def test_shape_of_a_long_word():
+    from quarry.llm.weak_quality import described
+    assert described("x" * 64 + "1#1#")[1] == "a0#0#" and described("漢" * 100 + "<>")[1] == "A<>"
