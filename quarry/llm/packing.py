@@ -137,15 +137,16 @@ def _bins_of(rows: DataFrame) -> int:
     return rows.select("part", "bin").distinct().count()
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = 8192, max_rounds: int = 6) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = 8192) -> DataFrame:
     """``pieces`` (PIECE) with sequence_id and offset: each sequence holds
     its pieces without gaps from 0, ``capacity`` tokens at most."""
     pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()).select(
         "row", "doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
     n = pieces.count()
     placed = _pack_round(pieces, 0, n, per_part, capacity, "packed")
-    settled = None
-    for number in range(1, max_rounds + 1):
+    settled, number = None, 0
+    while True:
+        number += 1
         given_up = (F.col("fill") < capacity) & ((F.col("bins") > F.col("bound")) | F.col("emptiest"))
         pool = placed.where(given_up)
         pool_rows, before, least = pool.count(), _bins_of(pool), _bound_of(pool, capacity)
@@ -157,14 +158,12 @@ def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = 8192, max_roun
         kept = _named(placed.where(~given_up), number - 1)
         settled = kept if settled is None else settled.unionByName(kept)
         placed = again
-    else:
-        number = max_rounds + 1
     last = _named(placed, number - 1)
     return last if settled is None else settled.unionByName(last)
 
 
 def _named(placed: DataFrame, number: int) -> DataFrame:
-    sequence = F.lit(number).cast("long") * (1 << 56) + F.col("part") * (1 << 24) + F.col("bin")
+    sequence = F.lit(number).cast("long") * (1 << 48) + F.col("part") * (1 << 24) + F.col("bin")
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
 
 

@@ -86,3 +86,15 @@ def test_query(spark, library):
     total = sum(v[1] for v in want.values())
     assert check(got) <= -(-total // 4096) * 1.02 + 1
     assert cut_pieces(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), PATH).count() == len(want)
+
+
+def test_rounds_go_on_while_they_save(spark, monkeypatch):
+    from quarry.llm import packing
+    counts, rounds = iter(x for n in range(20, 11, -1) for x in (n, n - (n > 12))), []
+    real = packing._pack_round
+    monkeypatch.setattr(packing, "_bins_of", lambda rows: next(counts))
+    monkeypatch.setattr(packing, "_bound_of", lambda rows, capacity: 0)
+    monkeypatch.setattr(packing, "_pack_round", lambda *a: rounds.append(a[1]) or real(*a))
+    pieces = spark.createDataFrame([(i, 0, 0, 3, 0) for i in range(8)], packing.PIECE)
+    rows = packing.pack(pieces, 10, per_part=4).collect()
+    assert rounds == list(range(10)) and sorted(r.doc_id for r in rows) == list(range(8))
