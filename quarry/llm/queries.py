@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, weak_quality
+from quarry.llm import bpe_fst, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, voronoi_knn, weak_quality
 from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -110,3 +110,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     taken = F.aggregate(F.transform("removed", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
     return r.select("doc_id", "n_bytes", taken.alias("n_removed"), (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors of every 50th one, by exact inner product."""
+    return voronoi_knn.knn_join(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+ORACLES["op13_voronoi_knn"] = voronoi_knn.ORACLE
