@@ -10,11 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_fst, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, voronoi_knn, weak_quality
+from quarry.llm import alignment, bpe_fst, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, voronoi_knn, weak_quality
 from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE_JSON = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +121,10 @@ def op13_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_voronoi_knn"] = voronoi_knn.ORACLE
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers linked by the bytes they share, per document."""
+    found = alignment.alignment(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE_JSON), public_tokenizers.path(PIECE_BPE), keep_groups=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"), "n_shared")
