@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 from quarry.llm.common import batches_out, stored
 from quarry.llm.tokens import byte_letters
 
-#: Chunks kept per generation of the memo (two), and the longest one kept.
-MEMO = 150_000
-MEMO_CHARS = 48
+#: Bytes of a generation of the memo (two), and what an entry takes besides its strings.
+MEMO_BYTES = 96 << 20
+ENTRY = 320
 #: Texts aligned together, in characters.
 TOGETHER = 2 << 20
 #: Pairs that a task adds up before it hands their sums on.
@@ -149,78 +149,108 @@ class Pair:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = ([np.array([f"{i}{s}" for i in range(len(t))], object) for s in marks] for t, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
-
-    def align(self, chunks: list[str]) -> list[tuple | None]:
-        """Per chunk (which begins with the space that B puts): n_a, n_b,
-        n_groups, n_links, n_shared, groups, linked pairs; None if its bytes
-        do not come back."""
-        a_ids = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
+        self.now, self.older = Memo(), Memo()
+
+    def align(self, chunks: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Of chunks (which begin with the space that B puts): n_a, n_b,
+        n_groups, n_links, n_shared of each (n_a of -1 and nothing else
+        where the bytes do not come back), its groups, and all linked pairs
+        one after the other."""
+        a_ids = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         b_ids = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        found: list[tuple | None] = [None] * len(chunks)
-        sound = []
-        for i, (c, x, y) in enumerate(zip(chunks, a_ids, b_ids, strict=True)):
-            raw = c.encode()
-            if raw == b"".join([self.a_bytes[t] for t in x]) and raw == b"".join([self.b_bytes[t] for t in y]):
-                sound.append(i)
-        if not sound:
-            return found
-        a = np.fromiter(chain.from_iterable(a_ids[i] for i in sound), np.int64)
-        b = np.fromiter(chain.from_iterable(b_ids[i] for i in sound), np.int64)
+        raw = [c.encode() for c in chunks]
+        sound = self._sound(raw, a_ids, b_ids)
+        if not all(sound):
+            a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, sound, strict=True)] for ids in (a_ids, b_ids))
+        a_n, b_n = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
         both = Aligned(self.a_size[a], self.b_size[b])
         starts, columns, _ = both.links()
         shared = np.concatenate([[0], np.cumsum(both.shared_sizes())])
         linked = (np.repeat(a, np.diff(starts)) << SHIFT) | b[columns]
         # a group is written as its tokens of A, then its tokens of B
+        written = np.empty(len(a) + len(b), object)
         place_a = np.arange(len(a)) + both.groups_b[0][both.group_a]
         place_b = np.arange(len(b)) + both.groups_a[0][both.group_b + 1]
-        written = np.empty(len(a) + len(b), object)
-        written[place_a] = self.a_text[0][a]
-        written[place_b] = self.b_text[0][b]
-        for place, text, ids, group in ((place_a, self.a_text[1], a, both.group_a), (place_b, self.b_text[1], b, both.group_b)):
-            last = np.append(group[1:] != group[:-1], True)
-            written[place[last]] = text[ids[last]]
-        a_at = np.concatenate([[0], np.cumsum([len(a_ids[i]) for i in sound])])
-        b_at = np.concatenate([[0], np.cumsum([len(b_ids[i]) for i in sound])])
-        group_at = np.append(both.group_a[a_at[:-1]], len(both.cuts))
-        link_at, shared_at = starts[a_at], shared[a_at]
-        for k, i in enumerate(sound):
-            groups = "".join(written[a_at[k] + b_at[k]:a_at[k + 1] + b_at[k + 1]].tolist())[:-1]
-            found[i] = (int(a_at[k + 1] - a_at[k]), int(b_at[k + 1] - b_at[k]), int(group_at[k + 1] - group_at[k]), int(link_at[k + 1] - link_at[k]),
-                        int(shared_at[k + 1] - shared_at[k]), groups, linked[link_at[k]:link_at[k + 1]].copy())
-        return found
-
-    def documents(self, texts: list[str | None]) -> Iterator[tuple]:
-        """Per text the sums over its chunks, the groups and the pairs."""
-        chains = [CHUNK.split(" " + t) if t else [] for t in texts]
-        if len(self.known) >= MEMO:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        fresh, new = {}, []
-        for c in dict.fromkeys(chain.from_iterable(chains)):
-            if c not in known:
-                if c in older:
-                    known[c] = older[c]
-                else:
-                    new.append(c)
+        for place, text, ids, group in ((place_a, self.a_text, a, both.group_a), (place_b, self.b_text, b, both.group_b)):
+            last = np.append(group[1:] != group[:-1], True)[:len(group)]
+            written[place] = np.where(last, text[1][ids], text[0][ids])
+        written = written.tolist()
+        a_at, b_at = (np.concatenate([[0], np.cumsum(n)]) for n in (a_n, b_n))
+        group_at = np.append(both.group_a, len(both.cuts))[a_at]
+        stats = np.column_stack([a_n, b_n, np.diff(group_at), np.diff(starts[a_at]), np.diff(shared[a_at])])
+        stats[~np.array(sound), 0] = -1
+        ends = (a_at + b_at).tolist()
+        return stats, ["".join(written[x:y])[:-1] for x, y in zip(ends, ends[1:], strict=False)], linked
+
+    def _sound(self, raw: list[bytes], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[bool]:
+        """Which chunks both tokenizers' bytes give back."""
+        good = [True] * len(raw)
+        for table, sizes, ids in ((self.a_bytes, self.a_size, a_ids), (self.b_bytes, self.b_size, b_ids)):
+            given = b"".join(map(table.__getitem__, chain.from_iterable(ids)))
+            lengths = np.concatenate([[0], np.cumsum(sizes[np.fromiter(chain.from_iterable(ids), np.int64)])])[np.cumsum([len(x) for x in ids])]
+            if given != b"".join(raw) or (lengths != np.cumsum([len(r) for r in raw])).any():
+                good = [g and r == b"".join(map(table.__getitem__, x)) for g, r, x in zip(good, raw, ids, strict=True)]
+        return good
+
+    def _learn(self, chunks: Iterator[str]) -> None:
+        if self.now.weight > MEMO_BYTES:
+            self.older, self.now = self.now, Memo()
+        index, older = self.now.index, self.older.index
+        new = [c for c in dict.fromkeys(chunks) if c not in index]
+        again = [c for c in new if c in older]
+        if again:
+            self.now.add(again, *self.older.take(again))
+        new = [c for c in new if c not in older]
         while new:
             size, n = 0, 0
             while n < len(new) and size < TOGETHER:
                 size += len(new[n])
                 n += 1
-            for c, found in zip(new[:n], self.align(new[:n]), strict=True):
-                (known if len(c) <= MEMO_CHARS else fresh)[c] = found
+            self.now.add(new[:n], *self.align(new[:n]))
             new = new[n:]
+
+    def documents(self, texts: list[str | None]) -> Iterator[tuple]:
+        """Per text the sums over its chunks, the groups and the pairs."""
+        chains = [CHUNK.split(" " + t) if t else [] for t in texts]
+        self._learn(chain.from_iterable(chains))
         for text, cs in zip(texts, chains, strict=True):
-            parts = [known[c] if c in known else fresh[c] for c in cs]
-            if None in parts:               # judged as a whole: what one chunk lacks, another may have
-                parts = [p for p in self.align([" " + text]) if p is not None]
-            if not parts:
-                yield 0, 0, 0, 0, 0, "", np.empty(0, np.int64)
-                continue
-            a, b, groups, links, shared, written, pairs = zip(*parts)
-            yield sum(a), sum(b), sum(groups), sum(links), sum(shared), ";".join(written), np.concatenate(pairs)
+            stats, groups, linked = self.now.take(cs)
+            if len(stats) and stats[:, 0].min() < 0:        # judged as a whole: what one chunk lacks, another may have
+                stats, groups, linked = self.align([" " + text])
+                stats = np.maximum(stats, 0)
+            yield *stats.sum(0).tolist(), ";".join(groups), linked
+
+
+class Memo:
+    """Aligned chunks: their numbers, groups and pairs by position."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.stats, self.starts, self.groups = np.zeros((1024, 5), np.int64), np.zeros(1024, np.int64), []
+        self.pairs, self.used, self.weight = np.zeros(4096, np.int64), 0, 0
+
+    def add(self, chunks: list[str], stats: np.ndarray, groups: list[str], pairs: np.ndarray) -> None:
+        n, end = len(self.groups), self.used + len(pairs)
+        while len(self.stats) < n + len(chunks):
+            self.stats, self.starts = np.concatenate([self.stats, self.stats]), np.concatenate([self.starts, self.starts])
+        while len(self.pairs) < end:
+            self.pairs = np.concatenate([self.pairs, self.pairs])
+        self.index.update(zip(chunks, range(n, n + len(chunks)), strict=True))
+        self.stats[n:n + len(chunks)] = stats
+        self.starts[n:n + len(chunks)] = self.used + np.cumsum(stats[:, 3]) - stats[:, 3]
+        self.pairs[self.used:end] = pairs
+        self.groups += groups
+        self.used = end
+        self.weight += 8 * len(pairs) + sum(map(len, groups)) + sum(map(len, chunks)) + ENTRY * len(chunks)
+
+    def take(self, chunks: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        at = list(map(self.index.__getitem__, chunks))
+        where = np.array(at, np.int64)
+        stats = self.stats[where]
+        sizes = stats[:, 3]
+        places = np.repeat(self.starts[where] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        return stats, list(map(self.groups.__getitem__, at)), self.pairs[places]
 
 
 @lru_cache(maxsize=2)

@@ -102,7 +102,7 @@ def test_shared_links():
 def test_memo_changes_nothing(monkeypatch):
     texts = [t for t in ODD if t]
     usual = [(*r[:6], r[6].tolist()) for r in L.Pair(A, B).documents(texts)]
-    monkeypatch.setattr(L, "MEMO", 3)
+    monkeypatch.setattr(L, "MEMO_BYTES", 1000)
     monkeypatch.setattr(L, "TOGETHER", 5)
     small = L.Pair(A, B)
     assert [(*r[:6], r[6].tolist()) for t in texts for r in small.documents([t])] == usual
