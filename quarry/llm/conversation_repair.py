@@ -203,7 +203,7 @@ def damaged(rows: DataFrame) -> DataFrame:
     space = F.lit(" ")
     kind = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space)).cast("binary")) % 20
     plain = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), kind.alias("kind")).where("kind <> 0")
-    text = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    text = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
     role = F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role"))
     times = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     return plain.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("copy")).drop("copy")
@@ -254,7 +254,7 @@ def _choose_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for conv_id, solved in zip(batch.column("conv_id").to_pylist(), batch.column("solved"), strict=True):
                 yield conv_id, *_choose([(s["segment"], s["entries"]) for s in solved.as_py()])
 
-    yield from batches_out(schema, rows(), lambda r: 2 * len(r[1 + 1]) + 64 * len(r[3]))
+    yield from batches_out(schema, rows(), lambda r: 2 * len(r[2]) + 64 * len(r[3]))
 
 
 def _choose(solved: list[tuple[int, list[dict]]]) -> tuple[int, str, list[dict]]:
@@ -279,13 +279,165 @@ def _choose(solved: list[tuple[int, list[dict]]]) -> tuple[int, str, list[dict]]
     return cost, p.prefixes.string(node), parts[::-1]
 
 
-def _edit(letters: str, state: int) -> Iterator[tuple[str, str | None]]:
-    """(edit, new role or None) in order, from the state a segment is entered in."""
-    for letter in letters:
-        if letter in "RI":
-            state = ASSISTANT if state == USER else USER
-            yield letter, ROLES[state]
-            continue
-        yield letter, None
+def _apply_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order, each segment's edits before its first row: the rows
+    as they are after repair.  Holds one segment's edits and no rows."""
+    schema = pa.schema([("conv_id", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("edit", pa.string())])
 
+    def put_in(conv_id: int | None, state: int, text: str, letter: str) -> tuple[int, tuple]:
+        """A row that gets its role from where it stands."""
+        state = ASSISTANT if state == USER else USER
+        return state, (conv_id, ROLES[state], text, letter)
 
+    def rows() -> Iterator[tuple]:
+        conv_id, state, letters = None, NOTHING, iter("")
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["letters"] is not None:        # what is left of the segment before are rows put in at its end
+                    for letter in letters:
+                        state, out = put_in(conv_id, state, "", letter)
+                        yield out
+                    conv_id, state, letters = r["conv_id"], r["entered"], iter(r["letters"])
+                    continue
+                for letter in letters:
+                    if letter == "I":
+                        state, out = put_in(conv_id, state, "", letter)
+                        yield out
+                        continue
+                    if letter == "R":
+                        state, out = put_in(conv_id, state, r["text"], letter)
+                        yield out
+                    elif letter == "K":
+                        state = NEXT[r["role"][0]][state]
+                        yield conv_id, r["role"], r["text"], letter
+                    break
+        for letter in letters:
+            state, out = put_in(conv_id, state, "", letter)
+            yield out
+
+    yield from batches_out(schema, rows(), lambda r: len(r[2]))
+
+
+def _hash_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each conversation's ``role:text`` rows, joined by newlines."""
+    schema = pa.schema([("conv_id", pa.int64()), ("repaired_sha256", pa.string())])
+
+    def rows() -> Iterator[tuple]:
+        now, digest = None, None
+        for batch in batches:
+            for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
+                if digest is not None and conv_id == now:
+                    digest.update(b"\n")
+                else:
+                    if digest is not None:
+                        yield now, digest.hexdigest()
+                    now, digest = conv_id, hashlib.sha256()
+                digest.update(f"{role}:{text}".encode())
+        if digest is not None:
+            yield now, digest.hexdigest()
+
+    yield from batches_out(schema, rows(), lambda r: 80)
+
+
+# ------------------------------------------------------------------ operator
+
+def prepared(conversations: DataFrame) -> DataFrame:
+    """Damaged rows with place and faults, written once."""
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    return stored(with_faults(damaged(rows)), "conversation-rows", "zstd")
+
+
+def choose_edits(faulted: DataFrame) -> DataFrame:
+    """(conv_id, cost, audit, segments) of every conversation with rows."""
+    lettered = F.array_sort(F.collect_list(F.struct("place", "code")))          # SEGMENT rows at most
+    codes = faulted.groupBy("conv_id", "segment").agg(F.array_join(F.transform(lettered, lambda x: x["code"]), "").alias("codes"))
+    solved = codes.mapInArrow(_solve_task, SOLVED)
+    gathered = solved.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("segment", "entries"))).alias("solved"))
+    return stored(gathered.mapInArrow(_choose_task, CHOSEN), "conversation-edits", "zstd")
+
+
+def repaired_rows(faulted: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(conv_id, role, text, edit): the rows of every repaired conversation,
+    a conversation's rows in order in one partition."""
+    none = F.lit(None)
+    rows = faulted.select("conv_id", "place", F.lit(1).alias("kind"), "role", "text", none.cast("string").alias("letters"), none.cast("int").alias("entered"))
+    edits = chosen.select("conv_id", F.explode("segments").alias("s")).select(
+        "conv_id", (F.col("s.segment") * SEGMENT + 1).alias("place"), F.lit(0).alias("kind"), none.cast("string").alias("role"), none.cast("string").alias("text"), "s.letters", "s.entered")
+    ordered = rows.union(edits).repartition("conv_id").sortWithinPartitions("conv_id", "place", "kind")
+    return ordered.mapInArrow(_apply_task, "conv_id long, role string, text string, edit string")
+
+
+def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
+    other = right.withColumnRenamed("conv_id", "_other")
+    return left.join(other, left["conv_id"].eqNullSafe(other["_other"]), "left").drop("_other")
+
+
+def repair(conversations: DataFrame) -> DataFrame:
+    """A row per original conversation: its faults, the cost and audit of
+    its repair, and the hash of what it is afterwards."""
+    faulted = prepared(conversations)
+    chosen = choose_edits(faulted)
+    wide = [F.col(f"{f}_turn").cast("decimal(20,0)") for f in ("max", "min")]
+    gaps = F.when(F.col("turns") > 0, F.least(wide[0] - wide[1] + 1 - F.col("turns"), F.lit((1 << 63) - 1).cast("decimal(20,0)"))).cast("long")
+    faults = [F.sum(F.col(c).cast("long")).alias(c) for c in ("blank", "duplicate", "truncated", "illegal")]
+    counts = faulted.groupBy("conv_id").agg(F.max("turn").alias("max_turn"), F.min("turn").alias("min_turn"), F.count_distinct("turn").alias("turns"), *faults)
+    hashes = repaired_rows(faulted, chosen).mapInArrow(_hash_task, "conv_id long, repaired_sha256 string")
+    every = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    found = _joined(_joined(_joined(every, counts), chosen.select("conv_id", "cost", "audit")), hashes)
+    zero, nothing = F.lit(0).cast("long"), hashlib.sha256(b"").hexdigest()
+    return found.select("conv_id", F.coalesce(gaps, zero).alias("gaps"), *[F.coalesce(F.col(c), zero).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")],
+                        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"))
+
+
+ORACLE = """
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c FROM range(256) r(i))),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda a, b: xor(t[CAST(xor(a, b) & 255 AS INTEGER) + 1], a >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+  FROM conversations, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, LATERAL (SELECT unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy) WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS i, left(lag(role) OVER w, 1) || left(role, 1) AS pair FROM damaged
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank FROM placed),
+faults AS (
+  SELECT *, again AND NOT blank AS duplicate, NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS truncated,
+    pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au') AS illegal, left(role, 1) AS initial FROM seen),
+-- per state (nothing, after s, after u, after a) the least (cost, audit), with the rows so far
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i,
+    {'c': 0, 'e': '', 'r': CAST([] AS VARCHAR[])} AS n, CAST(NULL AS STRUCT(c INTEGER, e VARCHAR, r VARCHAR[])) AS s,
+    {'c': 2, 'e': 'I', 'r': ['user:']} AS u, {'c': 4, 'e': 'II', 'r': ['user:', 'assistant:']} AS a
+  FROM (SELECT DISTINCT conv_id FROM damaged)
+  UNION ALL
+  SELECT conv_id, i, n, s, u2, least(a1, {'c': u2.c + 2, 'e': u2.e || 'I', 'r': list_append(u2.r, 'assistant:')}) FROM (
+    SELECT *, least(u1, CASE WHEN a1 IS NOT NULL THEN {'c': a1.c + 2, 'e': a1.e || 'I', 'r': list_append(a1.r, 'user:')} END,
+      {'c': n.c + 2, 'e': n.e || 'I', 'r': list_append(n.r, 'user:')}, CASE WHEN s IS NOT NULL THEN {'c': s.c + 2, 'e': s.e || 'I', 'r': list_append(s.r, 'user:')} END) AS u2 FROM (
+      SELECT w.conv_id, f.i,
+        {'c': w.n.c + 3, 'e': w.n.e || 'D', 'r': w.n.r} AS n,
+        least(CASE WHEN w.s IS NOT NULL THEN {'c': w.s.c + 3, 'e': w.s.e || 'D', 'r': w.s.r} END,
+          CASE WHEN NOT gone AND f.initial = 's' THEN {'c': w.n.c + t, 'e': w.n.e || 'K', 'r': list_append(w.n.r, f.role || ':' || f.text)} END) AS s,
+        least({'c': w.u.c + 3, 'e': w.u.e || 'D', 'r': w.u.r},
+          CASE WHEN NOT gone AND f.initial = 'u' THEN {'c': w.n.c + t, 'e': w.n.e || 'K', 'r': list_append(w.n.r, f.role || ':' || f.text)} END,
+          CASE WHEN NOT gone AND f.initial = 'u' AND w.s IS NOT NULL THEN {'c': w.s.c + t, 'e': w.s.e || 'K', 'r': list_append(w.s.r, f.role || ':' || f.text)} END,
+          CASE WHEN NOT gone AND f.initial = 'u' THEN {'c': w.a.c + t, 'e': w.a.e || 'K', 'r': list_append(w.a.r, f.role || ':' || f.text)} END,
+          CASE WHEN NOT gone THEN {'c': w.n.c + t + 2, 'e': w.n.e || 'R', 'r': list_append(w.n.r, 'user:' || f.text)} END,
+          CASE WHEN NOT gone AND w.s IS NOT NULL THEN {'c': w.s.c + t + 2, 'e': w.s.e || 'R', 'r': list_append(w.s.r, 'user:' || f.text)} END,
+          CASE WHEN NOT gone THEN {'c': w.a.c + t + 2, 'e': w.a.e || 'R', 'r': list_append(w.a.r, 'user:' || f.text)} END) AS u1,
+        least({'c': w.a.c + 3, 'e': w.a.e || 'D', 'r': w.a.r},
+          CASE WHEN NOT gone AND f.initial = 'a' THEN {'c': w.u.c + t, 'e': w.u.e || 'K', 'r': list_append(w.u.r, f.role || ':' || f.text)} END,
+          CASE WHEN NOT gone THEN {'c': w.u.c + t + 2, 'e': w.u.e || 'R', 'r': list_append(w.u.r, 'assistant:' || f.text)} END) AS a1
+      FROM walk w JOIN (SELECT *, blank OR duplicate AS gone, CASE WHEN truncated THEN 1 ELSE 0 END AS t FROM faults) f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1))),
+ends AS (SELECT w.conv_id, least(w.n, w.a) AS b FROM walk w JOIN (SELECT conv_id, max(i) AS i FROM faults GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.i = w.i),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+    count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal FROM faults GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.e, '') AS audit, sha256(coalesce(array_to_string(b.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import alignment, bpe_fst, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, voronoi_knn, weak_quality
+from quarry.llm import alignment, bpe_fst, conversation_repair, hyperminhash, packing, rollups, rules, suffix_dedup, syncmers, toxicity, training_order, voronoi_knn, weak_quality
 from quarry.llm.common import documents, labels, new_folder
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -114,6 +114,15 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_bytes", taken.alias("n_removed"), (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its audit, for every damaged conversation."""
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
+ORACLES["op11_conversation_repair"] = conversation_repair.ORACLE
+
+
 @query
 def op13_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best vectors of every 50th one, by exact inner product."""
