@@ -8,7 +8,8 @@ k-grams, leftmost first.  It depends on the window's bytes alone, so equal
 windows have equal anchors at the same place, and comparing windows within
 the group of their anchor's hash loses nothing.  Starts in a row with one
 anchor form a cell; a cell's span is what its windows cover.  Cells of a
-hash that occurs once are settled.  Cells with equal spans are collapsed
+hash that occurs once are settled: cells are sorted by it, once, and those
+without an equal neighbour go.  Cells with equal spans are collapsed
 before anything is compared; a span that occurs twice is repeated as a
 whole.  What remains are groups of different spans with the same anchor:
 these are lined up at the anchor and cut where the spans' agreement
@@ -44,7 +45,8 @@ GRAM = 200
 BLOCK = 1 << 17             # window starts worked on at once
 CHUNK = 1024                # spans of a group in a task, twice
 SYMBOLS = 1 << 17           # sorted at once
-CELL = "doc_id long, text_hash long, start int, n_starts int, lead int, anchor long, span long"
+CELL = "key long, known boolean, anchor long, span long, doc_id long, text_hash long, place long"
+REPEATED = "anchor long, span long, doc_id long, text_hash long, place long"
 
 
 # ----------------------------------------------------------------------- cells
@@ -107,8 +109,6 @@ def _bytes(text: pa.StringScalar) -> bytes:
 
 def _cell_task(length: int):
     def run(batches):
-        names = ["doc_id", "text_hash", "start", "n_starts", "lead", "anchor", "span"]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         held, weight = [], 0
         for batch in batches:
             for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -117,20 +117,57 @@ def _cell_task(length: int):
                     held.append((doc_id, text_hash, found))
                     weight += len(found[0])
                 if weight > 100_000:
-                    yield _cell_batch(held, names, types)
+                    yield _cell_batch(held)
                     held, weight = [], 0
         if held:
-            yield _cell_batch(held, names, types)
+            yield _cell_batch(held)
 
     return run
 
 
-def _cell_batch(held, names, types):
+def _cell_batch(held):
+    """Cells as rows keyed by their anchor.  Of an anchor that a batch holds
+    several times only the first cell is: the others are known to be
+    repeated and lie anywhere."""
     n = [len(f[0]) for *_, f in held]
     index = pa.array(np.repeat(np.arange(len(held)), n))
-    columns = [pa.array([d for d, *_ in held], pa.int64()).take(index), pa.array([t for _, t, _ in held], pa.int64()).take(index)]
-    columns += [pa.array(np.concatenate([f[k] for *_, f in held])).cast(types[k + 2]) for k in range(5)]
-    return pa.record_batch(columns, names=names)
+    start, n_starts, lead, anchor, span = (np.concatenate([f[k] for *_, f in held]) for k in range(5))
+    _, first, which, count = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
+    known = count[which] > 1
+    spread = known.copy()
+    spread[first] = False
+    key = np.where(spread, _mix(anchor.view(np.uint64) + np.arange(len(anchor), dtype=np.uint64)).view(np.int64), anchor)
+    place = start.astype(np.int64) << 32 | n_starts.astype(np.int64) << 16 | lead.astype(np.int64)
+    columns = [pa.array(key), pa.array(known), pa.array(anchor, mask=~spread), pa.array(span), pa.array([d for d, *_ in held], pa.int64()).take(index),
+               pa.array([t for _, t, _ in held], pa.int64()).take(index), pa.array(place)]
+    return pa.record_batch(columns, names=["key", "known", "anchor", "span", "doc_id", "text_hash", "place"])
+
+
+def _repeated_task(batches):
+    """Rows sorted by key: those known to be repeated, and those with the
+    key of the row before or after them."""
+    before, held = None, None
+
+    def kept(rows, keep):
+        anchor = rows.column("anchor").fill_null(0).to_numpy()
+        anchor = np.where(np.asarray(rows.column("anchor").is_null()), rows.column("key").to_numpy(), anchor)
+        part = pa.record_batch([pa.array(anchor), *[rows.column(c) for c in ("span", "doc_id", "text_hash", "place")]], names=["anchor", "span", "doc_id", "text_hash", "place"])
+        return part.filter(pa.array(keep))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        key, n = rows.column("key").to_numpy(), rows.num_rows
+        same = key[1:] == key[:-1]
+        keep = np.asarray(rows.column("known").to_numpy(zero_copy_only=False), bool)
+        keep[0] |= before is not None and key[0] == before
+        keep[1:] |= same
+        keep[:-1] |= same
+        yield kept(rows.slice(0, n - 1), keep[:-1])
+        before, held = key[n - 2] if n > 1 else before, rows.slice(n - 1)
+    if held is not None:
+        yield kept(held, np.asarray(held.column("known").to_numpy(zero_copy_only=False), bool) | (held.column("key").to_numpy() == before if before is not None else False))
 
 
 # -------------------------------------------------------- spans with one anchor
@@ -282,17 +319,17 @@ def _removal_task(batches):
     yield from batches_out(schema, rows(), lambda r: len(r[3]) + 8 * len(r[2]))
 
 
-def _cleaning_task(length: int, words: int):
+def _cleaning_task(length: int, words: int, found_in: str):
     """The same batches with the texts cut and without the found runs."""
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 at = part.schema.get_field_index("text")
-                runs = part.column(part.schema.get_field_index("_found"))
+                runs = part.column(part.schema.get_field_index(found_in))
                 texts = [text.as_py() if not found.is_valid else _cut(text, found.as_py(), True, length, words)[2].decode()
                          for text, found in zip(part.column(at), runs, strict=True)]
-                yield part.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_found"])
+                yield part.set_column(at, "text", pa.array(texts, pa.string())).drop_columns([found_in])
 
     return run
 
@@ -321,8 +358,8 @@ def merged(found: list, length: int = LENGTH) -> list[tuple[int, int]]:
 def remove_repeats(df: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed (first and end of each removed run, flat)
     and kept (the bytes that remain, joined) of every document."""
-    found = _with_runs(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), LENGTH)
-    return found.select("doc_id", "text", "_found").mapInArrow(_removal_task, REMOVED)
+    found = _with_runs(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), LENGTH, "found")
+    return found.select("doc_id", "text", "found").mapInArrow(_removal_task, REMOVED)
 
 
 def clean_texts(df: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
@@ -330,16 +367,26 @@ def clean_texts(df: DataFrame, length: int = LENGTH, words: int = 0) -> DataFram
     taken out of its texts.  Of runs shorter than ``LENGTH`` bytes only
     those of ``words`` words or more are taken.  A run leaves the
     characters that it would cut, so a text stays UTF-8."""
-    return _with_runs(df, length).mapInArrow(_cleaning_task(length, words), df.schema)
+    runs = unused(df, "found")
+    return _with_runs(df, length, runs).mapInArrow(_cleaning_task(length, words, runs), df.schema)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _with_runs(df: DataFrame, length: int) -> DataFrame:
-    """``df`` with _found: the runs of repeated windows by cell, or null."""
+def _with_runs(df: DataFrame, length: int, runs: str) -> DataFrame:
+    """``df`` with ``runs``: the runs of repeated windows by cell, or null."""
     spark = df.sparkSession
     read = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    found = stored(read.mapInArrow(_cell_task(length), CELL), "cells")
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("anchor")
-    repeated = stored(found.join(shared, "anchor"), "repeated-cells")
+    by_key = read.mapInArrow(_cell_task(length), CELL).repartition("key").sortWithinPartitions("key")
+    place = {"start": F.shiftright("place", 32), "n_starts": F.shiftright("place", 16).bitwiseAND(0xFFFF), "lead": F.col("place").bitwiseAND(0xFFFF)}
+    repeated = by_key.mapInArrow(_repeated_task, REPEATED).select("doc_id", "text_hash", "anchor", "span", *[c.cast("int").alias(n) for n, c in place.items()])
+    repeated = stored(repeated, "repeated-cells", "zstd")
     release(spark)
 
     where = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "start")
@@ -360,6 +407,7 @@ def _with_runs(df: DataFrame, length: int) -> DataFrame:
     whole = spans.where(F.col("n") > 1).select("anchor", "span", F.array(F.lit(0), F.col("n_starts")).alias("runs"))
     settled = whole.unionByName(resolved)
     parts = repeated.join(settled, ["anchor", "span"]).groupBy(F.col("doc_id").alias("its_id"), "text_hash").agg(F.collect_list(F.struct("start", "runs")).alias("found"))
-    parts = parts.select(F.col("its_id").alias("_its_id"), F.col("text_hash").alias("_its_hash"), F.col("found").alias("_found"))
-    same = (F.xxhash64(df["text"]) == F.col("_its_hash")) & df["doc_id"].eqNullSafe(F.col("_its_id"))
-    return df.join(parts, same, "left").drop("_its_id", "_its_hash")
+    its_id, its_hash = unused(df, "its_id"), unused(df, "its_hash")
+    parts = parts.select(F.col("its_id").alias(its_id), F.col("text_hash").alias(its_hash), F.col("found").alias(runs))
+    same = (F.xxhash64(df["text"]) == F.col(its_hash)) & df["doc_id"].eqNullSafe(F.col(its_id))
+    return df.join(parts, same, "left").drop(its_id, its_hash)

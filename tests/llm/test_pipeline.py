@@ -1,8 +1,9 @@
+from collections import Counter
+
 import public_tokenizers as P
 import pytest
 from test_hyperminhash import brute as components_by_pairs
 from test_packing import check as check_packing
-from test_suffix_dedup import brute as repeats_by_windows
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -65,12 +66,32 @@ def test_near_dedup_by_pairs(outputs, monkeypatch):
     assert all(before[i] == t for i, t in after.items())
 
 
+def left_by_windows(texts, length, words):
+    """Whether each byte stays: a run covered by strings of ``length`` bytes
+    that stand elsewhere goes if it has ``words`` words or 400 bytes."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(hash(d[i:i + length]) for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        runs = []
+        for i in range(len(d) - length + 1):
+            if seen[hash(d[i:i + length])] > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + length
+                else:
+                    runs.append([i, i + length])
+        goes = [(x, y) for x, y in runs if y - x >= 400 or len(d[x:y].split()) >= words]
+        out.append((len(d), sum(y - x for x, y in goes), len(goes)))
+    return out
+
+
 def test_suffix_dedup_by_windows(outputs):
+    """The stage's own terms: runs of 51 words, found by 101 bytes."""
     before, after = texts(outputs[3]), texts(outputs[4])
     ids = sorted(before)
-    want = repeats_by_windows([before[i] for i in ids])
-    assert set(after) == set(ids)
-    for i, (n, taken, spans, _) in zip(ids, want, strict=True):
+    want = left_by_windows([before[i] for i in ids], 101, 51)
+    assert set(after) == set(ids) and sum(t > 0 for _, t, _ in want) > 20
+    for i, (n, taken, spans) in zip(ids, want, strict=True):
         left = len(after[i].encode())
         assert n - taken <= left <= n - taken + 6 * spans        # of a character cut at either end, the rest
         assert after[i] == before[i] or taken
@@ -92,7 +113,7 @@ def test_odd_rows(spark, tmp_path):
     prose = " ".join(f"Word{i} follows the other{i * 7 % 13}, and some more of it." for i in range(30))
     rows = [(i, prose.replace("some", f"some{i} x{i}"), "en", "s", 9, "extra") for i in range(20)] + [(5, prose.replace("some", "some5 x5"), "en", "s", 9, "extra"), (30, None, None, None, None, None), (None, prose + " null", "en", "s", 1, "x"), (31, "", "en", "s", 0, "x")]
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string").selectExpr("*", "'y' as _text_hash", "1 as _found", "2 as found", "3 as its_id")
     for df in (docs, docs.limit(0)):
         for _, stage in cp.STAGES[:4]:
             df = cp.stored(stage(spark, df, str(tmp_path)), "odd")
