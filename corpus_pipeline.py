@@ -28,7 +28,7 @@ PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1       # so many words have no fewer, with
 def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id the verdict keeps."""
     ids = verdict.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +43,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one of least doc_id,
-    once.  Shingles of five words, similarity of 0.8 or more."""
-    kept = _kept(docs, hyperminhash.components(docs, percent=80, size=5)).withColumn("_text_hash", F.xxhash64("text"))
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    once (of repeated rows that differ in other columns, any one).  Shingles
+    of five words, similarity of 0.8 or more."""
+    text_hash = suffix_dedup.unused(docs, "text_hash")
+    kept = _kept(docs, hyperminhash.components(docs, percent=80, size=5)).withColumn(text_hash, F.xxhash64("text"))
+    return kept.dropDuplicates(["doc_id", text_hash]).drop(text_hash)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
