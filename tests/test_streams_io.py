@@ -112,3 +112,30 @@ def test_upsert_survives_replay(spark, tmpdir_path):
         raise AssertionError("a damaged table was taken for an empty one")
     except Exception as ex:  # noqa: BLE001
         assert not isinstance(ex, AssertionError)
+
+
+def test_upsert_writes_what_changed(spark, tmpdir_path):
+    """A batch costs its own rows and its share of compactions; dead runs go."""
+    import random
+    rnd = random.Random(4)
+    tab = K.VersionedTable(f"{tmpdir_path}/log", "key", "arrival", buckets=3, fan=3)
+    written, write = [], tab._write
+    tab._write = lambda rows, run, level: written.append(write(rows, run, level)) or written[-1]
+    want, keys = {}, [f"k{i}" for i in range(300)] + [None]
+    for b in range(12):
+        rows = [(rnd.choice(keys), rnd.randrange(50), rnd.randrange(1000)) for _ in range(0 if b == 7 else 300 if b == 0 else 10)]
+        changed = {}
+        for k, at, v in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+            changed.setdefault(k, []).append((at, v))
+        for k, held in changed.items():
+            want[k] = {v for at, v in held if at == max(a for a, _ in held)}
+        df = spark.createDataFrame(rows, "key string, arrival long, v int")
+        assert tab.upsert(df, b) and not tab.upsert(df, b)
+        got = {r["key"]: r["v"] for r in tab.read(spark).collect()}
+        assert got.keys() == want.keys() and all(got[k] in want[k] for k in got)
+        assert len(tab.runs(spark, b)) <= 2 * 3
+    small = [r.n_rows for r in written if r.level == 0]
+    assert small[0] <= 300 and all(n <= 10 for n in small[1:])
+    assert sum(r.n_rows for r in written) < 12 * len(want) / 3       # a rewrite of the table per batch is 12 times its rows
+    live = {r.run for v in tab.versions(spark)[-2:] for r in tab.runs(spark, v)}
+    assert set(os.listdir(f"{tmpdir_path}/log/runs")) <= live
