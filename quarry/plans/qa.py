@@ -20,9 +20,10 @@ def ctx_tokens(t, lower=False):
 
 
 def corpus_tokens(t):
-    c = Q.token_rows(t.documents, "doc_id", "text", True)
-    q = Q.token_rows(qa_rows(t), "qid", "question", True)
-    return c.select("token").union(q.select("token"))
+    """Every lower-case token of all documents and questions, without places."""
+    c = t.documents.select(F.explode(Q.tokens(F.col("text"))).alias("token"))
+    q = qa_rows(t).select(F.explode(Q.tokens(F.col("question"))).alias("token"))
+    return c.union(q).select(F.lower("token").alias("token"))
 
 
 @query("flatten_qa")
