@@ -212,6 +212,15 @@ SELECT bt.qid, round(CASE WHEN coalesce(m1.m, 0) = 0 OR coalesce(m2.m, 0) = 0 OR
 FROM bt LEFT JOIN m1 ON m1.qid = bt.qid LEFT JOIN m2 ON m2.qid = bt.qid
 LEFT JOIN m3 ON m3.qid = bt.qid LEFT JOIN m4 ON m4.qid = bt.qid"""
 
+SQL["corpus_bleu"] = W(QA, PRED, BT, *[_ngrams(n) for n in range(1, 5)], """
+tot AS (SELECT count(*) AS n, sum(len(ct)) AS c, sum(len(rt)) AS r,
+               sum(m1.m) AS a1, sum(m1.t) AS b1, sum(m2.m) AS a2, sum(m2.t) AS b2, sum(m3.m) AS a3, sum(m3.t) AS b3, sum(m4.m) AS a4, sum(m4.t) AS b4
+        FROM bt LEFT JOIN m1 ON m1.qid = bt.qid LEFT JOIN m2 ON m2.qid = bt.qid
+        LEFT JOIN m3 ON m3.qid = bt.qid LEFT JOIN m4 ON m4.qid = bt.qid)""") + """
+SELECT n AS sentences, round(CASE WHEN coalesce(least(a1, a2, a3, a4), 0) = 0 THEN 0.0
+       ELSE (CASE WHEN c < r THEN exp(1 - r / c) ELSE 1.0 END) * exp((ln(a1 / b1) + ln(a2 / b2) + ln(a3 / b3) + ln(a4 / b4)) / 4) END, 6) AS bleu
+FROM tot"""
+
 SCORES = """
 scs AS (SELECT doc_id, pos, -((pos * 37 + 11) % 101) / 10.0 AS ls, -((pos * 53 + 7) % 97) / 10.0 AS le
         FROM ct)"""

@@ -8,7 +8,7 @@ is read once from left to right and its tokens never leave its task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -178,13 +178,12 @@ def ngram_counts(df: DataFrame, key: list[str], toks: str, n: int, name: str) ->
     return g.groupBy(*key, "g").agg(F.count(F.lit(1)).alias(name))
 
 
-def bleu(cand: DataFrame, ref: DataFrame, key: list[str], max_n: int = 4) -> DataFrame:
-    """Sentence BLEU-4 (uniform weights, brevity penalty); any zero
-    n-gram precision gives 0.  Clipping is a join of n-gram counts."""
+def _bleu_parts(cand: DataFrame, ref: DataFrame, key: list[str], max_n: int) -> DataFrame:
+    """key, lengths c and r, and per n the clipped matches m and grams t.
+    Clipping is a join of n-gram counts."""
     c_len = cand.select(*key, F.size("toks").alias("c"))
     r_len = ref.select(*key, F.size("toks").alias("r"))
     out = c_len.join(r_len, key)
-    logs = []
     for n in range(1, max_n + 1):
         cc = ngram_counts(cand, key, "toks", n, "cc")
         rc = ngram_counts(ref, key, "toks", n, "rc")
@@ -192,13 +191,48 @@ def bleu(cand: DataFrame, ref: DataFrame, key: list[str], max_n: int = 4) -> Dat
             F.sum(F.least("cc", F.coalesce("rc", F.lit(0)))).alias(f"m{n}"),
             F.sum("cc").alias(f"t{n}"))
         out = out.join(clip, key, "left")
-        logs.append(F.log(F.col(f"m{n}") / F.col(f"t{n}")))
+    return out
+
+
+def _bleu_score(max_n: int) -> Column:
+    logs = [F.log(F.col(f"m{n}") / F.col(f"t{n}")) for n in range(1, max_n + 1)]
     zero = F.lit(False)
     for n in range(1, max_n + 1):
         zero = zero | (F.coalesce(F.col(f"m{n}"), F.lit(0)) == 0)
     bp = F.when(F.col("c") < F.col("r"), F.exp(1 - F.col("r") / F.col("c"))).otherwise(F.lit(1.0))
-    score = F.when(zero, F.lit(0.0)).otherwise(bp * F.exp(sum(logs[1:], logs[0]) / max_n))
-    return out.select(*key, score.alias("bleu"))
+    return F.when(zero, F.lit(0.0)).otherwise(bp * F.exp(sum(logs[1:], logs[0]) / max_n))
+
+
+def bleu(cand: DataFrame, ref: DataFrame, key: list[str], max_n: int = 4) -> DataFrame:
+    """Sentence BLEU-4 (uniform weights, brevity penalty); any zero
+    n-gram precision gives 0."""
+    return _bleu_parts(cand, ref, key, max_n).select(*key, _bleu_score(max_n).alias("bleu"))
+
+
+def corpus_bleu(cand: DataFrame, ref: DataFrame, key: list[str], max_n: int = 4) -> DataFrame:
+    """One score of all sentences: matches, grams and lengths are added
+    up before the precisions are taken.  No sentences score 0."""
+    parts = _bleu_parts(cand, ref, key, max_n)
+    names = ["c", "r", *[f"{x}{n}" for n in range(1, max_n + 1) for x in "mt"]]
+    total = parts.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names], F.count(F.lit(1)).alias("sentences"))
+    return total.select("sentences", _bleu_score(max_n).alias("bleu"))
+
+
+def exact_match(pred: DataFrame, truth: DataFrame, key: list[str]) -> DataFrame:
+    """Key + em, 1 where the (normalised) texts are equal."""
+    both = pred.join(truth.withColumnRenamed("text", "_expected"), key)
+    return both.select(*key, (F.col("text") == F.col("_expected")).cast("int").alias("em"))
+
+
+def max_over_truths(pred: DataFrame, truths: DataFrame, key: str, metric: Callable[[DataFrame, DataFrame, list[str]], DataFrame]) -> DataFrame:
+    """The best score of a prediction (key, text) over its truths
+    (key, text).  ``metric`` takes both sides with equal keys and returns
+    the key and a score as its last column, as ``exact_match`` and
+    ``token_f1`` do; repeated truths count once."""
+    pairs = pred.join(truths.distinct().withColumnRenamed("text", "_truth"), key)
+    scored = metric(pairs.select(key, "_truth", "text"), pairs.select(key, "_truth", F.col("_truth").alias("text")), [key, "_truth"])
+    score = scored.columns[-1]
+    return scored.groupBy(key).agg(F.max(score).alias(score))
 
 
 def best_span(scores: DataFrame, key: str) -> DataFrame:

@@ -210,9 +210,12 @@ def q_f1(t):
 
 @query("max_over_truths")
 def q_max_truths(t):
-    """N11."""
-    s = _scored(t)[1]
-    return s.groupBy("qid").agg(F.max("em").alias("em"), F.round(F.max("f1"), 6).alias("f1"))
+    """The best exact match and the best F1 over a question's truths."""
+    qa = qa_rows(t)
+    pred = qa_predictions(qa).select("qid", Q.normalise_answer(F.col("prediction")).alias("text"))
+    truths = qa_truths(qa).select("qid", Q.normalise_answer(F.col("answer")).alias("text"))
+    best = [Q.max_over_truths(pred, truths, "qid", m) for m in (Q.exact_match, Q.token_f1)]
+    return best[0].join(best[1], "qid").select("qid", "em", F.round("f1", 6).alias("f1"))
 
 
 @query("em_f1_report")
@@ -226,16 +229,28 @@ def q_report(t):
                     F.count(F.lit(1)).alias("total"))
 
 
-@query("bleu")
-def q_bleu(t):
-    """Sentence BLEU-4 of each prediction against its passage."""
+def _bleu_sides(t):
+    """(qid, toks) of every prediction and of its passage."""
     qa = qa_rows(t)
     pred = qa_predictions(qa).select("qid", Q.tokens(F.lower("prediction")).alias("toks"))
     ref = qa.select("qid", Q.tokens(F.lower("answer")).alias("toks"))
-    b = Q.bleu(pred, ref.join(pred.select("qid"), "qid", "left_semi"), ["qid"])
+    return pred, ref.join(pred.select("qid"), "qid", "left_semi")
+
+
+@query("bleu")
+def q_bleu(t):
+    """Sentence BLEU-4 of each prediction against its passage."""
+    b = Q.bleu(*_bleu_sides(t), ["qid"])
     return b.select("qid", F.round("bleu", 6).alias("bleu"))
 
 
+@query("corpus_bleu")
+def q_corpus_bleu(t):
+    """BLEU-4 of all predictions together."""
+    b = Q.corpus_bleu(*_bleu_sides(t), ["qid"])
+    return b.select("sentences", F.round("bleu", 6).alias("bleu"))
+
+
 def span_scores(t):
     tok = ctx_tokens(t)
     return tok.select("doc_id", "pos",

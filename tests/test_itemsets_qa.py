@@ -91,3 +91,22 @@ def test_no_product_of_items(spark):
     b = baskets(spark)
     plan = I.pair_candidates(b, I.frequent_filter(I.item_support(b), 2))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_corpus_bleu_and_metric(spark):
+    import math
+    rows = [(1, "a b c d e", "a b c d e"), (2, "a b c d x", "a b c d e f g"), (3, "q", "r s")]
+    df = spark.createDataFrame([(i, c.split(), r.split()) for i, c, r in rows], "qid int, c array<string>, r array<string>")
+    got = Q.corpus_bleu(df.select("qid", F.col("c").alias("toks")), df.select("qid", F.col("r").alias("toks")), ["qid"]).first()
+    want = math.exp(1 - 14 / 11) * math.exp((math.log(9 / 11) + math.log(7 / 8) + math.log(5 / 6) + math.log(3 / 4)) / 4)
+    assert got["sentences"] == 3 and abs(got["bleu"] - want) < 1e-12
+    none = df.limit(0)
+    assert Q.corpus_bleu(none.select("qid", F.col("c").alias("toks")), none.select("qid", F.col("r").alias("toks")), ["qid"]).first()["bleu"] == 0
+    pred = spark.createDataFrame([(1, "red big car"), (2, "x")], "qid int, text string")
+    truths = spark.createDataFrame([(1, "red car"), (1, "red big car"), (1, "red car"), (2, "y")], "qid int, text string")
+    for metric in (Q.exact_match, Q.token_f1):
+        assert {r[0]: r[1] for r in Q.max_over_truths(pred, truths, "qid", metric).collect()} == {1: 1, 2: 0}
+
+    def shorter(p, t, key):         # any function of both sides
+        return p.join(t.withColumnRenamed("text", "other"), key).select(*key, (F.length("other") - F.length("text")).alias("d"))
+    assert {r[0]: r[1] for r in Q.max_over_truths(pred, truths, "qid", shorter).collect()} == {1: 0, 2: 0}
