@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.ordering import running_sums
+
 
 def split_by_kind(df: DataFrame, label: str, categorical: Sequence[str]) -> list[str]:
     """Numeric feature names = all columns minus label and categoricals
@@ -46,12 +48,35 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        F.round("r", 6).alias("r"))
 
 
+def quantiles_by_target(df: DataFrame, target: str, col: str, at: dict[str, float]) -> DataFrame:
+    """Exact quantiles (linear between neighbours) of ``col`` per target.
+    Distinct values are counted, ranges of them are summed from the least
+    on, and the values on either side of a quantile's place are picked from
+    the sums: no task holds a target's values.  Nulls are left out."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(target).alias("_t"), F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    placed = running_sums(counts, ["_t", "_v"], {"_before": "_k"})
+    whole = placed.groupBy(F.col("_t").alias("_t0")).agg(F.min("_before").alias("_first"), F.sum("_k").alias("_m"))
+    rows = placed.join(whole, F.col("_t").eqNullSafe(F.col("_t0")))
+    rank = F.col("_before") - F.col("_first")
+    picked = []
+    for name, q in at.items():
+        place = (F.col("_m") - 1) * F.lit(float(q))
+        for side, r in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            picked.append(F.max(F.when((rank <= r) & (r < rank + F.col("_k")), F.col("_v"))).alias(f"_{name}_{side}"))
+    found = rows.groupBy("_t").agg(F.max("_m").alias("_m"), *picked)
+    between = []
+    for name, q in at.items():
+        place, lo, hi = (F.col("_m") - 1) * F.lit(float(q)), F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        between.append(F.when(lo == hi, lo).otherwise((F.ceil(place) - place) * lo + (place - F.floor(place)) * hi).alias(name))
+    return found.select("_t", *between)
+
+
 def distribution_by_target(df: DataFrame, target: str, col: str) -> DataFrame:
     """Per target value, count, moments and quartiles of a feature."""
-    quartiles = [F.percentile(col, q).alias(f"p{int(100 * q)}") for q in (0.25, 0.5, 0.75)]
-    return df.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(col), 6).alias("mean"),
-                                  F.round(F.stddev(col), 6).alias("stddev"),
-                                  F.min(col).alias("min"), *quartiles, F.max(col).alias("max"))
+    moments = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(col), 6).alias("mean"),
+                                     F.round(F.stddev(col), 6).alias("stddev"), F.min(col).alias("min"), F.max(col).alias("max"))
+    quartiles = quantiles_by_target(df, target, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return moments.join(quartiles, moments[target].eqNullSafe(quartiles["_t"]), "left").select(target, "n", "mean", "stddev", "min", "p25", "p50", "p75", "max")
 
 
 def histogram_by_target(df: DataFrame, target: str, col: str, n: int) -> DataFrame:

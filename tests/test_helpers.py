@@ -34,3 +34,19 @@ def test_global_row_number_and_cumsum(spark):
         want[k] = run
         run += vals[k]
     assert cs == want
+
+
+def test_quantiles_without_a_window_per_target(spark):
+    import random
+
+    import numpy as np
+    from quarry.operators import mlops as M
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1, 2, None]), rnd.choice([None, 0.0, -1.5, 7.25, rnd.random()])) for _ in range(400)] + [(9, 4.0), (8, None)]
+    df = spark.createDataFrame(rows, "label int, x double")
+    got = {r["_t"]: [r["a"], r["b"], r["c"]] for r in M.quantiles_by_target(df, "label", "x", {"a": 0, "b": 0.37, "c": 1}).collect()}
+    want = {t: np.quantile([x for u, x in rows if u == t and x is not None], [0, 0.37, 1]) for t in (1, 2, None, 9)}
+    assert got.keys() == want.keys() and all(np.allclose(got[t], want[t]) for t in want)
+    full = {r["label"]: r["p50"] for r in M.distribution_by_target(df, "label", "x").collect()}
+    assert full[8] is None and full[9] == 4.0 and len(full) == 5
+    assert M.distribution_by_target(df.limit(0), "label", "x").count() == 0
