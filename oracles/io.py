@@ -62,3 +62,9 @@ FROM votes ORDER BY candidate_name, precinct_code, total_votes LIMIT 20""")
 SQL["row_count"] = "SELECT count(*) AS row_count FROM lineitem"
 
 SQL["max_key"] = "SELECT coalesce(max(o_orderkey), -1) + 1 AS next_id FROM orders"
+
+SQL["scan_line_number_keyed"] = """
+WITH st AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS tag FROM lineitem),
+l AS (SELECT id, list_sort(list(tag)) AS tags FROM st GROUP BY id)
+SELECT row_number() OVER (ORDER BY id) - 1 AS line_no, CASE WHEN id % 10 = 0 THEN '' ELSE array_to_string(tags, ' ') END AS tags,
+       CAST(CASE WHEN id % 10 = 0 THEN 0 ELSE len(tags) END AS INTEGER) AS n_tags FROM l"""

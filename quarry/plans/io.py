@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.relational import sum_by_key
 from quarry.plans.registry import query
-from quarry.plans.relations import baskets, edge_stream, housing, votes
+from quarry.plans.relations import baskets, edge_stream, housing, tag_lines, votes
 from quarry.session import scratch_path
 from quarry.sources import files as IO
 
@@ -74,6 +74,15 @@ def q_scan_wholetext(t):
                     F.length("text").alias("n_chars"))
 
 
+@query("scan_line_number_keyed")
+def q_scan_lines(t):
+    """Tag lines written in order of their part, keyed by line number."""
+    p = _tmp(t, "tag-lines")
+    tag_lines(t).repartitionByRange("id").sortWithinPartitions("id").select("line").write.text(p)
+    found = IO.scan_line_number_keyed(t.spark, p)
+    return found.select("line_no", F.array_join("items", " ").alias("tags"), F.size("items").alias("n_tags"))
+
+
 @query("scan_keyed_table")
 def q_scan_keyed(t):
     """Column pruning + equality pushdown into the Parquet scan."""

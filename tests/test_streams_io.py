@@ -53,6 +53,29 @@ def test_line_number_keyed(spark, tmpdir_path):
     assert got == [(0, ["1", "2", "3"]), (1, []), (2, ["7"])]
 
 
+def test_line_numbers_over_splits(spark, tmpdir_path):
+    """One file read in many byte ranges, and a folder of files by name."""
+    lines = [" ".join(str(x) for x in range(i % 7)) or "#" for i in range(400)]
+    want = [(i, [] if v == "#" else v.split()) for i, v in enumerate(lines)]
+    one, many = os.path.join(tmpdir_path, "one.txt"), os.path.join(tmpdir_path, "many")
+    os.mkdir(many)
+    with open(one, "w") as f:
+        f.write("\n".join(lines))
+    for k in range(4):
+        with open(f"{many}/part-{k}.txt", "w") as f:
+            f.write("".join(v + "\n" for v in lines[100 * k:100 * k + 100]))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert spark.read.text(one).rdd.getNumPartitions() > 5
+        for path in (one, many):
+            assert sorted(tuple(r) for r in IO.scan_line_number_keyed(spark, path).collect()) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_nested_json_wrapped(spark, tmpdir_path):
     import json
     from quarry.sources.nested import scan_nested_json
