@@ -124,6 +124,12 @@ SQL["pad_to_batch_max"] = W(CONVSRC, CONV, CAPT, TV, NUM) + """
 SELECT conv_id, turn, array_to_string(ids || list_transform(range(0, m - len(ids)), lambda x: 0), ' ') AS ids
 FROM (SELECT *, max(len(ids)) OVER (PARTITION BY conv_id) AS m FROM num)"""
 
+for _n in (32, 7):
+    SQL[f"pad_batches_of_{_n}"] = W(CONVSRC, CONV, CAPT, TV, NUM) + f"""
+SELECT conv_id, turn, batch, array_to_string(ids || list_transform(range(0, m - len(ids)), lambda x: 0), ' ') AS ids
+FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS m FROM (
+  SELECT *, (row_number() OVER (ORDER BY len(ids), conv_id, turn) - 1) // {_n} AS batch FROM num))"""
+
 SQL["char_ids"] = W(QA, CTX, CTL, QT, CORPUS, CHARV, """
 w AS (SELECT DISTINCT token AS word FROM qt),
 wc AS (SELECT word, unnest(regexp_extract_all(word, '(?s).', 0)) AS ch,

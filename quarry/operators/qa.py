@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.ordering import global_row_number
+
 # token = a run of letters/digits/underscore, or any single
 # other mark that is not ASCII white space; the same with the class spelt out.
 TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
@@ -103,7 +105,6 @@ def frequency_vocab(tok: DataFrame, col: str, specials=WORD_SPECIALS,
     """(token, id, freq): specials first, then by falling
     frequency (ties by token).  Positions come from a distributed global
     row number over the distinct vocabulary."""
-    from quarry.operators.ordering import global_row_number
     c = tok.groupBy(col).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_count)
     c = global_row_number(c, [F.desc("freq"), F.asc(col)], "_rn")
     ranked = c.select(F.col(col).alias("token"), (F.col("_rn") - 1 + len(specials)).alias("id"), "freq")
@@ -120,7 +121,6 @@ def threshold_vocab(tok: DataFrame, order_cols: list[str], threshold: int = 4) -
     w = Window.partitionBy("token").orderBy(*order_cols)
     nth = (tok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= threshold)
            .where(F.col("_rn") == threshold))
-    from quarry.operators.ordering import global_row_number
     nth = global_row_number(nth.select("token", *order_cols), [F.col(c) for c in order_cols], "_rn")
     words = nth.select("token", (F.col("_rn") + len(CAPTION_SPECIALS) - 1).cast("int").alias("id"))
     sp = tok.sparkSession.createDataFrame([(s, i) for i, s in enumerate(CAPTION_SPECIALS)],
@@ -144,6 +144,19 @@ def pad_to_batch_max(df: DataFrame, batch: str, ids: str, pad: int = 0) -> DataF
     return df.withColumn(ids, F.concat(F.col(ids), F.array_repeat(F.lit(pad), m - F.size(ids))))
 
 
+def pad_batches(df: DataFrame, order: list[str], ids: str, n: int, pad: int = 0) -> DataFrame:
+    """P20: batches of ``n`` rows each, formed over the whole table from the
+    shortest list to the longest (ties by ``order``, which names a row), and
+    padded to the longest list of the batch; adds ``batch`` (from 0).  A
+    row's place comes from range sums, so batches go across partitions; a
+    null list counts as empty."""
+    sized = df.withColumn(ids, F.coalesce(F.col(ids), F.array().cast(df.schema[ids].dataType))).withColumn("_size", F.size(ids))
+    placed = global_row_number(sized, ["_size", *order], "_place").withColumn("batch", F.floor((F.col("_place") - 1) / n).cast("long"))
+    longest = placed.groupBy(F.col("batch").alias("_batch")).agg(F.max("_size").alias("_longest"))
+    padded = F.concat(F.col(ids), F.array_repeat(F.lit(pad), F.col("_longest") - F.col("_size")))
+    return placed.join(longest, F.col("batch") == F.col("_batch")).withColumn(ids, padded).drop("_size", "_place", "_batch", "_longest")
+
+
 def char_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, char) for each character of a short text."""
     ch = F.regexp_extract_all(F.col(text_col), F.lit("(?s)."), F.lit(0))

@@ -130,6 +130,23 @@ def q_pad(t):
     return p.select("conv_id", "turn", F.array_join("ids", " ").alias("ids"))
 
 
+def _batches(t, n):
+    p = Q.pad_batches(_numericalised(t), ["conv_id", "turn"], "ids", n)
+    return p.select("conv_id", "turn", "batch", F.array_join("ids", " ").alias("ids"))
+
+
+@query("pad_batches_of_32")
+def q_pad_32(t):
+    """P20: captions in batches of 32 rows by length, padded to the batch's longest."""
+    return _batches(t, 32)
+
+
+@query("pad_batches_of_7")
+def q_pad_7(t):
+    """P20: captions in batches of 7 rows by length, padded to the batch's longest."""
+    return _batches(t, 7)
+
+
 @query("char_ids")
 def q_char_ids(t):
     """Per question word, its character ids (miss -> 0)."""

@@ -110,3 +110,16 @@ def test_corpus_bleu_and_metric(spark):
     def shorter(p, t, key):         # any function of both sides
         return p.join(t.withColumnRenamed("text", "other"), key).select(*key, (F.length("other") - F.length("text")).alias("d"))
     assert {r[0]: r[1] for r in Q.max_over_truths(pred, truths, "qid", shorter).collect()} == {1: 0, 2: 0}
+
+
+def test_batches_go_across_partitions(spark):
+    rows = [(i, list(range(1, 1 + i * 7 % 11))) for i in range(45)] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, ids array<int>").repartition(6)
+    want = sorted(rows, key=lambda r: (len(r[1] or []), r[0]))
+    for n in (1, 4, 100):
+        got = {r["i"]: (r["batch"], r["ids"]) for r in Q.pad_batches(df, ["i"], "ids", n).collect()}
+        for k, (i, ids) in enumerate(want):
+            longest = max(len(x or []) for _, x in want[k // n * n:k // n * n + n])
+            assert got[i] == (k // n, (ids or []) + [0] * (longest - len(ids or [])))
+        assert len(got) == len(rows)
+    assert Q.pad_batches(df.limit(0), ["i"], "ids", 4).count() == 0
