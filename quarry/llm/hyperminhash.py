@@ -7,13 +7,16 @@ bucket: the leading zeros of the bucket's least hash and the mantissa
 bits after them.  Bands of four registers put classes into buckets; two
 classes at the threshold miss each other in all 32 bands with a chance of
 about 5e-8.  Inside a bucket, a search from one class to the next links
-those whose Jaccard estimate, corrected for registers that agree by
-chance, is not five standard deviations below the threshold.  The linked
-classes form clusters, and all true links lie inside one.  Only for the
+those that the registers, corrected for agreement by chance, do not rule
+out: a pair at the threshold agrees in as few with a chance of at most
+1e-9 (``MISS``, an exact binomial tail).  The linked classes form
+clusters, and all true links that met lie inside one.  Only for the
 classes of clusters are full sets worked out again; the same search on
 the exact sets inside a cluster gives links that hold a class's whole
-component together.  Neither search emits pairs: each class is reached
-once, so a task gives at most one link per class.
+component together; there a bound on the intersection, which loses
+nothing, goes before the comparison.  Neither search emits pairs: each
+class is reached once, so a task gives at most one link per class, and
+contracts its links to one per class before it writes them.
 
 Buckets and clusters beyond a task's size are dealt to chunks, and every
 pair of chunks meets in a task of its own, so no task holds a whole hot
@@ -27,7 +30,9 @@ are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+import math
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -45,6 +50,9 @@ EMPTY = 0xFFFF
 BAND = 4
 CHUNK = 1024                # classes of a bucket or cluster in a task, twice
 CHUNK_BYTES = 8 << 20       # of their sets
+MISS = 1e-9                 # chance that the registers rule out a pair at the threshold
+CELLS = 512                 # hash ranges in which sets are counted for a bound
+ONE_TASK = 1 << 20          # contracted links that one task labels (16 MB)
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -124,28 +132,64 @@ def chance(log_n: int, log_m: int) -> float:
     return float(total * (cells[0] * cells[1]).sum())
 
 
-def estimate(registers: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(Jaccard estimate, registers it stands on) of class i with others."""
+def agreement(registers: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(registers that agree, registers in use, chance that one agrees
+    though the sets are unrelated) of class i with others."""
     a, b = registers[i], registers[others]
     held = (a != EMPTY) | (b != EMPTY)
-    n = held.sum(1)
-    agree = ((a == b) & held).sum(1) / n
     logs = np.maximum(0, np.rint(2 * np.log2(sizes[others]))).astype(int)
     mine = max(0, round(2 * float(np.log2(sizes[i]))))
     by_log = {x: chance(min(mine, x), max(mine, x)) for x in set(logs.tolist())}
-    lucky = np.array([by_log[x] for x in logs.tolist()])
-    return (agree - lucky) / (1 - lucky), n
+    return ((a == b) & held).sum(1), held.sum(1), np.array([by_log[x] for x in logs.tolist()])
 
 
-def plausible(registers, sizes, i, others, percent: int) -> np.ndarray:
-    """Those of ``others`` that the sketch does not rule out."""
+def estimate(registers: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(Jaccard estimate, registers it stands on) of class i with others."""
+    agree, n, lucky = agreement(registers, sizes, i, others)
+    return (agree / n - lucky) / (1 - lucky), n
+
+
+@lru_cache(maxsize=4096)
+def cuts(percent: int, lucky: float) -> np.ndarray:
+    """By registers in use: the most that may be asked to agree so that a
+    pair at the threshold fails with a chance of ``MISS`` at most."""
+    p = percent / 100 + (1 - percent / 100) * lucky
+    out = np.zeros(REGISTERS + 1, np.int64)
+    for n in range(1, REGISTERS + 1):
+        below = np.cumsum([math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n + 1)])
+        out[n] = np.searchsorted(below, MISS, side="right")
+    return out
+
+
+def sizes_allow(sizes: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
     low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-    others = others[100 * low >= percent * high]
+    return others[100 * low >= percent * high]
+
+
+def plausible(registers, sizes, i, others, percent: int) -> np.ndarray:
+    """Those of ``others`` that sizes and registers do not rule out."""
+    others = sizes_allow(sizes, i, others, percent)
     if not len(others):
         return others
-    j, n = estimate(registers, sizes, i, others)
-    t = percent / 100
-    return others[j >= t - 5 * np.sqrt(t * (1 - t) / n) - 1e-9]
+    agree, n, lucky = agreement(registers, sizes, i, others)
+    least = np.empty(len(others), np.int64)
+    for x in set(lucky.tolist()):
+        at = lucky == x
+        least[at] = cuts(percent, x)[n[at]]
+    return others[agree >= least]
+
+
+def counted(shingles: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes lie in each of ``CELLS`` ranges."""
+    return np.bincount((shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64), minlength=CELLS).astype(np.int32)
+
+
+def possible(counts, sizes, i, others, percent: int) -> np.ndarray:
+    """Those of ``others`` whose set can be linked with set i: two sets share
+    no more of a range than the smaller count.  Rules out no true link."""
+    others = sizes_allow(sizes, i, others, percent)
+    most = np.minimum(counts[i], counts[others]).sum(1, dtype=np.int64)
+    return others[100 * most >= percent * (sizes[i] + sizes[others] - most)]
 
 
 def exact(sets: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
@@ -257,6 +301,51 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
 
 
 EDGE = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+EDGES = "src long, dst long"
+
+
+def least_reached(edges: Iterable[tuple[int, int]]) -> dict[int, int]:
+    """Of every end of an edge, the least one that it reaches."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        root = up.setdefault(x, x)
+        while up[root] != root:
+            root = up[root]
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for a, b in edges:
+        a, b = top(a), top(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return {x: top(x) for x in up}
+
+
+def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    return zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+
+
+def _contract_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as stars, one edge per vertex that is not a centre;
+    begun anew after ``ONE_TASK`` vertices."""
+    def rows():
+        held: dict[int, int] = {}
+        for batch in batches:
+            held = least_reached(itertools.chain(held.items(), _pairs(batch)))
+            if len(held) > ONE_TASK:
+                yield from ((root, x) for x, root in held.items() if x != root)
+                held = {}
+        yield from ((root, x) for x, root in held.items() if x != root)
+
+    yield from batches_out(EDGE, rows(), lambda r: 0)
+
+
+def _label_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, component) from all edges there are: ``ONE_TASK`` at most."""
+    found = least_reached(pair for batch in batches for pair in _pairs(batch))
+    yield from batches_out(pa.schema([("cid", pa.int64()), ("component", pa.int64())]), found.items(), lambda r: 0)
 
 
 def _cluster_task(percent: int):
@@ -283,8 +372,8 @@ def _link_task(percent: int):
                     cid = [g[0] for g in group]
                     sets = [np.frombuffer(g[1], np.uint64) for g in group]
                     sizes = np.array([len(s) for s in sets], np.int64)
-                    registers = np.array([sketch(s) for s in sets])
-                    for a, b in forest(len(group), lambda i, o, r=registers, n=sizes, x=sets: exact(x, i, plausible(r, n, i, o, percent), percent)):
+                    counts = np.array([counted(s) for s in sets])
+                    for a, b in forest(len(group), lambda i, o, c=counts, n=sizes, x=sets: exact(x, i, possible(c, n, i, o, percent), percent)):
                         yield cid[a], cid[b]
 
         yield from batches_out(EDGE, rows(), lambda r: 0)
@@ -319,8 +408,8 @@ def components(df: DataFrame, percent: int = 80, size: int = 2) -> DataFrame:
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = banded.join(shared, "bucket").join(classes.select("cid", "n_shingles", "registers"), "cid")
     dealt = _dealt(members.select("bucket", "cid", "n_shingles", "registers", "n"), "bucket", F.ceil(F.col("n") / CHUNK))
-    near = dealt.select("bucket", "i", "j", "cid", "n_shingles", "registers").mapInArrow(_cluster_task(percent), "src long, dst long")
-    clusters = _components(stored(near.distinct(), "near"))
+    near = dealt.select("bucket", "i", "j", "cid", "n_shingles", "registers").mapInArrow(_cluster_task(percent), EDGES)
+    clusters = _components(near)
 
     wanted = clusters.join(classes.select("cid", "set_key", "doc_id", "text_hash"), "cid")
     texts = read.join(wanted.select("cid", "set_key", F.col("doc_id").alias("its_id"), "text_hash"), "text_hash").where(F.col("doc_id").eqNullSafe(F.col("its_id")))
@@ -330,8 +419,8 @@ def components(df: DataFrame, percent: int = 80, size: int = 2) -> DataFrame:
     weights = clusters.join(classes.select("cid", "n_shingles"), "cid").groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
     chunks = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("bytes") / CHUNK_BYTES))
     dealt = _dealt(held.join(weights, "component"), "component", chunks)
-    links = dealt.select("component", "i", "j", "cid", "shingles").mapInArrow(_link_task(percent), "src long, dst long")
-    linked = _components(stored(links.distinct(), "links"))
+    links = dealt.select("component", "i", "j", "cid", "shingles").mapInArrow(_link_task(percent), EDGES)
+    linked = _components(links)
 
     least = linked.join(classes.select("cid", "doc_id"), "cid").groupBy("component").agg(F.min("doc_id").alias("least"))
     of_class = classes.select("cid", "set_key", F.col("doc_id").alias("own")).join(linked.join(least, "component").select("cid", "least"), "cid", "left")
@@ -341,10 +430,15 @@ def components(df: DataFrame, percent: int = 80, size: int = 2) -> DataFrame:
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _components(edges: DataFrame) -> DataFrame:
-    """cid and component of the classes that have an edge."""
-    vertices = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
-    found = connected_components(Graph(vertices, edges))
+def _components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """cid and component of the classes that have an edge.  Tasks contract
+    their own edges to stars; if what is left is no more than a task may
+    hold, one labels it, otherwise star rounds over all tasks do."""
+    stars = stored(edges.mapInArrow(_contract_task, EDGES), "stars")
+    if stars.count() <= one_task:
+        return stored(stars.coalesce(1).mapInArrow(_label_task, "cid long, component long"), "components")
+    vertices = stars.select(F.col("src").alias("id")).union(stars.select(F.col("dst").alias("id"))).distinct()
+    found = connected_components(Graph(vertices, stars))
     return stored(found.select(F.col("id").alias("cid"), "component"), "components")
 
 

@@ -116,3 +116,36 @@ def test_query_equals_sql(spark):
     want = con.execute(e.oracle_sql()["op7_hyperminhash_dedup"]).fetchall()
     got = e.queries()["op7_hyperminhash_dedup"](spark, "/root/testdata/sf0.01").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_registers_rule_out_links_with_a_stated_chance():
+    for lucky in (0.0, 0.002, 0.3):
+        p = 0.8 + 0.2 * lucky
+        for n in (1, 20, 64, 128):
+            c = int(hm.cuts(80, lucky)[n])
+            below = sum(hm.math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(c))
+            assert below <= hm.MISS < below + hm.math.comb(n, c) * p ** c * (1 - p) ** (n - c)
+
+
+def test_bound_on_sets_loses_no_link():
+    rnd = np.random.default_rng(3)
+    for n in (1, 5, 40, 3000):
+        for j in (0.2, 0.75, 0.8, 0.85, 1.0):
+            a, b = (np.unique(s * np.uint64(2)) for s in random_sets(rnd, n, j))
+            sets, sizes = [a, b], np.array([len(a), len(b)])
+            counts = np.array([hm.counted(s) for s in sets])
+            assert counts.sum(1).tolist() == sizes.tolist()
+            true = hm.exact(sets, 0, np.array([1]), 80)
+            assert set(true) <= set(hm.possible(counts, sizes, 0, np.array([1]), 80))
+
+
+def test_components_in_one_task_and_in_rounds(spark):
+    rnd = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(rnd.randrange(100, 200), rnd.randrange(100, 200)) for _ in range(70)] + [(300, 300), (7, 3), (7, 3)]
+    want = hm.least_reached(edges)
+    assert want[60] == 0 and want[300] == 300
+    df = spark.createDataFrame(edges, hm.EDGES).repartition(7)
+    for one_task in (10_000, 5):
+        got = {r.cid: r.component for r in hm._components(df, one_task).collect()}
+        assert {k: v for k, v in want.items() if k != 300} == {k: v for k, v in got.items() if k != 300}
+    assert hm._components(spark.createDataFrame([], hm.EDGES)).count() == 0
