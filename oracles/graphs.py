@@ -98,6 +98,19 @@ SELECT CAST(n.n AS BIGINT) AS stream_edges, CAST(4000 AS BIGINT) AS m, stri.tau
          AS estimate
 FROM stri, n""")
 
+SQL["triangle_estimate_merged"] = SQL["triangle_estimate_base"]
+
+SQL["triangle_estimate_local"] = with_(E, """
+samp AS (SELECT * FROM likes_e ORDER BY md5('7:' || CAST(t AS VARCHAR)) LIMIT 4000),
+sund AS (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM samp WHERE src <> dst),
+stri AS (SELECT e1.u AS a, e1.v AS b, e2.v AS c FROM sund e1 JOIN sund e2 ON e1.v = e2.u
+         JOIN sund e3 ON e3.u = e1.u AND e3.v = e2.v),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM likes_e)
+SELECT id, count(*) AS sample_triangles,
+       round(count(*) * greatest(1.0, max(n.n) * (max(n.n) - 1) * (max(n.n) - 2) / (4000.0 * 3999.0 * 3998.0)), 3)
+         AS estimate
+FROM (SELECT a AS id FROM stri UNION ALL SELECT b FROM stri UNION ALL SELECT c FROM stri), n GROUP BY id""")
+
 SQL["triangle_estimate_improved"] = with_(E, """
 fe AS (SELECT least(src, dst) AS u, greatest(src, dst) AS v, min(t) AS t FROM likes_e
        WHERE src <> dst GROUP BY 1, 2),

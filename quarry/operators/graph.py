@@ -8,6 +8,7 @@ splitting, never by collecting a vertex's neighbourhood.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -188,22 +189,55 @@ def hash_unit(seed: int, col: str) -> Column:
     return F.conv(hexs, 16, 10).cast("long")
 
 
+def edge_sample(stream: DataFrame, m: int, seed: int = 7) -> DataFrame:
+    """G13's state: (h, t, u, v, seen), the ``m`` rows of ``stream`` (t, u,
+    v) of least md5 of ``seed:t`` and how many rows it was drawn from.  m
+    is the sample's bound, so the state never grows with the stream; a
+    stream without rows has an empty state."""
+    n = stream.select(F.count(F.lit(1)).alias("n")).scalar()
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("t").cast("string")))
+    return stream.select(h.alias("h"), "t", "u", "v").orderBy("h", "t", "u", "v").limit(m).withColumn("seen", n)
+
+
+def merged_edge_samples(states: list[DataFrame], m: int) -> DataFrame:
+    """The state of streams one after the other, from their states (drawn
+    with the same m and seed): what is among the m least of all is among
+    the m least of its own stream."""
+    both = functools.reduce(DataFrame.unionByName, [s.withColumn("_of", F.lit(i)) for i, s in enumerate(states)])
+    seen = both.groupBy("_of").agg(F.max("seen").alias("seen")).agg(F.sum("seen").alias("n")).select("n").scalar()
+    return both.select("h", "t", "u", "v").orderBy("h", "t", "u", "v").limit(m).withColumn("seen", seen)
+
+
+def _sample_scale(seen: Column, m: int) -> Column:
+    """What a sampled triangle stands for: max(1, n(n-1)(n-2) / (m(m-1)(m-2)))
+    with n = stream length."""
+    n, mm = seen.cast("double"), float(m)
+    return F.greatest(F.lit(1.0), n * (n - 1) * (n - 2) / F.lit(mm * (mm - 1) * (mm - 2)))
+
+
+def triangles_from_sample(state: DataFrame, m: int) -> DataFrame:
+    """The number of triangles that a state stands for, one row."""
+    tau = triangle_count(undirected_edges(state, "u", "v"))
+    n = F.coalesce(state.agg(F.max("seen").alias("n")).select("n").scalar(), F.lit(0).cast("long"))
+    return tau.select(n.alias("stream_edges"), F.lit(m).cast("long").alias("m"), F.col("triangles").alias("sample_triangles"),
+                      F.round(F.col("triangles") * _sample_scale(n, m), 3).alias("estimate"))
+
+
+def local_triangles_from_sample(state: DataFrame, m: int) -> DataFrame:
+    """(id, sample_triangles, estimate) per vertex of a sampled
+    triangle, scaled as the whole is; all others stand at 0 and are absent."""
+    n = state.agg(F.max("seen").alias("n")).select("n").scalar()
+    local = local_triangle_count(undirected_edges(state, "u", "v"))
+    return local.select("id", F.col("triangles").alias("sample_triangles"), F.round(F.col("triangles") * _sample_scale(n, m), 3).alias("estimate"))
+
+
 def triangle_estimate_base(stream: DataFrame, m: int, seed: int = 7) -> DataFrame:
-    """Sample M stream rows uniformly (seeded hash rank, a bounded
-    top-M), count triangles of the sampled simple graph, scale by
-    max(1, t(t-1)(t-2) / (M(M-1)(M-2))) with t = stream length.
+    """Sample m stream rows uniformly (seeded hash rank), count the
+    triangles of the sampled simple graph, scale.
 
     ``stream`` is (t, u, v) including loops and repeats, as they arrived.
     """
-    ranked = stream.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col("t").cast("string"))))
-    sample = ranked.orderBy("_h").limit(m)
-    tau = triangle_count(undirected_edges(sample, "u", "v"))
-    n = stream.select(F.count(F.lit(1)).cast("double")).scalar()
-    mm = float(m)
-    scale = F.greatest(F.lit(1.0), n * (n - 1) * (n - 2) / F.lit(mm * (mm - 1) * (mm - 2)))
-    return tau.select(n.cast("long").alias("stream_edges"), F.lit(m).cast("long").alias("m"),
-                      F.col("triangles").alias("sample_triangles"),
-                      F.round(F.col("triangles") * scale, 3).alias("estimate"))
+    return triangles_from_sample(cut_lineage(edge_sample(stream, m, seed)), m)
 
 
 def triangle_estimate_improved(stream: DataFrame, p: float, seed: int = 7) -> DataFrame:

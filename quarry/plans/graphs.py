@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quarry.operators import graph as G
 from quarry.plans.registry import query
 from quarry.plans.relations import edge_stream, likes_graph
+from quarry.session import cut_lineage
+from quarry.streaming.keyed import chunks
 
 ESTIMATE_M = 4000      # reservoir size of the base estimator (memory budget)
 ESTIMATE_P = 0.5       # keep rate of the improved estimator
@@ -159,6 +161,28 @@ def q_triangle_base(t):
     return G.triangle_estimate_base(edge_stream(t), ESTIMATE_M)
 
 
+def sample_by_chunks(t, n=4):
+    """G13's state kept over a stream that arrives in ``n`` chunks: each
+    chunk's sample is merged with the one held so far, which is written."""
+    held = None
+    for chunk in chunks(edge_stream(t), n, "t"):
+        new = G.edge_sample(chunk, ESTIMATE_M)
+        held = cut_lineage(new if held is None else G.merged_edge_samples([held, new], ESTIMATE_M))
+    return held if held is not None else G.edge_sample(edge_stream(t), ESTIMATE_M)
+
+
+@query("triangle_estimate_merged")
+def q_triangle_merged(t):
+    """G13 over four chunks of the stream, by the state that merges."""
+    return G.triangles_from_sample(sample_by_chunks(t), ESTIMATE_M)
+
+
+@query("triangle_estimate_local")
+def q_triangle_local(t):
+    """G13's local estimates: scaled triangles of the sample per vertex."""
+    return G.local_triangles_from_sample(sample_by_chunks(t), ESTIMATE_M)
+
+
 @query("triangle_estimate_improved")
 def q_triangle_improved(t):
     """Fixed-rate sample, wedges closed by each arriving edge."""

@@ -61,3 +61,26 @@ def test_improved_estimator_exact_at_p1(spark):
     s = spark.createDataFrame(edges, "t long, u long, v long")
     r = G.triangle_estimate_improved(s, 1.0).first()
     assert r["estimate"] == 4.0
+
+
+def test_merged_samples_and_local_estimates(spark):
+    import random
+    rnd = random.Random(2)
+    rows = [(i, rnd.randrange(30), rnd.randrange(30)) for i in range(400)]
+    s = spark.createDataFrame(rows, "t long, u long, v long")
+    whole = G.edge_sample(s, 120)
+    parts = [G.edge_sample(s.where(F.col("t") % 3 == i), 120) for i in range(3)]
+    merged = G.merged_edge_samples([G.merged_edge_samples(parts[:2], 120), parts[2]], 120)
+    assert sorted(merged.collect()) == sorted(whole.collect())
+    edges = {(min(r.u, r.v), max(r.u, r.v)) for r in whole.collect() if r.u != r.v}
+    around = {x: {b for a, b in edges if a == x} | {a for a, b in edges if b == x} for x in range(30)}
+    count = {x: sum(1 for a, b in edges if a in around[x] and b in around[x]) for x in range(30)}
+    scale = 400 * 399 * 398 / (120 * 119 * 118)
+    got = {r.id: (r.sample_triangles, r.estimate) for r in G.local_triangles_from_sample(merged, 120).collect()}
+    assert got == {x: (n, round(n * scale, 3)) for x, n in count.items() if n}
+    total = G.triangles_from_sample(merged, 120).first()
+    assert total.stream_edges == 400 and 3 * total.sample_triangles == sum(count.values())
+    # a sample of everything is exact; streams without rows weigh nothing
+    assert G.triangles_from_sample(G.merged_edge_samples([G.edge_sample(s, 1000), G.edge_sample(s.limit(0), 1000)], 1000), 1000).first().stream_edges == 400
+    empty = G.triangles_from_sample(G.edge_sample(s.limit(0), 50), 50).first()
+    assert (empty.stream_edges, empty.sample_triangles, empty.estimate) == (0, 0, 0.0)
