@@ -120,6 +120,11 @@ num AS (SELECT c.conv_id, c.turn, [1] || list(coalesce(v.id, 3) ORDER BY c.pos)
 SQL["numericalise"] = W(CONVSRC, CONV, CAPT, TV, NUM) + \
     "SELECT conv_id, turn, array_to_string(ids, ' ') AS ids FROM num"
 
+SQL["prepared_set"] = W(CONVSRC, CONV, CAPT, TV) + """
+SELECT c.conv_id, c.turn, c.pos, coalesce(v.id, 3) AS id, CASE WHEN v.id IS NULL THEN '<UNK>' ELSE c.token END AS token
+FROM capt c LEFT JOIN tvocab v ON v.token = c.token"""
+SQL["prepared_vocabulary"] = SQL["word_vocab"]
+
 SQL["pad_to_batch_max"] = W(CONVSRC, CONV, CAPT, TV, NUM) + """
 SELECT conv_id, turn, array_to_string(ids || list_transform(range(0, m - len(ids)), lambda x: 0), ' ') AS ids
 FROM (SELECT *, max(len(ids)) OVER (PARTITION BY conv_id) AS m FROM num)"""

@@ -12,6 +12,7 @@ from quarry.plans.registry import query
 from quarry.plans.relations import qa_predictions, qa_rows, qa_truths
 from quarry.session import scratch_path
 from quarry.sources.nested import nest_qa, scan_nested_json, write_nested_json
+from quarry.sources.prepared import load_prepared, load_vocabulary, save_prepared, save_vocabulary
 
 
 def ctx_tokens(t, lower=False):
@@ -123,6 +124,34 @@ def q_numericalise(t):
     return _numericalised(t).select("conv_id", "turn", F.array_join("ids", " ").alias("ids"))
 
 
+def _prepared(t):
+    """Captions as ids, saved with the vocabulary that made them and with
+    the corpus's words, and read back: (set, vocabularies)."""
+    tok = caption_tokens(t)
+    base = scratch_path(t.spark, f"prepared-{uuid.uuid4().hex}")
+    paths = {"captions": f"{base}/captions", "words": f"{base}/words"}
+    saved = {"captions": save_vocabulary(Q.threshold_vocab(tok, ["conv_id", "turn", "pos"], 4), paths["captions"]),
+             "words": save_vocabulary(Q.frequency_vocab(corpus_tokens(t), "token"), paths["words"])}
+    ids = Q.ordered_ids(tok, ["conv_id", "turn"], load_vocabulary(t.spark, paths["captions"]), miss=3)
+    save_prepared(ids, f"{base}/set", saved)
+    return load_prepared(t.spark, f"{base}/set", paths)
+
+
+@query("prepared_set")
+def q_prepared(t):
+    """K5: a prepared set saved and loaded with its vocabularies, its ids
+    as words again."""
+    ids, vocabularies = _prepared(t)
+    at = ids.select("conv_id", "turn", F.posexplode("ids").alias("pos", "id"))
+    return at.join(vocabularies["captions"], "id").select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), "id", "token")
+
+
+@query("prepared_vocabulary")
+def q_prepared_vocabulary(t):
+    """K5: the corpus's words as they were saved with a set."""
+    return _prepared(t)[1]["words"]
+
+
 @query("pad_to_batch_max")
 def q_pad(t):
     """P20: id lists padded to the longest in their conversation."""
