@@ -16,6 +16,7 @@ WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)
 
 SQL["running_avg_by_key"] = _RUN
 SQL["stateful_running_avg"] = _RUN
+SQL["log_source_running_avg"] = _RUN
 
 _LAST = """
 SELECT event_type AS key, round(avg(floor(value)), 6) AS avg, count(*) AS n
@@ -23,3 +24,4 @@ FROM events WHERE event_id % 101 <> 0 GROUP BY event_type"""
 
 SQL["upsert_by_key"] = _LAST
 SQL["checkpointed_recovery"] = _LAST
+SQL["log_source_recovery"] = _LAST

@@ -4,6 +4,7 @@ scratch folder, drains it with ``availableNow`` and reads the sink back."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.plans.registry import query
 from quarry.plans.relations import kv_lines
 from quarry.session import scratch_path
+from quarry.sources import eventlog as L
 from quarry.streaming import keyed as K
 
 N_CHUNKS = 4
@@ -75,3 +77,52 @@ def q_recovery(t):
     K.run_running_avg(spark, src, out, ckpt).awaitTermination()
     tab = K.VersionedTable(f"{out}/latest", "key", "arrival").read(spark)
     return tab.select("key", F.round("avg", 6).alias("avg"), F.col("n").cast("long").alias("n"))
+
+
+LOG_PARTITIONS = 3
+
+
+def _append(t, chunk, log):
+    """A chunk of the events in a partitioned log, by key (the event's type)."""
+    keyed = chunk.withColumn("key", F.split("value", ",")[1])
+    return L.append(keyed, log, ["event_id"], LOG_PARTITIONS)
+
+
+def _drain(t, base):
+    """Take the log up from the checkpoint until its end is reached: a start
+    that has to repeat a batch does only that and ends."""
+    options = {"path": f"{base}/log", "partitions": str(LOG_PARTITIONS)}
+    end = L.ends(t.spark, f"{base}/log")
+    while True:
+        q = K.run_running_avg(t.spark, None, f"{base}/out", f"{base}/ckpt", fmt=L.register(t.spark), options=options)
+        q.awaitTermination()
+        if q.lastProgress is None or L.reached(json.loads(q.lastProgress.json)["sources"][0]["endOffset"], end):
+            return
+
+
+@query("log_source_running_avg")
+def q_log_source(t):
+    """The running average over a partitioned log that grows by
+    four appends; after each the stream goes on from its offsets."""
+    base = scratch_path(t.spark, f"log-{uuid.uuid4().hex}")
+    for chunk in K.chunks(kv_lines(t), N_CHUNKS, "event_id"):
+        _append(t, chunk, f"{base}/log")
+        _drain(t, base)
+    return _out(K.read_log(t.spark, f"{base}/out"))
+
+
+@query("log_source_recovery")
+def q_log_recovery(t):
+    """The last commit of a drained log is undone, more is appended
+    and the query starts again: the offsets of the batch that is missing are
+    read anew, and totals equal one uninterrupted run."""
+    spark = t.spark
+    base = scratch_path(spark, f"log-{uuid.uuid4().hex}")
+    first, second = K.chunks(kv_lines(t), 2, "event_id")
+    _append(t, first, f"{base}/log")
+    _drain(t, base)
+    K.forget_last_batch(spark, f"{base}/out/latest", f"{base}/ckpt")
+    _append(t, second, f"{base}/log")
+    _drain(t, base)
+    tab = K.VersionedTable(f"{base}/out/latest", "key", "arrival").read(spark)
+    return tab.select("key", F.round("avg", 6).alias("avg"), F.col("n").cast("long").alias("n"))
