@@ -142,6 +142,18 @@ wc AS (SELECT word, unnest(regexp_extract_all(word, '(?s).', 0)) AS ch,
 SELECT word, string_agg(CAST(coalesce(v.id, 0) AS VARCHAR), ' ' ORDER BY pos) AS char_ids
 FROM wc LEFT JOIN cvocab v ON v.token = wc.ch GROUP BY word"""
 
+SQL["pad_char_batches_of_32"] = W(QA, CTX, CTL, QT, CORPUS, CHARV, CONVSRC, CONV, CAPT, """
+wc AS (SELECT word, unnest(regexp_extract_all(word, '(?s).', 0)) AS ch,
+              unnest(range(0, len(regexp_extract_all(word, '(?s).', 0)))) AS k FROM (SELECT DISTINCT token AS word FROM capt)),
+wid AS (SELECT word, list(coalesce(v.id, 0) ORDER BY k) AS chars FROM wc LEFT JOIN cvocab v ON v.token = wc.ch GROUP BY word),
+cap AS (SELECT conv_id, turn, list(chars ORDER BY pos) AS ids FROM capt JOIN wid ON word = token GROUP BY conv_id, turn),
+bat AS (SELECT *, (row_number() OVER (ORDER BY len(ids), conv_id, turn) - 1) // 32 AS batch FROM cap),
+wide AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS rows_, max(list_max(list_transform(ids, lambda w: len(w)))) OVER (PARTITION BY batch) AS chars_ FROM bat)""") + """
+SELECT conv_id, turn, batch, array_to_string(
+         list_transform(ids, lambda w: array_to_string(w || list_transform(range(0, chars_ - len(w)), lambda x: 1), ' '))
+         || list_transform(range(0, rows_ - len(ids)), lambda x: array_to_string(list_transform(range(0, chars_), lambda y: 1), ' ')), '|') AS ids
+FROM wide"""
+
 SQL["vector_left_join_zero"] = W(QA, CTX, CTL, QT, CORPUS, VOCAB) + """
 SELECT v.token, v.id, e.embedding IS NOT NULL AS found,
        round(coalesce(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE))), 0.0), 3) AS vsum

@@ -150,11 +150,29 @@ def pad_batches(df: DataFrame, order: list[str], ids: str, n: int, pad: int = 0)
     padded to the longest list of the batch; adds ``batch`` (from 0).  A
     row's place comes from range sums, so batches go across partitions; a
     null list counts as empty."""
+    return _padded(df, order, ids, n, lambda longest, _: F.concat(F.col(ids), F.array_repeat(F.lit(pad), longest - F.size(ids))))
+
+
+def pad_nested_batches(df: DataFrame, order: list[str], ids: str, n: int, pad: int = 0) -> DataFrame:
+    """P20 on lists of lists (characters of words): batches as above by the
+    number of words; every word is padded to the batch's longest word and
+    every row to the batch's longest row, with words that are all ``pad``."""
+    def padded(longest, widest):
+        words = F.concat(F.col(ids), F.array_repeat(F.array().cast("array<int>"), longest - F.size(ids)))
+        return F.transform(words, lambda w: F.concat(w, F.array_repeat(F.lit(pad), widest - F.size(w))))
+
+    given = F.transform(F.col(ids), lambda w: F.coalesce(w, F.array().cast("array<int>")))
+    return _padded(df.withColumn(ids, given), order, ids, n, padded, F.array_max(F.transform(F.col(ids), F.size)))
+
+
+def _padded(df: DataFrame, order: list[str], ids: str, n: int, padded, width=None) -> DataFrame:
+    """Batches of ``n`` rows by length, with ``ids`` made anew from the most
+    that the batch's rows have in length and in ``width``."""
     sized = df.withColumn(ids, F.coalesce(F.col(ids), F.array().cast(df.schema[ids].dataType))).withColumn("_size", F.size(ids))
     placed = global_row_number(sized, ["_size", *order], "_place").withColumn("batch", F.floor((F.col("_place") - 1) / n).cast("long"))
-    longest = placed.groupBy(F.col("batch").alias("_batch")).agg(F.max("_size").alias("_longest"))
-    padded = F.concat(F.col(ids), F.array_repeat(F.lit(pad), F.col("_longest") - F.col("_size")))
-    return placed.join(longest, F.col("batch") == F.col("_batch")).withColumn(ids, padded).drop("_size", "_place", "_batch", "_longest")
+    longest = placed.groupBy(F.col("batch").alias("_batch")).agg(F.max("_size").alias("_longest"), F.coalesce(F.max(F.lit(0) if width is None else width), F.lit(0)).alias("_widest"))
+    joined = placed.join(longest, F.col("batch") == F.col("_batch"))
+    return joined.withColumn(ids, padded(F.col("_longest"), F.col("_widest"))).drop("_size", "_place", "_batch", "_longest", "_widest")
 
 
 def char_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -176,6 +176,19 @@ def q_pad_7(t):
     return _batches(t, 7)
 
 
+@query("pad_char_batches_of_32")
+def q_pad_chars(t):
+    """P20: captions as character ids of their words, in batches of 32 rows;
+    words padded to the batch's longest word, captions to its longest."""
+    tok = caption_tokens(t).select("conv_id", "turn", "pos", "token")
+    ch = Q.char_rows(tok.select(F.col("token").alias("word")).distinct(), "word", "word")
+    chars = Q.ordered_ids(ch, ["word"], _char_vocab(t), miss=0).withColumnRenamed("ids", "chars")
+    held = tok.join(chars, F.col("token") == F.col("word")).groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", "chars"))).alias("w"))
+    p = Q.pad_nested_batches(held.select("conv_id", "turn", F.col("w.chars").alias("ids")), ["conv_id", "turn"], "ids", 32, pad=1)
+    words = F.transform("ids", lambda w: F.array_join(w.cast("array<string>"), " "))
+    return p.select("conv_id", "turn", "batch", F.array_join(words, "|").alias("ids"))
+
+
 @query("char_ids")
 def q_char_ids(t):
     """Per question word, its character ids (miss -> 0)."""

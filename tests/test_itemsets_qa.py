@@ -123,3 +123,17 @@ def test_batches_go_across_partitions(spark):
             assert got[i] == (k // n, (ids or []) + [0] * (longest - len(ids or [])))
         assert len(got) == len(rows)
     assert Q.pad_batches(df.limit(0), ["i"], "ids", 4).count() == 0
+
+
+def test_nested_batches_pad_words_and_rows(spark):
+    rows = [(1, [[5, 6], [7]]), (2, [[8]]), (3, None), (4, [[1, 2, 3, 4], None]), (5, []), (6, [[9], [9, 9], [9]])]
+    df = spark.createDataFrame(rows, "i int, ids array<array<int>>").repartition(4)
+    want = sorted(((i, [w or [] for w in ids or []]) for i, ids in rows), key=lambda r: (len(r[1]), r[0]))
+    for n in (1, 2, 10):
+        got = {r["i"]: (r["batch"], r["ids"]) for r in Q.pad_nested_batches(df, ["i"], "ids", n, pad=0).collect()}
+        for k, (i, ids) in enumerate(want):
+            batch = [x for _, x in want[k // n * n:k // n * n + n]]
+            longest, widest = max(map(len, batch)), max((len(w) for x in batch for w in x), default=0)
+            assert got[i] == (k // n, [w + [0] * (widest - len(w)) for w in ids] + [[0] * widest] * (longest - len(ids)))
+        assert len(got) == len(rows)
+    assert Q.pad_nested_batches(df.limit(0), ["i"], "ids", 4).count() == 0
