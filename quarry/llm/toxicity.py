@@ -2,21 +2,27 @@
 
 The kernel of two strings sums, over the character triples they share as
 subsequences, the products of their weights; a triple spread over more
-characters weighs less (``DECAY`` per character).  So an insult with
-inserted or missing characters stays close to itself.  Its ``POWER``-th
-power, a kernel too, sets close strings off from those that share a little.  Landmarks are
-strings whose document frequency differs most between toxic and other
-labelled texts.  A word's Nyström features are its kernel values with the
-landmarks; a sentence takes the largest of each over its words (runs of
-single characters also count as one word, so spelt-out insults are seen),
-and a linear support vector machine on the whitened features is trained
-on sentences: those of texts that are not toxic against, from toxic
-texts, the sentence that looks worst so far (three rounds).  A text's
-score is a logistic function of the largest margin of its sentences and of
-how many different words of it have margins above some levels.
+characters weighs less (``DECAY`` per character).  Triples are of letters
+and digits; other characters only widen gaps.  The kernel is divided by
+the root of both strings' own values, so that every string is 1 with
+itself, and an insult with inserted or missing characters stays close to
+the plain one.  Its ``POWER``-th power, a kernel too, sets close strings
+off from those that share a little.  Landmarks are parts of words whose
+document frequency differs most between toxic and other labelled texts.
+A word's Nyström features are its kernel values with the landmarks, times
+the inverse root of the landmarks' own kernel matrix; before that product
+a word of many characters takes the largest value of each over its
+windows, and a sentence over its words (runs of single characters also
+count as one word, so spelt-out insults are seen).  A linear support
+vector machine is trained on sentences: those of texts that are not toxic
+against, from toxic texts, the sentence that looks worst so far (three
+rounds).  A text's score is a logistic function of the largest margin of
+its sentences and of how many different words of it have margins above
+some levels.
 
 It learns from a sample of at most ``SAMPLE`` labelled texts of each kind
-outside fold 0; nothing but the text enters a score.  All texts are scored whole.
+outside fold 0 and, for the machine, at most ``SENTENCES`` different
+sentences of each; nothing but the text enters a score.  All texts are scored whole.
 
 Null, empty and blank texts have no sentences and score 0.  Labels that disagree about a doc_id count as toxic.  Repeated
 rows and null doc_ids (not held out) are scored one by one; extra columns
@@ -26,11 +32,13 @@ table gives an empty table.
 
 from __future__ import annotations
 
-import itertools
+from collections import Counter
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,20 +47,26 @@ from quarry.llm.common import batches_out, label_fold
 DECAY = 0.6
 POWER = 3
 SPAN = 8                # characters that a triple may spread over
-WIDTH = 24              # longer words are read in windows of this many characters
+WIDTH = 8               # longer words are read in windows of this many letters and digits
+RUN = 12                # spelt-out words are read in windows of this many parts
+PARTS = (4, 5, 6, 7, WIDTH)                     # lengths of landmark candidates
 LANDMARKS = 48
-SAMPLE = 3_000
-#: Letters with a class of their own; every other character shares one of five.
+SAMPLE = 3_000          # labelled texts of each kind to learn from
+SENTENCES = 32          # different sentences of a text to learn from
+BLOCK = 1 << 20         # bytes of texts that are read together
+PIECE = 1 << 16         # words whose features are held at a time
+OUTER = ".,;:!?\"'()[]{}#*$%&|<>-_~^+=/\\@`"      # taken off both ends of a word
+#: Letters and digits with a class of their own; other letters share one of four, all else is 0.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçñóíúîôûùœ0123456789"
 CLASSES = 64
 
 
 def _class(c: str) -> int:
-    return ALPHABET.find(c) + 1 or (59 + ord(c) % 4 if c.isalpha() else 63)
+    return ALPHABET.find(c) + 1 or (59 + ord(c) % 4 if c.isalpha() else 0)
 
 
 #: Classes of the first code points; those behind are taken for letters.
-_TABLE = np.array([_class(chr(i)) if not 0xD800 <= i < 0xE000 else 63 for i in range(0x3000)], np.int64)
+_TABLE = np.array([_class(chr(i)) for i in range(0x3000)], np.int64)
 
 
 def code(text: str) -> np.ndarray:
@@ -63,30 +77,55 @@ def code(text: str) -> np.ndarray:
 
 @lru_cache(maxsize=64)
 def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of all triples in n characters and their weights."""
+    """Places of all triples in n characters and what each spans, less two."""
     found = [(i, j, k) for i in range(n) for k in range(i + 2, min(n, i + SPAN)) for j in range(i + 1, k)]
     i, j, k = np.array(found, np.int64).reshape(-1, 3).T
-    return i, j, k, DECAY ** (k - i + 1.0)
+    return i, j, k, (k - i - 1).astype(np.int32)
+
+
+#: Weight by span less two; 0 stands for triples with a character that is no letter or digit.
+_WEIGHT = np.r_[0, DECAY ** np.arange(3.0, SPAN + 1)].astype(np.float32)
+
+
+def _triple_codes(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Triples of strings of one length (rows of classes), 0 where a class is 0, and spans."""
+    i, j, k, span = _triples(c.shape[1])
+    a, b, z = np.take(c, i, axis=1), np.take(c, j, axis=1), np.take(c, k, axis=1)
+    triples = (a * CLASSES + b) * CLASSES + z
+    if not c.all():
+        triples[(a == 0) | (b == 0) | (z == 0)] = 0
+    return triples, span
+
+
+def _own_values(triples: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The kernel of each row's string with itself: equal triples stand
+    together once sorted, their weights are added and squared."""
+    keys = np.sort(np.where(triples, triples * 8 + span, 0).astype(np.int32), axis=1)
+    same = keys >> 3
+    starts = np.flatnonzero(np.c_[np.ones(len(keys), bool), same[:, 1:] != same[:, :-1]])
+    sums = np.add.reduceat(_WEIGHT[keys & 7].ravel(), starts)
+    return np.add.reduceat(sums * sums, np.searchsorted(starts, np.arange(len(keys)) * keys.shape[1]))
 
 
 def triple_weights(text: str) -> dict[int, float]:
     """The kernel's features of a string: triple -> summed weight."""
-    c = code(text)
-    i, j, k, weight = _triples(len(c))
+    triples, span = _triple_codes(code(text).reshape(1, -1))
     out: dict[int, float] = {}
-    for t, w in zip(((c[i] * CLASSES + c[j]) * CLASSES + c[k]).tolist(), weight.tolist(), strict=True):
-        out[t] = out.get(t, 0.0) + w
+    for t, w in zip(triples[0].tolist(), DECAY ** (span + 2.0), strict=True):
+        if t:
+            out[t] = out.get(t, 0.0) + float(w)
     return out
 
 
 def kernel(a: str, b: str) -> float:
+    """Of two strings, before they are scaled to 1 with themselves."""
     x, y = triple_weights(a), triple_weights(b)
     return sum(w * y[t] for t, w in x.items() if t in y)
 
 
 class Landmarks:
-    """Kernel values of words with the landmarks, each landmark scaled to 1
-    with itself.  Values of words met before are kept, ``max_words`` at most."""
+    """Kernel values of words with the landmarks, every string scaled to 1
+    with itself.  Values of cores of words met before are kept, ``max_words`` at most."""
 
     def __init__(self, strings: list[str], max_words: int = 900_000):
         self.strings, self.max_words = strings, max_words
@@ -95,133 +134,194 @@ class Landmarks:
         rows = [np.zeros(self.m, np.float32)]
         for n, s in enumerate(strings):
             w = triple_weights(s)
-            own = sum(x * x for x in w.values())
+            own = sum(x * x for x in w.values()) ** 0.5
             for t, x in w.items():
                 if not self.place[t]:
                     self.place[t] = len(rows)
                     rows.append(np.zeros(self.m, np.float32))
                 rows[self.place[t]][n] = x / own
         self.rows = np.array(rows)
-        self.plain_ends = not (np.flatnonzero(self.place) % CLASSES == CLASSES - 1).any()
         self._clear()
 
     def _clear(self):
-        # word -> 2 x (row of its core) + (it ends a sentence); core -> row
-        self.known: dict[str, int] = {}
         self.cores: dict[str, int] = {}
         self.values = np.zeros((1024, self.m), np.float32)
 
-    def _core(self, word: str) -> str:
-        """Small letters; punctuation at the end goes when no landmark has
-        a triple that ends in any, as it then changes no value."""
-        word = word.lower()
-        return word.rstrip(".,;:!?") if self.plain_ends else word
-
-    def _windows(self, words: list[str]):
-        for n, w in enumerate(words):
-            w = w.lower()
-            for start in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2):
-                yield n, w[start:start + WIDTH]
-
     def kernel_values(self, words: list[str]) -> np.ndarray:
-        """One row per word: the largest values of its windows, 1 at most."""
+        """One row per word (its core, see ``_core``): the largest values of its windows."""
         out = np.zeros((len(words), self.m), np.float32)
-        by_length: dict[int, list] = {}
-        for n, w in self._windows(words):
-            if len(w) >= 3:
-                by_length.setdefault(len(w), []).append((n, w))
-        for length, found in by_length.items():
-            i, j, k, weight = _triples(length)
+        by_length: dict[int, tuple[list, list]] = {}
+        longer: list[tuple[int, str]] = []
+        for n, w in enumerate(words):
+            if len(w) > WIDTH:
+                longer += [(n, x) for x in _windows(w)]
+            elif len(w) >= 3:
+                owners, found = by_length.setdefault(len(w), ([], []))
+                owners.append(n)
+                found.append(w)
+        for length, (owners, found) in by_length.items():
             for at in range(0, len(found), 2048):
-                part = found[at:at + 2048]
-                c = code("".join(x for _, x in part)).reshape(len(part), length)
-                place = self.place[(c[:, i] * CLASSES + c[:, j]) * CLASSES + c[:, k]]      # 0: no landmark has the triple
-                row, col = np.nonzero(place)
-                if not len(row):
-                    continue
-                terms = self.rows[place[row, col]] * weight[col, None].astype(np.float32)
-                first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                sums = np.add.reduceat(terms, first, axis=0)
-                owners = np.array([n for n, _ in part])[row[first]]
-                np.maximum.at(out, owners, sums)
-        return np.minimum(out, 1) ** POWER
-
-    def learn(self, words) -> None:
-        """Work out the values of those ``words`` that are not known."""
-        if len(self.known) > self.max_words:
+                rows, values = self._values_of(found[at:at + 2048], length)
+                out[np.array(owners[at:at + 2048])[rows]] = values
+        if longer:
+            windows = list(dict.fromkeys(w for _, w in longer))
+            row = dict(zip(windows, range(len(windows)), strict=True))
+            found = np.zeros((len(windows), self.m), np.float32)
+            lengths = np.fromiter(map(len, windows), np.int64, len(windows))
+            for length in np.unique(lengths[lengths >= 3]).tolist():
+                where = np.flatnonzero(lengths == length)
+                for at in range(0, len(where), 2048):
+                    rows, values = self._values_of([windows[i] for i in where[at:at + 2048]], length)
+                    found[where[at:at + 2048][rows]] = values
+            owners = np.array([n for n, _ in longer])
+            starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
+            out[owners[starts]] = np.maximum.reduceat(found[[row[w] for _, w in longer]], starts, axis=0)
+        return out
+
+    def _values_of(self, strings: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which strings of one length share a triple with a landmark, and their values."""
+        triples, span = _triple_codes(code("".join(strings)).reshape(len(strings), length))
+        place = self.place[triples]                 # 0: no landmark has the triple
+        row, col = np.nonzero(place)
+        if not len(row):
+            return row, np.zeros((0, self.m), np.float32)
+        terms = self.rows[place[row, col]] * _WEIGHT[span][col, None]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        hit = row[first]
+        values = np.add.reduceat(terms, first, axis=0) / np.sqrt(_own_values(triples[hit], span))[:, None]
+        return hit, values ** POWER
+
+    def learn(self, cores: list[str]) -> np.ndarray:
+        """The rows of ``values`` that hold those of different ``cores``;
+        what is not known is worked out."""
+        if len(self.cores) > self.max_words:
             self._clear()
-        known, cores = self.known, self.cores
-        new = {w: self._core(w) for w in words if w not in known}
-        fresh = list(dict.fromkeys(c for c in new.values() if c not in cores))
+        known = self.cores
+        fresh = [c for c in cores if c not in known]
         if fresh:
-            first = len(cores)
+            first = len(known)
             while first + len(fresh) > len(self.values):
                 self.values = np.concatenate([self.values, np.zeros_like(self.values)])
             self.values[first:first + len(fresh)] = self.kernel_values(fresh)
-            cores.update(zip(fresh, range(first, first + len(fresh)), strict=True))
-        for w, core in new.items():
-            known[w] = 2 * cores[core] + (w[-1] in ".!?")
+            known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+        return np.fromiter(map(known.__getitem__, cores), np.int64, len(cores))
 
     def sentences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Features of every sentence, and of every different word."""
-        return next(self.all_sentences([text]))
-
-    def all_sentences(self, texts):
-        """``sentences`` of many texts, whose new words are worked out together."""
-        texts = iter(texts)
-        while read := [_read(t) for t in itertools.islice(texts, 128)]:
-            self.learn(itertools.chain.from_iterable(itertools.chain(r[0], r[2]) for r in read))
-            for words, breaks, extra, where in read:
-                yield self._sentences(words, breaks, extra, where)
-
-    def _sentences(self, words, breaks, extra, where):
-        n = len(words)
-        if not n:
-            return np.zeros((0, self.m), np.float32), np.zeros((0, self.m), np.float32)
-        ids = np.fromiter(map(self.known.__getitem__, itertools.chain(words, extra)), np.int64, n + len(extra))
-        ends = ids[:n] & 1 == 1
-        ids >>= 1
-        values = self.values[ids]
-        starts = np.unique(np.concatenate([[b for b in breaks if b < n], np.flatnonzero(ends[:-1]) + 1]))
-        found = np.maximum.reduceat(values[:n], starts, axis=0)
-        if extra:
-            owner = np.searchsorted(starts, where, side="right") - 1
-            np.maximum.at(found, owner, values[n:])
-        return found, self.values[np.unique(ids)]
-
-
-def _read(text: str) -> tuple[list[str], list[int], list[str], list[int]]:
-    """Words, where lines begin, spelt-out words and where they begin."""
-    words, breaks = [], [0]
-    for line in text.split("\n"):
-        words += line.split()
-        breaks.append(len(words))
-    return words, breaks, *spelt_out(words)
-
-
-def spelt_out(words: list[str]) -> tuple[list[str], list[int]]:
-    """Runs of three or more words of one or two characters, joined, in
-    windows of a word's width; and where each begins."""
+        block = self.block(pa.array([text], pa.large_string()))
+        return block.sentences, block.values[block.words]
+
+    def blocks(self, texts: pa.Array):
+        """``texts`` in blocks of whole texts, of ``BLOCK`` bytes or one text."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BLOCK, "right")))
+            yield self.block(texts[first:last])
+            first = last
+
+    def block(self, texts: pa.Array) -> Block:
+        ids, names, line_starts, text_starts = _read(texts)
+        cores = pc.utf8_lower(pc.utf8_trim(names, characters=OUTER)).dictionary_encode()
+        extra, where = spelt_out(ids, names, text_starts)
+        own = cores.dictionary.to_pylist()
+        row = self.learn(list(dict.fromkeys(own + [_core(w) for w in extra])))[:len(own)]
+        extra_row = np.fromiter((self.cores[_core(w)] for w in extra), np.int64, len(extra))
+        rows = row[cores.indices.to_numpy()][ids]
+        stops = pc.or_(pc.or_(pc.ends_with(names, "."), pc.ends_with(names, "!")), pc.ends_with(names, "?")).to_numpy(zero_copy_only=False)
+        n = len(ids)
+        begins = np.zeros(n + 1, bool)
+        begins[line_starts] = True
+        begins[1:][stops[ids]] = True
+        starts = np.flatnonzero(begins[:n])
+        found = np.zeros((len(starts), self.m), np.float32)
+        for at in range(0, n, PIECE):
+            first, last = np.searchsorted(starts, (at, min(n, at + PIECE)))
+            inside = starts[first:last] - at
+            if not len(inside) or inside[0]:            # goes on with the last sentence
+                first, inside = first - 1, np.r_[0, inside]
+            part = np.maximum.reduceat(self.values[rows[at:at + PIECE]], inside, axis=0)
+            found[first:last] = np.maximum(found[first:last], part)
+        owner = np.searchsorted(text_starts[1:], starts, "right")
+        np.maximum.at(found, np.searchsorted(starts, where, "right") - 1, self.values[extra_row])
+        text_of = np.r_[np.repeat(np.arange(len(texts)), np.diff(text_starts)), np.searchsorted(text_starts[1:], where, "right")]
+        text, words = np.divmod(np.unique(text_of * len(self.values) + np.r_[rows, extra_row]), len(self.values))
+        return Block(len(texts), found, owner, self.values, words, text)
+
+
+class Block(NamedTuple):
+    """What is found in some texts: features of their sentences and the
+    rows in ``values`` of each text's different words, both in order of
+    the texts, and which text each is of."""
+
+    n_texts: int
+    sentences: np.ndarray
+    sentence_text: np.ndarray
+    values: np.ndarray
+    words: np.ndarray
+    word_text: np.ndarray
+
+
+def _core(word: str) -> str:
+    """Small letters, without characters at the ends that no triple holds."""
+    return word.strip(OUTER).lower()
+
+
+def _windows(core: str) -> list[str]:
+    """Windows of ``WIDTH`` letters and digits, half a window apart.  Other
+    characters between two of them stay, at most as many as a triple spans."""
+    starts = range(0, max(1, len(core) - WIDTH // 2), WIDTH // 2)
+    if core.isalnum():
+        return [core[i:i + WIDTH] for i in starts]
+    places = np.flatnonzero(code(core))
+    after = np.arange(len(core))
+    last = places[np.searchsorted(places, after, "right") - 1] if len(places) else after + 1
+    text = "".join(core[i] for i in np.flatnonzero((after >= last) & (after <= last + SPAN)))
+    places = np.flatnonzero(code(text))
+    return [text[places[i]:places[min(i + WIDTH, len(places)) - 1] + 1] for i in starts if i == 0 < len(places) or i < len(places) - WIDTH // 2]
+
+
+def _read(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Words as places in a list of different ones, that list, and where
+    lines and texts begin (and end) among the words."""
+    lines = pc.split_pattern(texts, "\n")
+    words = pc.utf8_split_whitespace(lines.flatten())
+    flat = words.flatten().dictionary_encode()
+    ids, names = flat.indices.to_numpy(), flat.dictionary
+    line_starts = words.offsets.to_numpy()
+    empty = pc.index(names, "").as_py()
+    if empty >= 0:                                      # white space at the ends of a line
+        there = ids != empty
+        line_starts = np.r_[0, np.cumsum(there)][line_starts]
+        ids = ids[there]
+    return ids, names, line_starts, line_starts[lines.offsets.to_numpy()]
+
+
+def spelt_out(ids: np.ndarray, names: pa.Array, text_starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Runs of three or more words of one or two characters in a text,
+    joined, in windows of ``RUN`` words; and where each begins."""
     joined, where = [], []
-    if not words:
-        return joined, where
-    short = np.fromiter(map(len, words), np.int64, len(words)) <= 2
-    if short.sum() < 3:
-        return joined, where
-    edge = np.flatnonzero(np.diff(np.r_[False, short, False]))
-    for first, last in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        if last - first >= 3:
-            for start in range(first, max(first + 1, last - WIDTH // 4), WIDTH // 4):
-                joined.append("".join(words[start:min(last, start + WIDTH // 2)]))
-                where.append(start)
-    return joined, where
+    if len(ids):
+        short = np.r_[(pc.utf8_length(names).to_numpy(zero_copy_only=False) <= 2)[ids], False]
+        before = np.r_[False, short[:-1]]
+        before[text_starts] = False
+        firsts = np.flatnonzero(short & ~before)
+        breaks = np.unique(np.r_[np.flatnonzero(~short), text_starts])
+        lasts = breaks[np.searchsorted(breaks, firsts, "right")]
+        for first, last in zip(firsts.tolist(), lasts.tolist(), strict=True):
+            if last - first >= 3:
+                for start in range(first, max(first + 1, last - RUN // 2), RUN // 2):
+                    joined.append("".join(names.take(pa.array(ids[start:min(last, start + RUN)])).to_pylist()))
+                    where.append(start)
+    return joined, np.array(where, np.int64)
 
 
 # -------------------------------------------------------------------- training
 
 def choose_landmarks(stats: list[tuple[str, int, int]], toxic: int, other: int, count: int = LANDMARKS) -> list[str]:
     """Strings in order of how their document shares differ (two-sample z),
-    leaving out those too close to one already taken."""
+    leaving out parts of one already taken and those too close to one."""
     def z(s):
         a, b = s[1] / toxic, s[2] / other
         p = (s[1] + s[2] + 1) / (toxic + other + 2)
@@ -231,7 +331,7 @@ def choose_landmarks(stats: list[tuple[str, int, int]], toxic: int, other: int,
     own: dict[str, float] = {}
     for s, *_ in sorted(stats, key=lambda s: (-z(s), -len(s[0]), s[0])):
         mine = kernel(s, s)
-        if mine and all(kernel(s, t) < 0.55 * np.sqrt(mine * own[t]) for t in taken):
+        if mine and not any(s in t for t in taken) and all(kernel(s, t) < 0.55 * np.sqrt(mine * own[t]) for t in taken):
             taken.append(s)
             own[s] = mine
             if len(taken) == count:
@@ -242,7 +342,6 @@ def choose_landmarks(stats: list[tuple[str, int, int]], toxic: int, other: int,
 def whitening(landmarks: Landmarks) -> np.ndarray:
     """K^(-1/2) of the landmarks' kernel matrix, small directions damped."""
     k = landmarks.kernel_values(landmarks.strings).astype(float)
-    k = (k + k.T) / 2
     value, vector = np.linalg.eigh(k)
     return vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
 
@@ -265,13 +364,25 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40,
     return w[:-1], float(w[-1])
 
 
-LEVELS = (-0.7, -0.3, 0.1)
+#: Margins that words are counted above: well inside, near and past the boundary.
+LEVELS = np.array([-0.7, -0.3, 0.0])
 
 
-def summary(sentences: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """What a text's score is made of, from its sentences' and words' margins."""
-    counts = [(words > x).sum() for x in LEVELS]
-    return np.array([np.clip(sentences.max(), -2, 2), np.log1p(len(words)) / 5, *np.log1p(counts), *(10 * np.sqrt(np.array(counts) / len(words)))])
+def summaries(block: Block, direction: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts have words, and what their scores are made of: the
+    largest margin of a sentence, how many different words there are, and
+    how many of them have margins above each level, and their share."""
+    first = np.flatnonzero(np.r_[True, block.sentence_text[1:] != block.sentence_text[:-1]][:len(block.sentence_text)])
+    text = block.sentence_text[first]
+    if not len(text):
+        return text, np.zeros((0, 2 + 2 * len(LEVELS)))
+    worst = np.maximum.reduceat(block.sentences @ direction + bias, first)
+    row, place = np.unique(block.words, return_inverse=True)
+    margin = (block.values[row] @ direction + bias)[place]
+    begin = np.searchsorted(block.word_text, text)
+    many = np.add.reduceat(np.ones(len(margin)), begin)
+    counts = np.add.reduceat(margin[:, None] > LEVELS, begin, axis=0, dtype=float)
+    return text, np.c_[np.clip(worst, -2, 2), np.log1p(many) / 5, np.log1p(counts), 10 * np.sqrt(counts / many[:, None])]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> np.ndarray:
@@ -294,14 +405,13 @@ class Model:
     def __init__(self, strings, direction, bias, weights=None):
         self.strings, self.direction, self.bias, self.weights = strings, direction, bias, weights
 
-    def summaries(self, landmarks: Landmarks, texts):
-        for sentences, words in landmarks.all_sentences(texts):
-            yield summary(sentences @ self.direction + self.bias, words @ self.direction + self.bias) if len(sentences) else None
-
-    def scores(self, landmarks: Landmarks, texts):
-        """Blank texts score 0."""
-        for x in self.summaries(landmarks, texts):
-            yield 0.0 if x is None else float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
+    def scores(self, landmarks: Landmarks, texts: pa.Array):
+        """Texts without words score 0."""
+        for block in landmarks.blocks(texts):
+            out = np.zeros(block.n_texts)
+            text, x = summaries(block, self.direction, self.bias)
+            out[text] = 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
+            yield from out.tolist()
 
 
 def fit_sentences(bags: list[tuple[int, np.ndarray]], landmarks: Landmarks) -> Model:
@@ -338,27 +448,39 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("toxic", "text")
 
 
+@lru_cache(maxsize=200_000)
+def _parts(word: str) -> tuple[str, ...]:
+    """A word's parts of the candidate lengths, inner ones too, without
+    what stands between its letters and digits."""
+    core = _core(word)
+    if not core.isalnum():
+        core = "".join(filter(str.isalnum, core))
+    return tuple(core[i:i + n] for n in PARTS for i in range(len(core) - n + 1))
+
+
 def _string_task(batches):
-    """Every word and word beginning of each text, once per text."""
-    schema = pa.schema([("s", pa.string()), ("toxic", pa.int32())])
+    """In how many toxic and in how many other texts of the task each part of a word stands."""
+    schema = pa.schema([("s", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
+    counts: tuple[Counter, Counter] = Counter(), Counter()
+    for batch in batches:
+        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            counts[1 - toxic].update(set().union(*map(_parts, set((text.as_py() or "").split()))))
+            if len(counts[0]) + len(counts[1]) > 1_000_000:
+                yield from batches_out(schema, _both(*counts), lambda r: 32)
+                counts = Counter(), Counter()
+    yield from batches_out(schema, _both(*counts), lambda r: 32)
 
-    def rows():
-        for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = {w.strip(".,;:!?\"'()[]#*$%&|<>").lower()[:12] for w in (text.as_py() or "").split()}
-                for s in {w[:n] for w in words for n in (4, 5, 6, 8, 12) if len(w) >= min(n, 4)}:
-                    yield s, toxic
 
-    yield from batches_out(schema, rows(), lambda r: 20)
+def _both(a: Counter, b: Counter):
+    return ((s, a[s], b[s]) for s in a.keys() | b.keys())
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sentences: int = SENTENCES) -> Model | None:
     chosen = labelled_sample(docs, labels, sample)
     kinds = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     if len(kinds) < 2:
         return None
-    strings = chosen.mapInArrow(_string_task, "s string, toxic int").groupBy("s").agg(
-        F.sum((F.col("toxic") == 1).cast("long")).alias("a"), F.sum((F.col("toxic") == 0).cast("long")).alias("b"))
+    strings = chosen.mapInArrow(_string_task, "s string, a long, b long").groupBy("s").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     lift = F.col("a") / kinds[1] - F.col("b") / kinds[0]
     top = strings.where(F.col("a") >= 3).orderBy(lift.desc(), F.length("s").desc(), "s").limit(40 * LANDMARKS).collect()
     taken = choose_landmarks([(r["s"], r["a"], r["b"]) for r in top], kinds[1], kinds[0])
@@ -367,30 +489,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     landmarks = Landmarks(taken)
 
     found = [(r["toxic"], np.frombuffer(r["features"], np.float32).reshape(-1, len(taken)))
-             for r in chosen.mapInArrow(_bag_task(taken), "toxic int, features binary").toLocalIterator()]
+             for r in chosen.mapInArrow(_bag_task(taken, sentences), "toxic int, features binary").toLocalIterator()]
     model = fit_sentences(found, landmarks)
     sums = [(r["toxic"], r["summary"]) for r in chosen.mapInArrow(_summary_task(model), "toxic int, summary array<double>").toLocalIterator()]
     model.weights = fit_logistic(np.array([x for _, x in sums]), np.array([t for t, _ in sums], float))
     return model
 
 
-def _texts(batch: pa.RecordBatch):
-    return (text.as_py() or "" for text in batch.column(1))
+def sentence_choice(found: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` rows."""
+    if len(found) <= most:
+        return found
+    order = np.argsort(-found.max(1), kind="stable")
+    near = most // 2
+    return found[np.r_[order[:near], order[np.linspace(near, len(order) - 1, most - near).astype(int)]]]
 
 
-def _bag_task(strings: list[str]):
-    """Sentence features of each text.  Of very many sentences, training
-    takes the twelve closest to any landmark and an even choice of the others."""
+def _bag_task(strings: list[str], most: int = SENTENCES):
+    """Features of each text's different sentences.  Of more than
+    ``most``, training takes the half of them closest to any landmark and
+    an even choice of the others."""
     def run(batches):
         schema = pa.schema([("toxic", pa.int32()), ("features", pa.binary())])
         landmarks = _landmarks(tuple(strings))
 
         def rows():
             for batch in batches:
-                for toxic, (found, _) in zip(batch.column(0).to_pylist(), landmarks.all_sentences(_texts(batch)), strict=True):
-                    if len(found):
-                        order = np.argsort(-found.max(1), kind="stable")
-                        yield toxic, found[np.unique(np.r_[order[:12], order[12::max(1, len(order) // 12)]])].tobytes()
+                toxic = iter(batch.column(0).to_pylist())
+                for block in landmarks.blocks(batch.column(1)):
+                    edges = np.searchsorted(block.sentence_text, np.arange(block.n_texts + 1))
+                    for first, last in zip(edges[:-1], edges[1:], strict=True):
+                        kind = next(toxic)
+                        if last > first:
+                            yield kind, sentence_choice(np.unique(block.sentences[first:last], axis=0), most).tobytes()
 
         yield from batches_out(schema, rows(), lambda r: len(r[1]))
 
@@ -404,9 +535,11 @@ def _summary_task(model: Model):
 
         def rows():
             for batch in batches:
-                for toxic, found in zip(batch.column(0).to_pylist(), model.summaries(landmarks, _texts(batch)), strict=True):
-                    if found is not None:
-                        yield toxic, found.tolist()
+                kinds, at = batch.column(0).to_pylist(), 0
+                for block in landmarks.blocks(batch.column(1)):
+                    text, x = summaries(block, model.direction, model.bias)
+                    yield from zip((kinds[at + t] for t in text.tolist()), x.tolist(), strict=True)
+                    at += block.n_texts
 
         yield from batches_out(schema, rows(), lambda r: 80)
 
@@ -427,7 +560,7 @@ def score(df: DataFrame, model: Model | None) -> DataFrame:
 
         def rows():
             for batch in batches:
-                yield from zip(batch.column(0).to_pylist(), m.scores(landmarks, _texts(batch)), strict=True)
+                yield from zip(batch.column(0).to_pylist(), m.scores(landmarks, batch.column(1)), strict=True)
 
         yield from batches_out(schema, rows(), lambda r: 16)
 

@@ -2,6 +2,7 @@ from itertools import combinations
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarry.llm import toxicity as tx
@@ -11,34 +12,114 @@ def brute_kernel(a, b):
     def features(s):
         c, out = tx.code(s), {}
         for i, j, k in combinations(range(len(c)), 3):
-            if k - i < tx.SPAN:
+            if k - i < tx.SPAN and c[i] and c[j] and c[k]:
                 out[c[i], c[j], c[k]] = out.get((c[i], c[j], c[k]), 0) + tx.DECAY ** (k - i + 1)
         return out
     x, y = features(a), features(b)
     return sum(v * y.get(t, 0) for t, v in x.items())
 
 
+def brute_value(word, landmark):
+    """The power of the kernel, both strings scaled to 1, largest over windows."""
+    core = word.strip(tx.OUTER).lower()
+    letters = [i for i, x in enumerate(core) if tx.code(x)[0]]
+    windows = [core]
+    if len(core) > tx.WIDTH:
+        starts = range(0, max(1, len(letters) - tx.WIDTH // 2), tx.WIDTH // 2)
+        windows = [core[letters[i]:letters[min(i + tx.WIDTH, len(letters)) - 1] + 1] for i in starts if letters]
+    best = 0.0
+    for w in windows:
+        own = brute_kernel(w, w)
+        if own:
+            best = max(best, (brute_kernel(w, landmark) / (own * brute_kernel(landmark, landmark)) ** 0.5) ** tx.POWER)
+    return best
+
+
 def test_kernel():
-    for a, b in (("idiot", "idiot"), ("idiot", "i-d-i-o-t"), ("aaaa", "aab"), ("worthless", "harmless"), ("ab", "abc")):
+    for a, b in (("idiot", "idiot"), ("idiot", "i-d-i-o-t"), ("aaaa", "aab"), ("worthless", "harmless"), ("ab", "abc"), ("a.b.", "x")):
         assert tx.kernel(a, b) == pytest.approx(brute_kernel(a, b))
-    marks = tx.Landmarks(["idiot", "trash"])
-    words = ["idiot", "IDIOT!!", "i.d.i.o.t", "idixot", "trash", "harmless", "ab", "x" * 60 + "idiot" + "y" * 60]
+    landmarks = ["idiot", "trash", "idiotic", "aaaa", "worthles"]
+    marks = tx.Landmarks(landmarks)
+    words = ["idiot", "i.d.i.o.t", "idixot", "id1ot", "trash", "harmless", "ab", "", "..,", "aaaaaaaa", "größe", "ひらがな", "an" * 9 + "idiot" + "er" * 9, "worthlessworthless", "w-o-r-t-h-l-e-s-s", "---------", "i" + "." * 30 + "d.i.o.t", "12345678٣٤٥idiot"]
     got = marks.kernel_values(words)
-    for w, row in zip(words[:6], got, strict=False):
-        want = [min(1, brute_kernel(w.lower(), s) / brute_kernel(s, s)) ** tx.POWER for s in ("idiot", "trash")]
-        assert row == pytest.approx(want, rel=1e-4)
-    marks.learn(["Idiot!!", "idiot", "x"])
-    assert marks.plain_ends and len(marks.cores) == 2 and not tx.Landmarks(["ab!"]).plain_ends
-    assert marks.values[marks.known["Idiot!!"] >> 1] == pytest.approx(got[1]) and marks.known["Idiot!!"] & 1
-    assert got[1][0] == pytest.approx(1) and got[3][0] > 0.1 > got[5][0] and got[7][0] == pytest.approx(1) and not got[6].any()
+    assert got == pytest.approx(np.array([[brute_value(w, s) for s in landmarks] for w in words]), rel=1e-4, abs=1e-6)
+    k = marks.kernel_values(landmarks)
+    assert np.allclose(k, k.T, atol=1e-6) and np.allclose(np.diag(k), 1, atol=1e-5) and np.linalg.eigvalsh(k).min() > -1e-6
+    assert k[0, 2] == pytest.approx(brute_value("idiotic", "idiot"), rel=1e-4) and k[0, 2] < 0.9
+    white = tx.whitening(marks)
+    value, vector = np.linalg.eigh(k.astype(float))
+    assert np.allclose(white @ white, vector @ np.diag(1 / np.maximum(value, 0.05)) @ vector.T, atol=1e-5)
+    assert got[1][0] > 0.5 and got[2][0] > 0.1 > got[5][0] and got[12][0] > 0.1 and got[14][4] > 0.5 and not got[6:9].any()
+    rows = marks.learn(["idiot", "x"])
+    assert marks.values[rows[0]] == pytest.approx(got[0]) and len(marks.cores) == 2
+    marks.max_words = 1
+    assert marks.learn(["trash"]).tolist() == [0] and len(marks.cores) == 1
 
 
 def test_sentences():
     marks = tx.Landmarks(["idiot"], max_words=4)
     for _ in range(2):
-        found, words = marks.sentences("He said so. You idiot there!\nplain line\nyou i d i o t now")
-        assert len(found) == 4 and found[:, 0].round(2).tolist() == [0, 1, 0, 1]
-    assert marks.sentences("")[0].shape == (0, 1)
+        found, words = marks.sentences("He said so. You idiot there!\nplain line\n\n you i d i o t now ")
+        assert len(found) == 4 and found[:, 0].round(2).tolist() == [0, 1, 0, 1] and len(words) == 13
+    assert marks.sentences("")[0].shape == (0, 1) and marks.sentences(" \n\t")[1].shape == (0, 1)
+
+
+def brute_sentences(text, landmarks):
+    """Features of sentences and of the different cores of a text, word by word."""
+    groups, cores = [], set()
+    for line in text.split("\n"):
+        new = True
+        for w in line.split():
+            if new:
+                groups.append([])
+            groups[-1].append(w)
+            new = w[-1] in ".!?"
+    flat = [(w, g) for g, ws in enumerate(groups) for w in ws]
+    extra, run = [], []
+    for i, (w, _) in enumerate([*flat, ("end", 0)]):
+        if i < len(flat) and len(w) <= 2:
+            run.append(i)
+            continue
+        if len(run) >= 3:
+            for at in range(0, max(1, len(run) - tx.RUN // 2), tx.RUN // 2):
+                extra.append(("".join(flat[x][0] for x in run[at:at + tx.RUN]), flat[run[at]][1]))
+        run = []
+    out = np.zeros((len(groups), len(landmarks)))
+    for w, g in flat + extra:
+        out[g] = np.maximum(out[g], [brute_value(w, s) for s in landmarks])
+        cores.add(w.strip(tx.OUTER).lower())
+    return out, np.array([[brute_value(w, s) for s in landmarks] for w in cores])
+
+
+def test_scores_by_brute_force(monkeypatch):
+    landmarks = ["idiot", "trash", "loser"]
+    texts = ["You idiot. Go home!", None, "", "so t r a s h, said he\nand l-o-s-e-r it is", " \n ", "a b c d e f g h i j k l m n o p q r s t. Losers!",
+             "plain words only, nothing else here", "idiot " * 40 + "\n" + "the end. " * 30, "l o", "s e r"]
+    direction, weights = np.array([1.5, -0.4, 0.9]), np.linspace(-1, 1, 9)
+    model = tx.Model(landmarks, direction, -0.6, weights)
+    want = []
+    for text in texts:
+        found, words = brute_sentences(text or "", landmarks)
+        if not len(found):
+            want.append(0.0)
+            continue
+        margins = words @ direction - 0.6
+        counts = np.array([(margins > x).sum() for x in tx.LEVELS])
+        x = np.r_[np.clip((found @ direction - 0.6).max(), -2, 2), np.log1p(len(words)) / 5, np.log1p(counts), 10 * np.sqrt(counts / len(words))]
+        want.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
+    for block, piece in ((1 << 20, 1 << 16), (40, 7)):
+        monkeypatch.setattr(tx, "BLOCK", block)
+        monkeypatch.setattr(tx, "PIECE", piece)
+        assert list(model.scores(tx.Landmarks(landmarks), pa.array(texts))) == pytest.approx(want, rel=1e-4)
+    assert list(model.scores(tx.Landmarks(landmarks), pa.array([], pa.string()))) == []
+
+
+def test_candidates_and_sentence_choice():
+    assert {"idio", "diot", "idiot", "idiots"} <= set(tx._parts("(Idiots!")) and "diots" in tx._parts("xxxxxxxxxxxxxxidiots") and "horrid" in tx._parts("h.o.r-r.i.d!") and not tx._parts("abc")
+    x = np.random.default_rng(1).random((100, 4))
+    some = tx.sentence_choice(x, 10)
+    assert len(some) == 10 and set(map(tuple, some)) <= set(map(tuple, x)) and np.sort(x.max(1))[-5:] == pytest.approx(np.sort(some.max(1))[-5:])
+    assert tx.sentence_choice(x, 100) is x
 
 
 def test_machine_separates():
