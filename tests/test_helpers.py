@@ -50,3 +50,22 @@ def test_quantiles_without_a_window_per_target(spark):
     full = {r["label"]: r["p50"] for r in M.distribution_by_target(df, "label", "x").collect()}
     assert full[8] is None and full[9] == 4.0 and len(full) == 5
     assert M.distribution_by_target(df.limit(0), "label", "x").count() == 0
+
+
+def test_rows_of_a_fit_are_dealt_where_one_partition_has_too_many(spark):
+    from quarry.operators.mlops import evened
+    rows = spark.range(0, 10_000, 1, 1).selectExpr("id AS order_id", "1 AS line_no")
+    assert evened(rows, 10_000).rdd.getNumPartitions() == 1
+    dealt = evened(rows, 1_000)
+    sizes = [n for n in dealt.rdd.glom().map(len).collect() if n]
+    assert len(sizes) == 10 and max(sizes) < 1_100 and sorted(r[0] for r in dealt.collect()) == list(range(10_000))
+
+
+def test_clustering_a_graph_without_edges(spark, tmpdir_path):
+    from quarry.plans.songs import q_pic
+    from quarry.tables import Tables
+    part = "p_partkey long, p_name string, p_brand string"
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], part).write.parquet(f"{tmpdir_path}/part.parquet")
+    spark.createDataFrame([(1, 1), (2, 2)], "l_partkey long, l_suppkey long").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    found = q_pic(Tables(spark, tmpdir_path))
+    assert found.count() == 0 and dict(found.dtypes) == {"id": "bigint", "cluster": "int"}
