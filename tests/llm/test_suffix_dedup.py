@@ -77,6 +77,23 @@ def test_cells_do_not_depend_on_blocks(monkeypatch):
     assert sd.cells(data[:399]) is None
 
 
+def test_groups_are_labelled_without_a_sort_per_column(monkeypatch):
+    rnd = random.Random(5)
+    calls = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **b: calls.append(1) or unique(*a, **b))
+    monkeypatch.setattr(sd, "BLOCK", 100)
+    for d in (2, 3, 40):
+        members = [(r, rnd.randint(0, 9), 5, bytes(rnd.choices(b"abc", k=60))) for r in range(d)]
+        g = sd.Group(members)
+        grid = [dict(enumerate(m[3], int(f))) for f, m in zip(g.first, members, strict=True)]
+        at = {c: s for s, (a, b) in enumerate(zip(g.starts, g.ends, strict=True)) for c in range(a, b)}
+        for c, s in at.items():
+            first = [next(q for q in range(d) if q == r or c in grid[q] and grid[q][c] == grid[r].get(c)) for r in range(d)]
+            assert (g.symbols[:, s] - d * s).tolist() == first
+    assert not calls
+
+
 def test_odd_rows(spark):
     long_text = "unlike any other " + "".join(chr(97 + i * i % 23) + str(i) for i in range(300))
     df = spark.createDataFrame([(1, long_text), (1, long_text), (None, "q" + long_text), (None, "another"), (None, None)], "doc_id long, text string")
