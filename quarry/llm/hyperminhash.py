@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import batches_out, stored
+from quarry.llm.common import batches_out, only_memo, stored
 from quarry.operators.graph import Graph, connected_components
 
 REGISTERS = 128
@@ -265,9 +265,8 @@ def _bytes(text: pa.StringScalar) -> bytes:
     return text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
-@lru_cache(maxsize=1)
 def _shingler() -> Shingler:
-    return Shingler()
+    return only_memo(Shingler)
 
 
 def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,9 +14,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
 from struct import pack
 
+from quarry.llm.common import only_memo
+
 #: What ``str.split()`` takes for white space and Unicode does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -96,10 +97,9 @@ class WordIds:
         return [self.encode_one(t) for t in texts]
 
 
-@lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """One encoder per worker process."""
-    return WordIds(path)
+    return only_memo(WordIds, path)
 
 
 def encoded(batches, path: str):

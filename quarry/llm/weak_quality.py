@@ -21,7 +21,6 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import batches_out, stored
+from quarry.llm.common import batches_out, only_memo, stored
 
 LABELLERS = ["symbols", "stutter", "variety", "sentences", "loose_signs", "same_lines", "word_length", "mixed_words", "shouting", "exclaiming"]
 SAMPLE = 8_000
@@ -189,9 +188,8 @@ class Reader:
         return found, (value / np.sqrt((value ** 2).sum())).astype(np.float32)
 
 
-@lru_cache(maxsize=1)
 def reader() -> Reader:
-    return Reader()
+    return only_memo(Reader)
 
 
 def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps: int = 200, decay: float = 1e-4) -> tuple[np.ndarray, float]:

@@ -139,3 +139,23 @@ def test_suffix_stage_takes_passages_of_51_words(spark):
         assert passage[3:-3] not in got[i] and len(got[i].split()) >= 39
         assert short in got[10 + i]
         assert tiny not in got[20 + i]
+
+
+def test_a_worker_keeps_the_memo_of_one_step_only():
+    import gc
+    import weakref
+
+    import public_tokenizers
+
+    from quarry.llm import hyperminhash, tokens, weak_quality
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    steps = [weak_quality.reader, hyperminhash._shingler, lambda: tokens.word_ids(path)]
+    last = None
+    for step in [*steps, *steps]:
+        memo = step()
+        assert step() is memo
+        gc.collect()
+        assert last is None or last() is None
+        last = weakref.ref(memo)
+        del memo
