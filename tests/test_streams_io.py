@@ -162,3 +162,16 @@ def test_upsert_writes_what_changed(spark, tmpdir_path):
     assert sum(r.n_rows for r in written) < 12 * len(want) / 3       # a rewrite of the table per batch is 12 times its rows
     live = {r.run for v in tab.versions(spark)[-2:] for r in tab.runs(spark, v)}
     assert set(os.listdir(f"{tmpdir_path}/log/runs")) <= live
+
+
+def test_whole_files_are_written_by_many_tasks(spark, tmpdir_path):
+    from quarry.plans.io import q_scan_wholetext
+    from quarry.tables import Tables
+
+    rows = [(i, "x" * (i % 7)) for i in range(400)] + [(5, "again"), (400, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmpdir_path}/documents.parquet")
+    found = q_scan_wholetext(Tables(spark, tmpdir_path))
+    tasks = {os.path.basename(f).split("-")[1] for f in found.inputFiles()}
+    assert len(tasks) > 1
+    got = {r.doc_id: r.n_chars for r in found.collect()}
+    assert got == {i: i % 7 + 1 + 6 * (i == 5) for i in range(400)} | {400: 1}
